@@ -34,7 +34,7 @@ FRAMES = {
                CASE WHEN s_acctbal < 500 THEN NULL ELSE s_suppkey END AS short_id,
                {DISTRICT} AS stadsdeel, CAST(10 + n_nationkey AS STRING) AS buurt_code,
                'Straat ' || CAST(n_nationkey AS STRING) AS straatnaam,
-               CAST(floor(s_acctbal / 1000) AS BIGINT) AS huisnummer,
+               CAST(floor(abs(s_acctbal) / 1000) AS BIGINT) + 1 AS huisnummer,
                s_acctbal > 5000 AS bgt_based, CAST(floor(s_acctbal / 50) AS BIGINT) AS distance,
                {_place('s_suppkey', 7919, 101)}, s_suppkey AS num
         FROM {{supplier}} JOIN {{nation}} ON s_nationkey = n_nationkey""",
