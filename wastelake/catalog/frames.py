@@ -128,6 +128,8 @@ FRAMES = {
         FROM {sites}""",
     "bins": f"""
         SELECT o_orderkey AS id, {_place('o_orderkey', 389, 71)} FROM {{orders}}""",
+    "part_bins": f"""
+        SELECT p_partkey AS id, {_place('p_partkey', 389, 71)} FROM {{part}}""",
     "supplier_points": f"""
         SELECT p_partkey AS id, p_name || ' ' || CAST(p_partkey AS STRING) AS name, {_place('p_partkey', 2203, 29)}
         FROM {{part}}""",

@@ -34,7 +34,7 @@ def _(t: Tables) -> DataFrame:
     FROM {{moorings}} a JOIN {{site_boxes}} b ON a.street = b.straatnaam""")
 def _(t: Tables) -> DataFrame:
     others = t.site_boxes.select(F.col("straatnaam").alias("street"), F.col("id").alias("other"), F.col("rings").alias("o"))
-    return t.moorings.join(others, "street").select("id", "other", geo.polygon_distance("rings", "o").alias("distance"))
+    return t.moorings.join(others, "street").select("id", "other", overlap.polygon_distance("rings", "o").alias("distance"))
 
 
 @query("geo_02_within_and_covered", f"""SELECT p.id, b.vollcode, {STRICT} AS strict, {COVERED} AS touching
@@ -500,7 +500,7 @@ def _map_layers(t: Tables) -> feeds.MapLayers:
     merge = [t.areas.select(F.col("vollcode").alias("object_id"), "rings"),
              t.districts.select(F.col("code").alias("object_id"), "rings"),
              t.streets.select(F.col("id").alias("object_id"), "rings")]
-    return feeds.MapLayers(t.districts, t.areas, t.bins, t.streets, t.addresses, t.moorings, t.buildings, t.streets,
+    return feeds.MapLayers(t.districts, t.areas, t.part_bins, t.streets, t.addresses, t.moorings, t.buildings, t.streets,
                            merge, _layers(t))
 
 

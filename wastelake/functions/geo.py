@@ -3,6 +3,11 @@
 A point is a pair of DOUBLE columns. A polygon is `rings`, an
 ARRAY<ARRAY<STRUCT<x,y>>> of closed rings read by the even-odd rule (outer ring,
 then holes). A geometry of several parts is several rows.
+
+Arguments of the polygon functions are SQL expressions, such as a column name. They are
+written as SQL text, because a nested expression of this size is far quicker to parse
+than to put together call by call. Functions ending in `_sql` return the text, for use
+inside another expression.
 """
 
 from __future__ import annotations
@@ -48,36 +53,37 @@ def point_from_text(lon: Column | str, lat: Column | str) -> Column:
     return F.when((x != 0) & (y != 0), F.struct(x.alias("lon"), y.alias("lat")))
 
 
-def _polynomial(terms: dict, u: Column, v: Column) -> Column:
-    def power(c: Column, n: int) -> Column:
-        out = F.lit(1.0)
-        for _ in range(n):
-            out = out * c
-        return out
-    total = F.lit(0.0)
-    for (p, q), coefficient in terms.items():
-        total = total + F.lit(coefficient) * power(u, p) * power(v, q)
-    return total
+def _polynomial(terms: dict, u: str, v: str) -> str:
+    return " + ".join(
+        " * ".join([f"{coefficient!r}D"] + [u] * p + [v] * q) for (p, q), coefficient in terms.items())
 
 
-def wgs84_to_rd(lon: Column | str, lat: Column | str) -> dict[str, Column]:
-    u = (col(lat) - RD_ORIGIN["lat"]) * 0.36
-    v = (col(lon) - RD_ORIGIN["lon"]) * 0.36
+def wgs84_to_rd_sql(lon: str, lat: str) -> dict[str, str]:
+    u = f"(({lat} - {RD_ORIGIN['lat']}D) * 0.36D)"
+    v = f"(({lon} - {RD_ORIGIN['lon']}D) * 0.36D)"
     return {
-        "x_rd": F.lit(RD_ORIGIN["x"]) + _polynomial(TO_RD_X, u, v),
-        "y_rd": F.lit(RD_ORIGIN["y"]) + _polynomial(TO_RD_Y, u, v),
+        "x_rd": f"({RD_ORIGIN['x']}D + {_polynomial(TO_RD_X, u, v)})",
+        "y_rd": f"({RD_ORIGIN['y']}D + {_polynomial(TO_RD_Y, u, v)})",
     }
 
 
-def rd_to_wgs84(x: Column | str, y: Column | str) -> dict[str, Column]:
-    u = (col(x) - RD_ORIGIN["x"]) * 1e-5
-    v = (col(y) - RD_ORIGIN["y"]) * 1e-5
+def rd_to_wgs84_sql(x: str, y: str) -> dict[str, str]:
+    u = f"(({x} - {RD_ORIGIN['x']}D) * 1e-5D)"
+    v = f"(({y} - {RD_ORIGIN['y']}D) * 1e-5D)"
     return {
-        "lon": F.lit(RD_ORIGIN["lon"]) + _polynomial(TO_LON, u, v) / 3600.0,
-        "lat": F.lit(RD_ORIGIN["lat"]) + _polynomial(TO_LAT, u, v) / 3600.0,
+        "lon": f"({RD_ORIGIN['lon']}D + ({_polynomial(TO_LON, u, v)}) / 3600D)",
+        "lat": f"({RD_ORIGIN['lat']}D + ({_polynomial(TO_LAT, u, v)}) / 3600D)",
     }
 
 
+def wgs84_to_rd(lon: str, lat: str) -> dict[str, Column]:
+    return {name: F.expr(text) for name, text in wgs84_to_rd_sql(lon, lat).items()}
+
+
+def rd_to_wgs84(x: str, y: str) -> dict[str, Column]:
+    return {name: F.expr(text) for name, text in rd_to_wgs84_sql(x, y).items()}
+
+
 def distance(ax: Column | str, ay: Column | str, bx: Column | str, by: Column | str) -> Column:
     dx, dy = col(ax) - col(bx), col(ay) - col(by)
     return F.sqrt(dx * dx + dy * dy)
@@ -94,134 +100,86 @@ def box(minx: Column | str, miny: Column | str, maxx: Column | str, maxy: Column
     return F.array(F.array(point(minx, miny), point(maxx, miny), point(maxx, maxy), point(minx, maxy), point(minx, miny)))
 
 
-def bounds(rings: Column | str) -> dict[str, Column]:
-    vertices = F.flatten(col(rings))
-    xs = F.transform(vertices, lambda p: p["x"])
-    ys = F.transform(vertices, lambda p: p["y"])
-    return {"minx": F.array_min(xs), "miny": F.array_min(ys), "maxx": F.array_max(xs), "maxy": F.array_max(ys)}
+def bounds(rings: str) -> dict[str, Column]:
+    ends = {"minx": ("min", "x"), "miny": ("min", "y"), "maxx": ("max", "x"), "maxy": ("max", "y")}
+    return {name: F.expr(f"array_{end}(transform(flatten({rings}), _p -> _p.{axis}))") for name, (end, axis) in ends.items()}
 
 
-def edges(rings: Column | str) -> Column:
+def edges_sql(rings: str) -> str:
     """All edges of all rings as STRUCT<a, b>."""
-    def of_ring(ring: Column) -> Column:
-        n = F.size(ring) - 1
-        return F.zip_with(F.slice(ring, 1, n), F.slice(ring, 2, n), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    return F.flatten(F.transform(col(rings), of_ring))
+    return (f"flatten(transform({rings}, _r -> zip_with(slice(_r, 1, size(_r) - 1), slice(_r, 2, size(_r) - 1), "
+            "(_a, _b) -> named_struct('a', _a, 'b', _b))))")
 
 
-def _cross(a: Column, b: Column, x: Column, y: Column) -> Column:
-    return (b["x"] - a["x"]) * (y - a["y"]) - (x - a["x"]) * (b["y"] - a["y"])
+def _cross(e: str, x: str, y: str) -> str:
+    """Side of the edge the point is on: 0 on its line."""
+    return f"(({e}.b.x - {e}.a.x) * ({y} - {e}.a.y) - ({x} - {e}.a.x) * ({e}.b.y - {e}.a.y))"
 
 
-def on_boundary(x: Column | str, y: Column | str, rings: Column | str) -> Column:
-    x, y = col(x), col(y)
-    def touches(e: Column) -> Column:
-        a, b = e["a"], e["b"]
-        return (
-            (_cross(a, b, x, y) == 0)
-            & (x >= F.least(a["x"], b["x"])) & (x <= F.greatest(a["x"], b["x"]))
-            & (y >= F.least(a["y"], b["y"])) & (y <= F.greatest(a["y"], b["y"]))
-        )
-    return F.exists(edges(rings), touches)
+def _on_edges(edge_list: str, x: str, y: str) -> str:
+    return (f"exists({edge_list}, _e -> {_cross('_e', x, y)} = 0"
+            f" AND {x} BETWEEN least(_e.a.x, _e.b.x) AND greatest(_e.a.x, _e.b.x)"
+            f" AND {y} BETWEEN least(_e.a.y, _e.b.y) AND greatest(_e.a.y, _e.b.y))")
 
 
-def _odd_crossings(x: Column, y: Column, rings: Column | str) -> Column:
-    def crossed(e: Column) -> Column:
-        a, b = e["a"], e["b"]
-        side = _cross(a, b, x, y)
-        up = (a["y"] <= y) & (b["y"] > y) & (side > 0)
-        down = (b["y"] <= y) & (a["y"] > y) & (side < 0)
-        return up | down
-    return F.size(F.filter(edges(rings), crossed)) % 2 == 1
+def _in_edges(edge_list: str, x: str, y: str) -> str:
+    """A line from the point to the right meets an odd number of edges."""
+    side = _cross("_e", x, y)
+    return (f"(size(filter({edge_list}, _e -> (_e.a.y <= {y} AND _e.b.y > {y} AND {side} > 0)"
+            f" OR (_e.b.y <= {y} AND _e.a.y > {y} AND {side} < 0))) % 2 = 1)")
 
 
-def covers(rings: Column | str, x: Column | str, y: Column | str) -> Column:
+def covers_sql(rings: str, x: str, y: str) -> str:
+    edge_list = edges_sql(rings)
+    return f"({_in_edges(edge_list, x, y)} OR {_on_edges(edge_list, x, y)})"
+
+
+def covers(rings: str, x: str, y: str) -> Column:
     """Point inside the polygon or on its edge."""
-    return _odd_crossings(col(x), col(y), rings) | on_boundary(x, y, rings)
+    return F.expr(covers_sql(rings, x, y))
 
 
-def contains(rings: Column | str, x: Column | str, y: Column | str) -> Column:
+def contains(rings: str, x: str, y: str) -> Column:
     """Point strictly inside the polygon."""
-    return _odd_crossings(col(x), col(y), rings) & ~on_boundary(x, y, rings)
+    edge_list = edges_sql(rings)
+    return F.expr(f"({_in_edges(edge_list, x, y)} AND NOT {_on_edges(edge_list, x, y)})")
 
 
-def _segment_distance(x: Column, y: Column, a: Column, b: Column) -> Column:
-    dx, dy = b["x"] - a["x"], b["y"] - a["y"]
-    length2 = dx * dx + dy * dy
-    along = (x - a["x"]) * dx + (y - a["y"]) * dy
-    t = F.when(length2 > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), along / length2))).otherwise(F.lit(0.0))
-    ex, ey = x - (a["x"] + t * dx), y - (a["y"] + t * dy)
-    return F.sqrt(ex * ex + ey * ey)
+def _edge_distance(edge_list: str, x: str, y: str) -> str:
+    """Least distance of a point to the edges."""
+    dx, dy = "(_e.b.x - _e.a.x)", "(_e.b.y - _e.a.y)"
+    length2 = f"({dx} * {dx} + {dy} * {dy})"
+    along = f"(({x} - _e.a.x) * {dx} + ({y} - _e.a.y) * {dy})"
+    t = f"(CASE WHEN {length2} > 0 THEN greatest(0D, least(1D, {along} / {length2})) ELSE 0D END)"
+    ex, ey = f"({x} - _e.a.x - {t} * {dx})", f"({y} - _e.a.y - {t} * {dy})"
+    return f"array_min(transform({edge_list}, _e -> sqrt({ex} * {ex} + {ey} * {ey})))"
 
 
-def _edge_distance(x: Column, y: Column, edge_list: Column) -> Column:
-    return F.array_min(F.transform(edge_list, lambda e: _segment_distance(x, y, e["a"], e["b"])))
+def point_polygon_distance(x: str, y: str, rings: str) -> Column:
+    """0 inside the polygon and on its edge."""
+    return F.expr(f"CASE WHEN {covers_sql(rings, x, y)} THEN 0D ELSE {_edge_distance(edges_sql(rings), x, y)} END")
 
 
-def point_polygon_distance(x: Column | str, y: Column | str, rings: Column | str) -> Column:
-    """0 inside the polygon and on its edge."""
-    x, y = col(x), col(y)
-    return F.when(covers(rings, x, y), F.lit(0.0)).otherwise(_edge_distance(x, y, edges(rings)))
-
-
-def _edges_cross(e: Column, f: Column) -> Column:
-    """Edges share a point, ends included."""
-    d1 = _cross(e["a"], e["b"], f["a"]["x"], f["a"]["y"])
-    d2 = _cross(e["a"], e["b"], f["b"]["x"], f["b"]["y"])
-    d3 = _cross(f["a"], f["b"], e["a"]["x"], e["a"]["y"])
-    d4 = _cross(f["a"], f["b"], e["b"]["x"], e["b"]["y"])
-    apart = (
-        (F.greatest(e["a"]["x"], e["b"]["x"]) < F.least(f["a"]["x"], f["b"]["x"]))
-        | (F.greatest(f["a"]["x"], f["b"]["x"]) < F.least(e["a"]["x"], e["b"]["x"]))
-        | (F.greatest(e["a"]["y"], e["b"]["y"]) < F.least(f["a"]["y"], f["b"]["y"]))
-        | (F.greatest(f["a"]["y"], f["b"]["y"]) < F.least(e["a"]["y"], e["b"]["y"]))
-    )
-    return ~apart & (d1 * d2 <= 0) & (d3 * d4 <= 0)
-
-
-def polygons_touch(p: Column | str, q: Column | str) -> Column:
-    """Polygons share at least one point."""
-    p, q = col(p), col(q)
-    crossing = F.exists(edges(p), lambda e: F.exists(edges(q), lambda f: _edges_cross(e, f)))
-    first_p, first_q = p[0][0], q[0][0]
-    return crossing | covers(q, first_p["x"], first_p["y"]) | covers(p, first_q["x"], first_q["y"])
-
-
-def polygon_distance(p: Column | str, q: Column | str) -> Column:
-    p, q = col(p), col(q)
-    def nearest_vertex(vertices: Column, edge_list: Column) -> Column:
-        return F.array_min(F.transform(F.flatten(vertices), lambda v: _edge_distance(v["x"], v["y"], edge_list)))
-    apart = F.least(nearest_vertex(p, edges(q)), nearest_vertex(q, edges(p)))
-    return F.when(polygons_touch(p, q), F.lit(0.0)).otherwise(apart)
-
-
-def centroid(rings: Column | str) -> dict[str, Column]:
+def centroid(rings: str) -> dict[str, Column]:
     """Area centroid; holes count against the area by their direction."""
-    origin = col(rings)[0][0]
-    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
-    def add(acc: Column, e: Column) -> Column:
-        ax, ay = e["a"]["x"] - origin["x"], e["a"]["y"] - origin["y"]
-        bx, by = e["b"]["x"] - origin["x"], e["b"]["y"] - origin["y"]
-        c = ax * by - bx * ay
-        return F.struct(
-            (acc["a"] + c).alias("a"), (acc["x"] + (ax + bx) * c).alias("x"), (acc["y"] + (ay + by) * c).alias("y"),
-        )
-    total = F.aggregate(edges(rings), zero, add)
+    ax, ay = f"(_e.a.x - {rings}[0][0].x)", f"(_e.a.y - {rings}[0][0].y)"
+    bx, by = f"(_e.b.x - {rings}[0][0].x)", f"(_e.b.y - {rings}[0][0].y)"
+    turn = f"({ax} * {by} - {bx} * {ay})"
+    total = (f"aggregate({edges_sql(rings)}, named_struct('a', 0D, 'x', 0D, 'y', 0D), (_t, _e) -> named_struct("
+             f"'a', _t.a + {turn}, 'x', _t.x + ({ax} + {bx}) * {turn}, 'y', _t.y + ({ay} + {by}) * {turn}))")
     return {
-        "cx": origin["x"] + F.when(total["a"] != 0, total["x"] / (total["a"] * 3)).otherwise(F.lit(0.0)),
-        "cy": origin["y"] + F.when(total["a"] != 0, total["y"] / (total["a"] * 3)).otherwise(F.lit(0.0)),
+        f"c{axis}": F.expr(f"{rings}[0][0].{axis} + transform(array({total}), "
+                           f"_t -> CASE WHEN _t.a <> 0 THEN _t.{axis} / (_t.a * 3) ELSE 0D END)[0]")
+        for axis in "xy"
     }
 
 
-def buffer(x: Column | str, y: Column | str, radius: float, quarter_segments: int = 8) -> Column:
+def buffer(x: str, y: str, radius: float, quarter_segments: int = 8) -> Column:
     """Polygon of a circle around a point."""
-    x, y = col(x), col(y)
     n = 4 * quarter_segments
-    corners = [
-        point(x + radius * math.cos(2 * math.pi * (i % n) / n), y + radius * math.sin(2 * math.pi * (i % n) / n))
-        for i in range(n + 1)
-    ]
-    return F.array(F.array(*corners))
+    turn = f"(_i % {n}) * {2 * math.pi / n!r}D"
+    return F.expr(f"array(transform(sequence(0, {n}), _i -> named_struct('x', CAST({x} AS DOUBLE) + {float(radius)!r}D * cos({turn}), "
+                  f"'y', CAST({y} AS DOUBLE) + {float(radius)!r}D * sin({turn}))))")
 
 
 def parts(rings_of_parts: Column | str) -> Column:

@@ -6,13 +6,14 @@ linked when their nearest points are within the reach; only the outermost point
 line of a cell can be that nearest one. The components are those of the cells.
 """
 
-from __future__ import annotations
-
 import math
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from ..functions import geo
 from ..session import cut
@@ -20,6 +21,9 @@ from ..session import cut
 HULL_STRIPE = 100.0
 MAX_ROUNDS = 100
 
+# Workers need not have the package installed: its functions travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _cell_id(cx: Column, cy: Column) -> Column:
     return F.shiftleft(cx, 32) + cy + F.lit(2 ** 31)
@@ -112,38 +116,42 @@ def _hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return half(ordered) + half(reversed(ordered))
 
 
+def _hull_udf(radius: float | None):
+    """Hull of the points in two arrays, as x and y in turn; of circles around them with a radius."""
+    turn = [2 * math.pi * i / 32 for i in range(32)] if radius is not None else []
+
+    def of_row(xs, ys) -> list[float]:
+        hull = _hull(list(zip(xs, ys)))
+        if turn:
+            hull = _hull([(x + radius * math.cos(t), y + radius * math.sin(t)) for x, y in hull for t in turn])
+        return [c for point in hull for c in point]
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def of_batch(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        return pd.Series([of_row(x, y) for x, y in zip(xs, ys)], dtype="object")
+
+    return of_batch
+
+
+def _hull_points(points: DataFrame, keys: list[str], radius: float | None) -> DataFrame:
+    """Hull corners of each key as `hull`, an array of x, y structs."""
+    listed = points.groupBy(*keys).agg(F.collect_list(F.struct("x", "y")).alias("p"))
+    flat = listed.select(*keys, _hull_udf(radius)(F.col("p.x"), F.col("p.y")).alias("h"))
+    return flat.select(*keys, F.expr(
+        "transform(sequence(1, size(h) - 1, 2), i -> named_struct('x', h[i - 1], 'y', h[i]))").alias("hull"))
+
+
 def hulls(points: DataFrame, key: str, radius: float | None = None) -> DataFrame:
     """`(key, rings)`: convex hull of the points (x, y) of each key, of circles around
     them when `radius` is given.
 
     A key may own any number of points: only the lowest and highest point per x are kept
-    (combined before the shuffle), then a hull is made per stripe and one of these hulls.
+    (combined before the shuffle), then a hull is made per stripe of x and one of these
+    hulls. What a task lists is bounded by the extent and the precision of the places.
     """
-    kind = dict(points.dtypes)[key]
     ends = points.groupBy(key, "x").agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
     corners = ends.select(key, "x", F.explode(F.array("lo", "hi")).alias("y"),
                           F.floor(F.col("x") / HULL_STRIPE).cast("bigint").alias("stripe"))
-
-    def per_stripe(group: pd.DataFrame) -> pd.DataFrame:
-        hull = _hull(list(zip(group["x"], group["y"])))
-        return pd.DataFrame({key: group[key].iloc[0], "x": [p[0] for p in hull], "y": [p[1] for p in hull]})
-
-    def whole(group: pd.DataFrame) -> pd.DataFrame:
-        hull = _hull(list(zip(group["x"], group["y"])))
-        if radius is not None:
-            turn = [2 * math.pi * i / 32 for i in range(32)]
-            hull = _hull([(x + radius * math.cos(t), y + radius * math.sin(t)) for x, y in hull for t in turn])
-        ring = [{"x": x, "y": y} for x, y in hull + hull[:1]]
-        return pd.DataFrame({key: [group[key].iloc[0]], "rings": [[ring]]})
-
-    striped = corners.groupBy(key, "stripe").applyInPandas(per_stripe, f"{key} {kind}, x double, y double")
-    return striped.groupBy(key).applyInPandas(whole, f"{key} {kind}, rings {geo.RINGS}")
-
-
-def cluster_shapes(points: DataFrame, reach: float) -> DataFrame:
-    """Clusters of circles of half the reach: `(cluster, rings, cx, cy, x, y)` with the
-    centroid and its rounded coordinates."""
-    grouped = clusters(points, reach)
-    shapes = hulls(grouped, "cluster", reach / 2)
-    return shapes.withColumns(geo.centroid("rings")).withColumns(
-        {"x": F.rint("cx").cast("bigint"), "y": F.rint("cy").cast("bigint")})
+    striped = _hull_points(corners, [key, "stripe"], None).select(key, F.explode("hull").alias("c"))
+    whole = _hull_points(striped.select(key, "c.x", "c.y"), [key], radius)
+    return whole.select(key, F.array(F.concat("hull", F.slice("hull", 1, 1))).alias("rings"))

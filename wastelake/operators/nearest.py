@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from ..session import cut
+from .overlap import polygon_distance
 from .skew import salted_join
 
 FACTOR = 4
@@ -26,25 +27,18 @@ CROWD = 256
 FINER = 4
 
 
-def _gap(lo_a: Column, hi_a: Column, lo_b: Column, hi_b: Column) -> Column:
-    return F.greatest(lo_a - hi_b, lo_b - hi_a, F.lit(0.0))
-
-
-def _reach(lo_a: Column, hi_a: Column, lo_b: Column, hi_b: Column) -> Column:
-    return F.greatest(hi_b - lo_a, hi_a - lo_b)
-
-
 def _lower(p: str) -> Column:
     """Least distance between the query box and the box with prefix `p`."""
-    dx = _gap(F.col("minx"), F.col("maxx"), F.col(f"{p}minx"), F.col(f"{p}maxx"))
-    dy = _gap(F.col("miny"), F.col("maxy"), F.col(f"{p}miny"), F.col(f"{p}maxy"))
-    return F.sqrt(dx * dx + dy * dy)
+    dx = f"greatest(minx - {p}maxx, {p}minx - maxx, 0D)"
+    dy = f"greatest(miny - {p}maxy, {p}miny - maxy, 0D)"
+    return F.expr(f"sqrt({dx} * {dx} + {dy} * {dy})")
 
 
 def _upper(p: str) -> Column:
-    dx = _reach(F.col("minx"), F.col("maxx"), F.col(f"{p}minx"), F.col(f"{p}maxx"))
-    dy = _reach(F.col("miny"), F.col("maxy"), F.col(f"{p}miny"), F.col(f"{p}maxy"))
-    return F.sqrt(dx * dx + dy * dy)
+    """Greatest distance between points of both boxes."""
+    dx = f"greatest({p}maxx - minx, maxx - {p}minx)"
+    dy = f"greatest({p}maxy - miny, maxy - {p}miny)"
+    return F.expr(f"sqrt({dx} * {dx} + {dy} * {dy})")
 
 
 def point_items(df: DataFrame, key: str, x: str = "x", y: str = "y", by: Sequence[str] = ()) -> DataFrame:
@@ -61,25 +55,24 @@ def polygon_items(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
         F.col(key).alias("key"), *by, *[c.alias(n) for n, c in geo.bounds("rings").items()], F.col("rings").alias("geom"))
 
 
-def point_to_point(q: Column, t: Column) -> Column:
-    dx, dy = q["x"] - t["x"], q["y"] - t["y"]
-    return F.sqrt(dx * dx + dy * dy)
+def point_to_point(q: str, t: str) -> Column:
+    return geo.distance(f"{q}.x", f"{q}.y", f"{t}.x", f"{t}.y")
 
 
-def polygon_to_point(q: Column, t: Column) -> Column:
-    return geo.point_polygon_distance(t["x"], t["y"], q)
+def polygon_to_point(q: str, t: str) -> Column:
+    return geo.point_polygon_distance(f"{t}.x", f"{t}.y", q)
 
 
-def point_to_polygon(q: Column, t: Column) -> Column:
-    return geo.point_polygon_distance(q["x"], q["y"], t)
+def point_to_polygon(q: str, t: str) -> Column:
+    return geo.point_polygon_distance(f"{q}.x", f"{q}.y", t)
 
 
-def polygon_to_polygon(q: Column, t: Column) -> Column:
-    return geo.polygon_distance(q, t)
+def polygon_to_polygon(q: str, t: str) -> Column:
+    return polygon_distance(q, t)
 
 
 def nearest(
-    queries: DataFrame, targets: DataFrame, exact: Callable[[Column, Column], Column],
+    queries: DataFrame, targets: DataFrame, exact: Callable[[str, str], Column],
     by: Sequence[str] = (), cell: float = 32.0, max_distance: float | None = None,
 ) -> DataFrame:
     """`(key, *by, target, distance)` of the nearest target per query; the lowest target
@@ -89,22 +82,18 @@ def nearest(
     within `max_distance`) are left out.
     """
     by = list(by)
-    queries = cut(queries)
     targets = cut(targets.groupBy(*by, *BOX, "geom").agg(F.min("key").alias("target")))
-    extent = targets.agg(
-        F.max("maxx") - F.min("minx"), F.max("maxy") - F.min("miny"),
-        F.max(F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))) / 2,
-        F.min("minx"), F.min("miny"), F.max("maxx"), F.max("maxy"),
-    ).first()  # seven numbers
-    wide = queries.agg(F.min("minx"), F.min("miny"), F.max("maxx"), F.max("maxy"),
-                       F.max(F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))) / 2).first()
-    if extent[0] is None or wide[0] is None:
+    ends = [F.count("*"), F.min("minx"), F.min("miny"), F.max("maxx"), F.max("maxy"),
+            F.max(F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny"))) / 2]
+    asked, known = (df.agg(*ends).first() for df in (queries, targets))  # six numbers each
+    if not asked[0] or not known[0]:
+        kind = dict(targets.dtypes)["target"]
         return queries.select("key", *by).limit(0).withColumns(
-            {"target": F.lit(None).cast(dict(targets.dtypes)["target"]), "distance": F.lit(None).cast("double")})
-    half = float(extent[2])
-    span = max(max(extent[5], wide[2]) - min(extent[3], wide[0]), max(extent[6], wide[3]) - min(extent[4], wide[1]))
+            {"target": F.lit(None).cast(kind), "distance": F.lit(None).cast("double")})
+    half = float(known[5])
+    span = max(max(asked[i + 2], known[i + 2]) - min(asked[i], known[i]) for i in (1, 2))
     if max_distance is not None:
-        span = min(span, max_distance + half + float(wide[4]))
+        span = min(span, max_distance + half + float(asked[5]))
     cell = _finest(targets, by, cell)
     levels = 0
     while cell * FACTOR ** levels <= span:
@@ -154,8 +143,7 @@ def nearest(
         measured = candidates.withColumn("distance", F.col("_low"))
     else:
         shapes = queries.select("key", *by, F.col("geom").alias("q_geom"))
-        measured = candidates.join(shapes, ["key", *by], "inner").withColumn(
-            "distance", exact(F.col("q_geom"), F.col("t_geom")))
+        measured = _measured(candidates.join(shapes, ["key", *by], "inner"), exact, per_query)
     if max_distance is not None:
         measured = measured.filter(F.col("distance") <= max_distance)
     best = F.struct("distance", "target")
@@ -165,6 +153,20 @@ def nearest(
     )
 
 
+def _measured(candidates: DataFrame, exact: Callable[[str, str], Column], per_query: Window) -> DataFrame:
+    """Exact distances: first of the candidate with the nearest box, then of those that
+    may still be nearer than it."""
+    first = candidates.withColumn("_rank", F.struct("_low", "target")).withColumn(
+        "_shape", F.when(F.col("_rank") == F.min("_rank").over(per_query), F.col("q_geom")))
+    bounded = first.withColumn("_first", exact("_shape", "t_geom")).withColumn(
+        "bound", F.least("bound", F.min("_first").over(per_query)))
+    return (
+        bounded.filter(F.col("_low") <= F.col("bound") + SLACK)
+        .withColumn("_shape", F.when(F.col("_first").isNull(), F.col("q_geom")))
+        .withColumn("distance", F.coalesce("_first", exact("_shape", "t_geom")))
+    )
+
+
 def _finest(targets: DataFrame, by: list[str], cell: float) -> float:
     """Cell size for the lowest level: `cell`, or a smaller one where a cell would hold a crowd."""
     sizes = [cell / FACTOR ** k for k in range(FINER + 1)]

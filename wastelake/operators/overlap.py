@@ -1,17 +1,27 @@
-"""Polygon overlap on candidate pairs, as an Arrow function.
+"""Distance and overlap of polygons on candidate pairs, as Arrow functions.
 
-Site shapes are convex hulls or unions of these, kept as a list of parts.
+A pair costs corners times corners, too much for interpreted SQL lambdas. Site shapes
+are convex hulls or unions of these, kept as a list of parts.
 """
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import BooleanType, DoubleType
+
+from ..functions.geo import edges_sql
 
 EPS = 1e-9
 
+# Workers need not have the package installed: its functions travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _area(ring: list[tuple[float, float]]) -> float:
     return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1])) / 2
@@ -65,3 +75,52 @@ def _overlap_udf(a: pd.Series, b: pd.Series) -> pd.Series:
 def overlaps(a: Column | str, b: Column | str) -> Column:
     """Interiors meet and neither shape holds the other; convex parts."""
     return _overlap_udf(a, b)
+
+
+def _to_edges(x, y, ax, ay, bx, by):
+    """Least distance of points to edges."""
+    dx, dy = bx - ax, by - ay
+    length2 = dx * dx + dy * dy
+    px, py = x[:, None] - ax, y[:, None] - ay
+    t = np.clip((px * dx + py * dy) / np.where(length2 > 0, length2, 1.0), 0.0, 1.0)
+    ex, ey = px - t * dx, py - t * dy
+    return float(np.sqrt((ex * ex + ey * ey).min()))
+
+
+def _inside(x: float, y: float, ax, ay, bx, by) -> bool:
+    side = (bx - ax) * (y - ay) - (x - ax) * (by - ay)
+    hits = ((ay <= y) & (by > y) & (side > 0)) | ((by <= y) & (ay > y) & (side < 0))
+    return bool(hits.sum() % 2)
+
+
+def _crossing(p, q) -> bool:
+    """Some edges share a point that is an end of neither; shared ends have distance 0 anyway."""
+    def sides(a, b):
+        ax, ay, bx, by = (c[:, None] for c in a)
+        at = (bx - ax) * (b[1] - ay) - (b[0] - ax) * (by - ay)
+        to = (bx - ax) * (b[3] - ay) - (b[2] - ax) * (by - ay)
+        return at * to < 0
+    return bool((sides(p, q) & sides(q, p).T).any())
+
+
+def _distance(*columns) -> float | None:
+    if any(c is None for c in columns):
+        return None
+    p, q = [[np.asarray(c, dtype="float64") for c in columns[i:i + 4]] for i in (0, 4)]
+    if _crossing(p, q) or _inside(p[0][0], p[1][0], *q) or _inside(q[0][0], q[1][0], *p):
+        return 0.0
+    return min(_to_edges(p[0], p[1], *q), _to_edges(q[0], q[1], *p))
+
+
+@F.pandas_udf(DoubleType())
+def _distance_udf(
+    a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series, e: pd.Series, f: pd.Series, g: pd.Series, h: pd.Series,
+) -> pd.Series:
+    return pd.Series([_distance(*row) for row in zip(a, b, c, d, e, f, g, h)], dtype="float64")
+
+
+def polygon_distance(p: str, q: str) -> Column:
+    """0 for polygons that share a point, else the least distance of a corner to an edge;
+    NULL for a NULL polygon. Not for use in a join condition."""
+    ends = ("_e.a.x", "_e.a.y", "_e.b.x", "_e.b.y")
+    return _distance_udf(*[F.expr(f"transform({edges_sql(g)}, _e -> {end})") for g in (p, q) for end in ends])

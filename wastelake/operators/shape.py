@@ -127,12 +127,12 @@ def supplier_container_slots(items: DataFrame) -> DataFrame:
 def supplier_containers(items: DataFrame) -> DataFrame:
     schema = ("type bigint, site bigint, siteContentType bigint, containerSlot bigint, customerKey string, "
               "cellLocation struct<latitude: double, longitude: double, accuracy: int>, lastModified string")
-    lon, lat = F.col("d.cellLocation.longitude"), F.col("d.cellLocation.latitude")
+    lon, lat = "d.cellLocation.longitude", "d.cellLocation.latitude"
     rd = geo.wgs84_to_rd(lon, lat)
     return _parsed(items, schema).select(
         "id", F.col("d.type").alias("container_type_id"), F.col("d.site").alias("site_id"),
         F.col("d.siteContentType").alias("site_content_type_id"), F.col("d.containerSlot").alias("container_slot_id"),
-        remove_blanks("d.customerKey").alias("customer_key"), lon.alias("lon"), lat.alias("lat"),
+        remove_blanks("d.customerKey").alias("customer_key"), F.col(lon).alias("lon"), F.col(lat).alias("lat"),
         rd["x_rd"].alias("x"), rd["y_rd"].alias("y"), F.col("d.cellLocation.accuracy").alias("geo_accuracy"),
         _timestamp("lastModified", "last_modified"))
 

@@ -17,7 +17,7 @@ from . import nearest as nn
 from .cluster import clusters, components, hulls
 from .links import usable_wells
 from .merge import update_from
-from .overlap import overlaps
+from .overlap import overlaps, polygon_distance
 from .spatial import area_code, points_in_polygons, polygon_pairs
 
 BIN_REACH = 7.0
@@ -175,9 +175,9 @@ def merge_close(sites: DataFrame, layer: DataFrame, reach: float = CLOSE_SITES)
     shapes = cut(
         centred.join(inside, "id").select("id", "object_id", "rings")
         .withColumns(geo.bounds("rings")))
-    near = geo.polygon_distance("rings", "b_rings") <= reach
     together = (F.col("object_id") == F.col("b_object_id")) & (F.col("id") > F.col("b_id"))
-    pairs = polygon_pairs(shapes, shapes, reach, together & near).select("id", "b_id").distinct()
+    pairs = polygon_pairs(shapes, shapes, reach, together).filter(
+        polygon_distance("rings", "b_rings") <= reach).select("id", "b_id").distinct()
     numbers = cut(sites.select("id", F.xxhash64("id").alias("n")))
     linked = (
         pairs.join(numbers, "id").withColumnRenamed("n", "u")

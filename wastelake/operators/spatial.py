@@ -137,10 +137,10 @@ def area_code(
     if weight <= vertex_bound:
         per_cell = cells.groupBy("cx", "cy").agg(F.collect_list(F.struct("_code", "rings")).alias("_areas"))
         placed = points.withColumns({"cx": cell_of(F.col("x"), size), "cy": cell_of(F.col("y"), size)})
-        found = F.filter("_areas", lambda a: geo.covers(a["rings"], F.col("x"), F.col("y")))
+        found = F.expr(f"array_min(transform(filter(_areas, a -> {geo.covers_sql('a.rings', 'x', 'y')}), a -> a._code))")
         return (
             placed.join(F.broadcast(per_cell), ["cx", "cy"], "left")
-            .withColumn(name, F.array_min(F.transform(found, lambda a: a["_code"])))
+            .withColumn(name, found)
             .drop("cx", "cy", "_areas")
         )
     spots = cut(points.filter("x is not null and y is not null").select("x", "y").distinct())

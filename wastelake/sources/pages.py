@@ -198,31 +198,23 @@ def geo_layer(pages: DataFrame, to_rd: bool = True) -> DataFrame:
     Points fill x and y, polygons fill `rings`; each part of a many-part geometry is a
     row. With `to_rd` the WGS84 coordinates become RD metres.
     """
-    def place(pair: Column) -> Column:
-        if not to_rd:
-            return geo.point(pair[0], pair[1])
-        rd = geo.wgs84_to_rd(pair[0], pair[1])
-        return geo.point(rd["x_rd"], rd["y_rd"])
-
-    def place_rings(rings: Column) -> Column:
-        return F.transform(rings, lambda ring: F.transform(ring, place))
-
-    kind, text = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
-    nested = {
-        "Point": F.array(F.struct(place(F.from_json(text, "array<double>")).alias("point"),
-                                  F.lit(None).cast(geo.RINGS).alias("rings"))),
-        "MultiPoint": F.transform(F.from_json(text, "array<array<double>>"),
-                                  lambda p: F.struct(place(p).alias("point"),
-                                                     F.lit(None).cast(geo.RINGS).alias("rings"))),
-        "Polygon": F.array(F.struct(F.lit(None).cast("struct<x:double,y:double>").alias("point"),
-                                    place_rings(F.from_json(text, "array<array<array<double>>>")).alias("rings"))),
-        "MultiPolygon": F.transform(F.from_json(text, "array<array<array<array<double>>>>"),
-                                    lambda r: F.struct(F.lit(None).cast("struct<x:double,y:double>").alias("point"),
-                                                       place_rings(r).alias("rings"))),
-    }
-    parts = F.lit(None)
-    for name, value in nested.items():
-        parts = F.when(kind == name, value).otherwise(parts)
+    rd = geo.wgs84_to_rd_sql("c[0]", "c[1]") if to_rd else {"x_rd": "c[0]", "y_rd": "c[1]"}
+    place = f"c -> named_struct('x', {rd['x_rd']}, 'y', {rd['y_rd']})"
+
+    def read(depth: int) -> str:
+        return "from_json(f.geometry.coordinates, '" + "array<" * depth + "double" + ">" * depth + "')"
+
+    def dots(points: str) -> str:
+        return f"transform(transform({points}, {place}), p -> named_struct('point', p, 'rings', CAST(NULL AS {geo.RINGS})))"
+
+    def shapes(polygons: str) -> str:
+        rings = f"transform({polygons}, g -> transform(g, r -> transform(r, {place})))"
+        return f"transform({rings}, g -> named_struct('point', CAST(NULL AS struct<x:double,y:double>), 'rings', g))"
+
+    parts = F.expr(
+        "CASE f.geometry.type"
+        f" WHEN 'Point' THEN {dots(f'array({read(1)})')} WHEN 'MultiPoint' THEN {dots(read(2))}"
+        f" WHEN 'Polygon' THEN {shapes(f'array({read(3)})')} WHEN 'MultiPolygon' THEN {shapes(read(4))} END")
     return (
         pages.select(F.explode(F.from_json("data", GEOJSON)["features"]).alias("f"))
         .select(F.col("f.id").alias("fid"), F.col("f.properties").alias("attrs"), F.posexplode(parts).alias("part", "g"))
