@@ -202,8 +202,8 @@ def _children(cells: DataFrame, by: list[str]) -> DataFrame:
                  F.floor(F.col("cy") / FACTOR).cast("bigint").alias("cy")))
     own = F.array(F.struct(F.col("level"), F.col("cx"), F.col("cy")))
     keys = F.when(F.col("level") == 0, F.concat(parents, own)).otherwise(parents)
-    return cells.select(*by, *child, *boxes, F.explode(keys).alias("k")).select(
-        *by, "k.level", "k.cx", "k.cy", "child_level", "child_cx", "child_cy", *boxes)
+    return cells.select(*by, *child, *boxes, F.explode(keys).alias("_at")).select(
+        *by, "_at.level", "_at.cx", "_at.cy", "child_level", "child_cx", "child_cy", *boxes)
 
 
 def _upper_bounds(

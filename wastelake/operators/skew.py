@@ -61,7 +61,7 @@ def ranked(df: DataFrame, keys: list[str], order: list[str], name: str = "rown")
     Each partition numbers its own rows; a key's rows in earlier partitions are added.
     `order` must tell the rows of a key apart.
     """
-    ranges = cut(df.repartitionByRange(*keys, *order)).withColumn("_part", F.spark_partition_id())
+    ranges = cut(df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
     counts = ranges.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_part").alias("_k_part"),

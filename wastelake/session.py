@@ -15,6 +15,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+_LOCAL_DIRS: dict[str, str] = {}
+
 
 def build_session(app: str = "wastelake", master: str | None = None, **settings: str) -> SparkSession:
     """Session with the settings the library expects; `master` only for local runs."""
@@ -44,9 +46,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    own = tempfile.mkdtemp(prefix="wastelake-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="wastelake-")
+    return _LOCAL_DIRS[app]
 
 
 def work_path(spark: SparkSession, name: str) -> str:
@@ -55,13 +58,12 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise `df` in the shared folder, so it is read back and not recomputed."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
-
+    """Write `df` to the shared folder and read it back.
 
-def at_most(df: DataFrame, bound: int) -> bool:
-    """True when `df` has no more than `bound` rows; reads at most `bound + 1`."""
-    return df.limit(bound + 1).count() <= bound
+    Any executor may be lost afterwards without recomputing what led to `df`. Unlike a
+    checkpoint, a table also has a known size: a checkpoint keeps the size estimate of
+    its plan, a product over all joins that grows without end from one cut to the next.
+    """
+    path = work_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
