@@ -59,7 +59,9 @@ def field_of(fields: Column, record: Column, name: str) -> Column:
 
 
 def parsed_weigh_pages(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("page", F.from_json("data", WEIGH_PAGE))
+    """Pages with their parsed content; as a generator, so that a filter on the content
+    does not parse the text a second time."""
+    return pages.select("*", F.explode(F.array(F.from_json("data", WEIGH_PAGE))).alias("page"))
 
 
 def weigh_raw(pages: DataFrame) -> DataFrame:
