@@ -190,3 +190,31 @@ def test_every_oracle_has_a_query():
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_weigh_stream_skips_what_is_stored(spark):
+    from wastelake.session import work_path
+    from wastelake.streaming import live
+    names = list(pg.REQUIRED_WEIGH_FIELDS)
+    record = lambda seq, day: ["4", seq, day, "10:00:00", "1", "O", "7", "1", "4", "B", "1070", "835", "235", "52.1", "4.9"]
+    source, out, marks = (work_path(spark, n) for n in ("in", "out", "marks"))
+    none = spark.createDataFrame([], "code string, vollcode string, rings array<array<struct<x:double,y:double>>>")
+    def land(number, *records):
+        spark.createDataFrame([(number, weigh_page(names, list(records)))], "id int, data string").withColumn(
+            "scraped_at", F.lit("2018-01-01").cast("timestamp")).write.mode("append").json(source)
+        live.weighings(live.page_stream(spark, source), none, none, out, marks).awaitTermination()
+    land(1, record("1", "2018-01-01"), record("2", "2018-01-02"))
+    land(2, record("3", "2018-01-02"))
+    land(3, record("4", "2018-01-03"))
+    assert rows(spark.read.parquet(out), "seq_id") == [(1,), (2,), (4,)]
+
+
+def test_sites_by_type_repeats_in_portions(spark, monkeypatch):
+    monkeypatch.setattr(fl, "PORTION", 7)
+    sites = spark.createDataFrame([("a",), ("b",)], "id string")
+    wells = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id int, site_id string")
+    containers = spark.range(40).select("id", F.when(F.col("id") < 30, 1).when(F.col("id") < 39, 2).otherwise(3).alias("well_id"),
+                                        F.lit(5).alias("container_type_id"))
+    types = spark.createDataFrame([(5, 3)], "id int, weight int")
+    got = fl.sites_by_type(sites, wells, containers, types, "weight", "gt", 2).groupBy("id").count()
+    assert rows(got, "id", "count") == [("a", 39), ("b", 1)]

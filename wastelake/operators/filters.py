@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions.clean import strip_whitespace
 
+PORTION = 10_000
 OPERATORS = {
     "exact": lambda c, v: c == v,
     "lt": lambda c, v: c < v,
@@ -177,14 +178,20 @@ def sites_by_type(
 ) -> DataFrame:
     """Sites once per container whose type meets the filter.
 
-    Containers are counted per well before the joins; the rows are repeated at the end.
+    Containers are counted per well before the joins. The rows are repeated at the end, in
+    portions that go to different tasks.
     """
     hits = by_type(containers, types, column, op, value).groupBy("well_id").agg(F.count("*").alias("n"))
     per_site = (
         wells.select(F.col("id").alias("well_id"), "site_id").join(hits, "well_id").groupBy("site_id")
-        .agg(F.sum("n").cast("int").alias("_n")).withColumnRenamed("site_id", "id")
+        .agg(F.sum("n").alias("_n")).withColumnRenamed("site_id", "id")
     )
-    return sites.join(per_site, "id").withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n", "_i")
+    portions = (
+        per_site.withColumn("_at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1, F.lit(PORTION).cast("bigint"))))
+        .withColumn("_size", F.least(F.lit(PORTION), F.col("_n") - F.col("_at")).cast("int")).repartition("id", "_at")
+    )
+    rows = portions.select("id", F.explode(F.sequence(F.lit(1), F.col("_size"))).alias("_i")).drop("_i")
+    return sites.join(rows, "id")
 
 
 def search_names(df: DataFrame, text: str, column: str = "name") -> DataFrame:

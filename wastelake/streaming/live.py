@@ -43,15 +43,19 @@ def weighings(
 ) -> StreamingQuery:
     """Weigh pages → measurements; per system only pages later than what is stored.
 
-    A batch writes to a folder of its own number, so a batch that is run again after a
-    failure replaces its earlier output, and the marks are read without it.
+    A batch writes to a folder of its own number, and its latest times per system to a
+    marks table beside it, so the marks are read without the measurements. A batch that is
+    run again after a failure replaces its earlier output and does not see its own marks.
     """
+    marks = f"{path}-marks"
+
     def load(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         done = f"{path}/batch={number}"
-        stored = _stored(spark, path, number)
-        fresh = incremental.new_weigh_pages(pg.weigh_raw(batch), stored)
+        fresh = incremental.new_weigh_pages(pg.weigh_raw(batch), _marks(spark, marks, number))
         weighed(fresh, districts, areas).write.mode("overwrite").parquet(done)
+        latest = spark.read.parquet(done).groupBy("system_id").agg(F.max("weigh_at").alias("weigh_at"))
+        latest.write.mode("overwrite").parquet(f"{marks}/batch={number}")
 
     return (
         pages.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
@@ -59,11 +63,10 @@ def weighings(
     )
 
 
-def _stored(spark: SparkSession, path: str, before: int) -> DataFrame:
-    """System and time of the measurements of earlier batches."""
-    empty = spark.createDataFrame([], "system_id bigint, weigh_at timestamp")
+def _marks(spark: SparkSession, path: str, before: int) -> DataFrame:
+    """Latest time per system in earlier batches."""
     if before == 0:
-        return empty
+        return spark.createDataFrame([], "system_id bigint, weigh_at timestamp")
     rows = spark.read.schema("system_id int, weigh_at timestamp, batch int").parquet(path).filter(F.col("batch") < before)
     return rows.select(F.col("system_id").cast("bigint").alias("system_id"), "weigh_at")
 
