@@ -44,7 +44,7 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("src_04_weigh_records", """SELECT l_orderkey * 10 + l_linenumber AS page_id, CAST(l_suppkey AS VARCHAR) AS cust,
-    CASE WHEN l_orderkey % 2 = 0 THEN 'Opijnenhof ' || l_suppkey END AS location FROM {lineitem}""")
+    CASE WHEN l_orderkey % 2 = 0 THEN 'Laan ' || l_suppkey END AS location FROM {lineitem}""")
 def _(t: Tables) -> DataFrame:
     return pg.weigh_records(landed.weigh_pages(t)).select(
         "page_id", F.col("CustId").alias("cust"), F.col("Location").alias("location"))

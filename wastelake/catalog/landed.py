@@ -104,7 +104,7 @@ def weigh_pages(t: Tables) -> DataFrame:
         "FillLevel": F.col("l_quantity"), "FillChance": F.lit("NaN"),
         "FractionId": F.when(F.col("l_returnflag") == "A", F.lit("")).when(F.col("l_returnflag") == "N", F.lit("Gft"))
         .otherwise(F.lit("Kunststof")),
-        "Location": F.concat(F.lit("Opijnenhof "), F.col("l_suppkey").cast("string")),
+        "Location": F.concat(F.lit("Laan "), F.col("l_suppkey").cast("string")),
     }
     long, short = REQUIRED_WEIGH_FIELDS + OPTIONAL_WEIGH_FIELDS, REQUIRED_WEIGH_FIELDS
     record = lambda names: F.array(*[values[n].cast("string") for n in names])
@@ -191,7 +191,7 @@ def collection_pages(t: Tables, endpoint: str) -> DataFrame:
         p = degrees("x", "y")
         return _pages(t.supplier_points, "id", "sites", F.struct(
             "id", F.lit(1).alias("type"), "name", F.lit(5).alias("area"), F.lit("Dam 1").alias("address"),
-            F.lit("Amsterdam").alias("city"), F.lit("NL").alias("country"), F.lit(None).cast("string").alias("postalCode"),
+            F.lit("Stad").alias("city"), F.lit("NL").alias("country"), F.lit(None).cast("string").alias("postalCode"),
             p["lat"].alias("latitude"), p["lon"].alias("longitude"), F.lit(True).alias("photo"), _modified()))
     if endpoint == "site_content_types":
         return _pages(t.orders, "o_orderkey", "siteContentTypes", F.struct(

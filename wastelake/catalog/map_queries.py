@@ -129,7 +129,7 @@ def _(t: Tables) -> DataFrame:
 
 
 def _layers(t: Tables) -> dict:
-    layers = {"afval_apart_plaats": (t.bins.select(F.col("id").alias("object_id"), "x", "y"), 1.0)}
+    layers = {"bins": (t.bins.select(F.col("id").alias("object_id"), "x", "y"), 1.0)}
     for kind, reach in (("SMALL", 1.0), ("ECONOMY", 4.0), ("LARGE", 4.0), ("MEDIUM", 4.0), ("PROMO", 4.0), ("STANDARD", 4.0)):
         layers[kind] = (t.buildings.filter(F.col("kind") == kind).select(F.col("id").alias("object_id"), "rings"), reach)
     layers["mooring"] = (t.moorings.select(F.col("id").alias("object_id"), "rings"), 4.0)
@@ -138,7 +138,7 @@ def _layers(t: Tables) -> dict:
 
 
 MATCHED = f"""
-    SELECT p.id AS well_id, q.id AS object_id, 'afval_apart_plaats' AS layer,
+    SELECT p.id AS well_id, q.id AS object_id, 'bins' AS layer,
            sqrt((p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y)) AS distance
     FROM {{wells}} p JOIN {{bins}} q ON q.x BETWEEN p.x - 1 AND p.x + 1 AND q.y BETWEEN p.y - 1 AND p.y + 1
     WHERE (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) <= 1
@@ -157,8 +157,8 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("jn_06_well_objects", f"""WITH m AS ({MATCHED}) SELECT well_id, layer,
-    CASE WHEN layer <> 'afval_apart_plaats' THEN object_id END AS polygon_id,
-    CASE WHEN layer = 'afval_apart_plaats' THEN object_id END AS point_id FROM m""")
+    CASE WHEN layer <> 'bins' THEN object_id END AS polygon_id,
+    CASE WHEN layer = 'bins' THEN object_id END AS point_id FROM m""")
 def _(t: Tables) -> DataFrame:
     return spatial.well_objects(spatial.match_layers(t.wells, _layers(t)))
 

@@ -93,16 +93,20 @@ def weigh_page_errors(pages: DataFrame) -> DataFrame:
 
 
 def weigh_records(pages: DataFrame) -> DataFrame:
-    """One row per positional record, as text columns under the header names."""
+    """One row per positional record, as text columns under the header names.
+
+    The header is looked up once per page; its records only carry the positions.
+    """
     names = REQUIRED_WEIGH_FIELDS + OPTIONAL_WEIGH_FIELDS
+    listed = F.array(*[F.lit(n) for n in names])
+    places = F.transform(listed, lambda n: F.nullif(F.array_position("page.Fields", n), F.lit(0)).cast("int"))
+    located = parsed_weigh_pages(pages).filter(_has_required_header()).select(
+        F.col("id").alias("page_id"), F.col("page.Records").alias("records"), places.alias("at"))
     return (
-        parsed_weigh_pages(pages)
-        .filter(_has_required_header())
-        .select(F.col("id").alias("page_id"), F.col("page.Fields").alias("fields"),
-                F.explode("page.Records").alias("record"))
+        located.select("page_id", "at", F.explode("records").alias("record"))
         .select("page_id",
-                *[field_of(F.col("fields"), F.col("record"), n).alias(n) for n in names],
-                F.array_contains("fields", "FractionId").alias("has_fraction"))
+                *[F.try_element_at("record", F.col("at")[i]).alias(n) for i, n in enumerate(names)],
+                F.col("at")[names.index("FractionId")].isNotNull().alias("has_fraction"))
     )
 
 
