@@ -218,3 +218,13 @@ def test_sites_by_type_repeats_in_portions(spark, monkeypatch):
     types = spark.createDataFrame([(5, 3)], "id int, weight int")
     got = fl.sites_by_type(sites, wells, containers, types, "weight", "gt", 2).groupBy("id").count()
     assert rows(got, "id", "count") == [("a", 39), ("b", 1)]
+
+
+def test_missing_kind_of_map_object_fails(spark):
+    from wastelake.operators.spatial import well_objects
+    schema = "well_id int, object_id int, layer string, distance double, kind string"
+    both = [(1, 2, "bins", 0.0, "POINT"), (1, 3, "road", 0.0, "POLYGON")]
+    assert rows(well_objects(spark.createDataFrame(both, schema)), "polygon_id", "point_id") == [(3, None), (None, 2)]
+    for part in ([], both[:1], both[1:]):
+        with pytest.raises(SparkRuntimeException):
+            well_objects(spark.createDataFrame(part, schema)).collect()

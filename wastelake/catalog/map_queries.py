@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import clean, geo
 from ..operators import cluster, links, nearest as nn, overlap, service, shortid, sites as st, spatial
 from ..plans import feeds
-from ..sources import pages as pg
+from ..session import cut
 from . import landed
 from .registry import Tables, query
 
@@ -160,7 +160,7 @@ def _(t: Tables) -> DataFrame:
     CASE WHEN layer <> 'bins' THEN object_id END AS polygon_id,
     CASE WHEN layer = 'bins' THEN object_id END AS point_id FROM m""")
 def _(t: Tables) -> DataFrame:
-    return spatial.well_objects(spatial.match_layers(t.wells, _layers(t)))
+    return spatial.well_objects(cut(spatial.match_layers(t.wells, _layers(t))))
 
 
 @query("set_01_union_sorted", f"WITH m AS ({MATCHED}) SELECT well_id, layer, object_id FROM m")

@@ -185,16 +185,15 @@ def match_layers(wells: DataFrame, layers: dict[str, tuple[DataFrame, float]], s
 
 def well_objects(matches: DataFrame) -> DataFrame:
     """Match table with points and polygons in columns of their own; running it fails
-    when either kind is missing altogether."""
+    when either kind is missing altogether. `matches` is read twice, so it should be
+    materialised."""
+    rows = matches.select(
+        "well_id", "layer",
+        F.when(F.col("kind") == "POLYGON", F.col("object_id")).alias("polygon_id"),
+        F.when(F.col("kind") == "POINT", F.col("object_id")).alias("point_id"))
     totals = matches.agg(F.count_if(F.col("kind") == "POINT").alias("_points"),
                          F.count_if(F.col("kind") == "POLYGON").alias("_polygons"))
-    complete = F.when((F.col("_points") > 0) & (F.col("_polygons") > 0), F.lit(True)).otherwise(
-        F.raise_error(F.lit("no map objects matched")).cast("boolean"))
-    return (
-        totals.withColumn("_complete", complete).filter("_complete").select().join(
-            matches.select(
-                "well_id", "layer",
-                F.when(F.col("kind") == "POLYGON", F.col("object_id")).alias("polygon_id"),
-                F.when(F.col("kind") == "POINT", F.col("object_id")).alias("point_id")),
-            how="cross")
-    )
+    both = (F.col("_points") > 0) & (F.col("_polygons") > 0)
+    failure = F.raise_error(F.lit("no map objects matched")).cast("boolean")
+    guard = totals.filter(F.when(both, F.lit(False)).otherwise(failure))  # raises or gives no row
+    return rows.unionByName(guard.select(*[F.lit(None).cast(kind).alias(name) for name, kind in rows.dtypes]))
