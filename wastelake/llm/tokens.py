@@ -49,7 +49,9 @@ class PrefixCounter:
         raw = lambda token: bytes(to_byte[c] for c in token)
         self.special = [t["content"] for t in model["added_tokens"] if t["special"]]
         self.vocabulary = {raw(t): i for t, i in model["model"]["vocab"].items() if t not in self.special}
-        self.longest = max(map(len, self.vocabulary))
+        self.longest: dict[bytes, int] = {}  # by the last three bytes of the tokens
+        for token in self.vocabulary:
+            self.longest[token[-3:]] = max(len(token), self.longest.get(token[-3:], 2))
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
         self.ranks = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
         self.pieces, self.pieces_in = regex.compile(PIECES).findall, regex.compile(PIECES).finditer
@@ -85,7 +87,7 @@ class PrefixCounter:
         counts, last = [0], [b""]
         vocabulary, follows, longest = self.vocabulary, self.follows, self.longest
         for end in range(1, len(data) + 1):
-            start = end - longest if end > longest else 0
+            start = max(0, end - longest.get(data[end - 3:end], 2)) if end > 2 else 0
             while (token := data[start:end]) not in vocabulary or start and not follows[last[start], token]:
                 start += 1
             counts.append(counts[start] + 1)
