@@ -98,3 +98,17 @@ def per_batch(df: DataFrame, schema: str, make: Callable[[], Callable[[pa.Record
             if out is not None and out.num_rows:
                 yield out
     return df.mapInArrow(run, schema)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name beginning with `name` that the table does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, written once, with a number each that stays the same; and that column's name."""
+    row = fresh(df, "row_number")
+    return session.cut(df.withColumn(row, F.monotonically_increasing_id())), row

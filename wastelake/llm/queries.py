@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, tokens
+from . import fingerprints, mixing, packing, simhash, tokens
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,6 +15,8 @@ ORACLES: dict[str, str] = {}
 
 TOKEN_LIMIT = 512
 SEQUENCE_LENGTH = 1024
+SIMHASH_SHINGLE = 4
+SIMHASH_BITS = 4
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]):
@@ -32,3 +34,24 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's pieces and their places in sequences."""
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), SEQUENCE_LENGTH, keep_ids=False)
+
+
+@query
+def op7_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, folder, "documents"), SIMHASH_SHINGLE, SIMHASH_BITS)
+
+
+@query
+def op3_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Sketch of every document and of its edited text, and their likeness."""
+    return fingerprints.compared(table(spark, folder, "documents"))
+
+
+@query
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that a mix of all sources takes from every document."""
+    return mixing.mixed(table(spark, folder, "documents"))
+
+
+ORACLES["op5_mixing"] = mixing.oracle()
