@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, mixing, packing, simhash, tokens
+from . import fingerprints, mixing, packing, secrets, simhash, tokens
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,12 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op5_mixing"] = mixing.oracle()
+
+
+@query
+def op8_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    return secrets.scanned(table(spark, folder, "documents"))
+
+
+ORACLES["op8_secret_scans"] = secrets.oracle()
