@@ -54,6 +54,15 @@ def per_worker(key: object, make: Callable[[], object]) -> object:
     return kept[key]
 
 
+def per_job(slot: str, job: str, make: Callable[[], object]) -> object:
+    """As `per_worker`, for values of one job: the slot's value of an earlier job is dropped."""
+    kept = per_worker(slot, dict)
+    if job not in kept:
+        kept.clear()
+        kept[job] = make()
+    return kept[job]
+
+
 class Memo(dict):
     """A dictionary that works out missing entries and forgets those not asked for lately.
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, mixing, packing, secrets, simhash, tokens
+from . import fingerprints, mixing, packing, quality, secrets, simhash, tokens
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,9 @@ def op8_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op8_secret_scans"] = secrets.oracle()
+
+
+@query
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts, perplexity and verdict of every document."""
+    return quality.verdicts(table(spark, folder, "documents"))
