@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, mixing, packing, quality, secrets, simhash, tokens
+from . import fingerprints, lm_scoring, mixing, packing, quality, secrets, simhash, tokens
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,9 @@ ORACLES["op8_secret_scans"] = secrets.oracle()
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Counts, perplexity and verdict of every document."""
     return quality.verdicts(table(spark, folder, "documents"))
+
+
+@query
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probabilities of every document, from the documents that are not held out."""
+    return lm_scoring.scores(table(spark, folder, "documents"))
