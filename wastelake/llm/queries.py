@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, lm_scoring, mixing, packing, quality, secrets, simhash, tokens
+from . import fingerprints, lm_scoring, mixing, packing, quality, secrets, simhash, tokens, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Log probabilities of every document, from the documents that are not held out."""
     return lm_scoring.scores(table(spark, folder, "documents"))
+
+
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels that are not held out."""
+    return toxicity.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
