@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, lm_scoring, mixing, packing, quality, secrets, simhash, tokens, toxicity
+from . import fingerprints, lm_scoring, mixing, packing, quality, secrets, simhash, suffix_dedup, tokens, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,6 +15,7 @@ ORACLES: dict[str, str] = {}
 
 TOKEN_LIMIT = 512
 SEQUENCE_LENGTH = 1024
+REPEAT_BYTES = 200
 SIMHASH_SHINGLE = 4
 SIMHASH_BITS = 4
 
@@ -82,3 +83,10 @@ def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of every document, learnt from the labels that are not held out."""
     return toxicity.scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """What is left of every document without the byte strings that repeat."""
+    done = suffix_dedup.deduplicated(table(spark, folder, "documents"), REPEAT_BYTES)
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
