@@ -48,12 +48,12 @@ def test_points_in_and_near_polygons(spark):
     assert sorted(r[0] for r in some) == [int(i) for i in np.where(inside.any(1))[0]]
 
 
-def test_area_code_is_the_same_in_both_plans(spark):
+def test_area_code_is_the_same_for_any_cell(spark):
     points = frame(spark, np.vstack([crowd(60, 5), [[100.0, 50.0], [100.0, 100.0], [2000.0, 2000.0]]]))
     areas = spark.createDataFrame([(f"a{i}{j}", i * 100.0, j * 100.0) for i in range(10) for j in range(10)],
                                   "code string, ax double, ay double").withColumn("rings", geo.square("ax", "ay", F.lit(100.0)))
     small = spatial.area_code(points, areas, "code", "found", size=70.0)
-    large = spatial.area_code(points, areas, "code", "found", size=70.0, vertex_bound=0)
+    large = spatial.area_code(points, areas, "code", "found", size=500.0)
     one = {r["id"]: r["found"] for r in small.collect()}
     assert one == {r["id"]: r["found"] for r in large.collect()}
     assert one[60] == "a00" and one[61] == "a00" and one[62] is None
@@ -133,5 +133,23 @@ def test_merge_overlapping_takes_pairs_from_one_state(spark):
     square = lambda x, y: [[(x, y), (x + 4, y), (x + 4, y + 4), (x, y + 4), (x, y)]]
     rows = [("m1", True, square(0., 0.)), ("m2", True, square(3., 3.)), ("w1", False, square(6., 6.)), ("w2", False, square(20., 20.))]
     sites = spark.createDataFrame([(i, b, None, r) for i, b, r in rows], f"id string, bgt_based boolean, active int, rings {geo.RINGS}")
+    sites = sites.withColumns(dict(zip(("x", "y"), geo.centroid("rings").values())))
+    centre = next(r for r in st.merge_overlapping(sites).collect() if r["id"] == "m1")
+    assert abs(centre["x"] - (16 * 2 + 16 * 5 - 3.5) / 31) < 1e-9 and centre["x"] == centre["y"]
     got = {r["id"]: (r["active"], len(r["rings"])) for r in st.merge_overlapping(sites).collect()}
     assert got == {"m1": (4, 2), "m2": (4, 3), "w2": (None, 1)}
+
+
+def test_shapes_of_several_parts(spark):
+    """A point in the overlap of two parts lies in the shape; its centroid is that of the union."""
+    box = lambda x, y, w, h: [[{"x": float(a), "y": float(b)} for a, b in ((x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y))]][0]
+    shape = "array<array<struct<x:double,y:double>>>"
+    sites = spark.createDataFrame([(7, [box(0, 0, 10, 10), box(5, 0, 10, 10)]), (8, [box(100, 0, 4, 4)])], f"id int, rings {shape}")
+    measured = {r["id"]: r["u"] for r in sites.select("id", overlap.union_measure("rings").alias("u")).collect()}
+    assert (round(measured[7]["area"], 9), round(measured[7]["cx"], 9), round(measured[7]["cy"], 9)) == (150.0, 7.5, 5.0)
+    turned = spark.createDataFrame([([[{"x": 0.0, "y": 0.0}, {"x": 2.0, "y": 2.0}, {"x": 0.0, "y": 4.0}, {"x": -2.0, "y": 2.0}, {"x": 0.0, "y": 0.0}],
+                                      box(-1, 1, 2, 2)],)], f"rings {shape}")
+    assert round(turned.select(overlap.union_measure("rings").alias("u")).first()["u"]["area"], 9) == 8.0
+    points = spark.createDataFrame([(1, 7.0, 5.0), (2, 99.0, 2.0)], "id int, x double, y double")
+    found = nn.of_shapes(nn.nearest(nn.shape_items(sites, "id"), nn.point_items(points, "id"), nn.polygon_to_point))
+    assert {r["key"]: (r["target"], r["distance"]) for r in found.collect()} == {7: (1, 0.0), 8: (2, 1.0)}

@@ -29,18 +29,18 @@ def test_salted_join_changes_nothing(spark, how):
     left = spark.range(900).select("id", F.when(F.col("id") < 400, F.lit(1)).otherwise(F.col("id") % 300).alias("k"))
     right = spark.range(0, 200, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
     right = right.unionByName(right.filter("k < 4"))
-    got = skew.salted_join(left, right, ["k"], how, salts=4)
+    got = skew.salted_join(left, right, ["k"], how, salts=4, most=100)
     want = left.join(right, "k", how)
     assert rows(got, *sorted(got.columns)) == rows(want, *sorted(want.columns))
 
 
-def test_nested_parts_hold_all_children(spark):
-    children = spark.range(1000).select("id", F.when(F.col("id") < 700, F.lit(1)).otherwise(F.col("id")).alias("k"))
-    lists = skew.nested(children, "k", ["id"], "items", chunk=100)
-    sizes = lists.groupBy("k").agg(F.sum(F.size("items")).alias("n"), F.count("*").alias("parts"), F.max(F.size("items")).alias("most"))
-    hot = sizes.filter("k = 1").first()
-    assert hot["n"] == 700 and hot["parts"] == 7 and hot["most"] < 200
-    assert sizes.agg(F.sum("n")).first()[0] == 1000
+def test_every_child_is_a_row(spark):
+    parents = spark.createDataFrame([(1, "p"), (2, "q"), (3, "r")], "id int, name string")
+    children = spark.range(30_000).select("id", F.when(F.col("id") < 25_000, 1).otherwise(2).alias("k"))
+    rows_ = shape.expand_many(parents, children, "k", ["id"], "child")
+    counts = {r["id"]: (r["n"], r["named"]) for r in rows_.groupBy("id").agg(
+        F.count("child.id").alias("n"), F.count("name").alias("named")).collect()}
+    assert counts == {1: (25_000, 25_000), 2: (5_000, 5_000), 3: (0, 1)}
 
 
 def test_short_ids_of_one_address(spark):
@@ -168,13 +168,17 @@ def test_range_checks_fail_outside(spark):
 
 
 def test_cursor_pages_cover_everything(spark):
-    df, seen, cursor = spark.range(25), [], None
+    """Ties and missing keys on the border of two pages are neither lost nor met twice."""
+    df = spark.range(25).withColumn("at", F.when(F.col("id") % 5 > 0, F.floor(F.col("id") / 9)))
+    seen, cursor = [], None
     while True:
-        part = [r[0] for r in paging.cursor_page(df, "id", 10, cursor).collect()]
+        part = paging.cursor_page(df, "at", 4, cursor).collect()
         if not part:
             break
-        seen, cursor = seen + part, part[-1]
-    assert seen == list(range(24, -1, -1))
+        seen, cursor = seen + [r["id"] for r in part], (part[-1]["at"], part[-1]["id"])
+    assert sorted(seen) == list(range(25)) and len(seen) == 25
+    with pytest.raises(ValueError):
+        paging.cursor_page(df, "at", 10_000)
 
 
 def test_report_names_every_rule(spark):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,13 +36,17 @@ LAST = """SELECT l_linenumber AS system_id, l_orderkey, l_shipdate, l_tax,
 
 
 @query("src_03_weigh_raw", """SELECT l_orderkey * 10 + l_linenumber AS id, l_linenumber AS system_id,
-    strftime(max(l_shipdate), '%Y-%m-%d') || ' 10:44:34' AS weigh_at FROM {lineitem} x
-    WHERE NOT EXISTS (SELECT 1 FROM {lineitem} y WHERE y.l_tax = 0 AND y.l_orderkey = x.l_orderkey
-                      AND y.l_linenumber = x.l_linenumber) GROUP BY l_orderkey, l_linenumber""")
+    strftime(max(l_shipdate), '%Y-%m-%d') || ' 10:44:34' AS weigh_at FROM {lineitem} WHERE l_tax <> 0
+    GROUP BY l_orderkey, l_linenumber""")
 def _(t: Tables) -> DataFrame:
-    """Keyed pages; those with an undated record are left out here, as their last one may be it."""
-    undated = t.lineitem.filter("l_tax = 0").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"))
-    return pg.weigh_raw(landed.weigh_pages(t)).join(undated, "id", "left_anti").select("id", "system_id", _text("weigh_at"))
+    """Keyed pages, whether or not their last record is dated."""
+    return pg.weigh_raw(landed.weigh_pages(t)).select("id", "system_id", _text("weigh_at"))
+
+
+@query("src_03_unkeyed_pages", """SELECT l_orderkey * 10 + l_linenumber AS id FROM {lineitem}
+    GROUP BY l_orderkey, l_linenumber HAVING max(l_tax) = 0""")
+def _(t: Tables) -> DataFrame:
+    return pg.unkeyed_weigh_pages(landed.weigh_pages(t)).select("id")
 
 
 @query("src_04_weigh_records", """SELECT l_orderkey * 10 + l_linenumber AS page_id, CAST(l_suppkey AS VARCHAR) AS cust,
@@ -99,6 +105,16 @@ def _(t: Tables) -> DataFrame:
                         *[F.round(b[n], 1).alias(n) for n in ("minx", "miny", "maxx", "maxy")])
 
 
+@query("src_10_layer_errors", """SELECT id * 10 AS id, 'pand.' || id AS fid, 'LineString' AS type FROM {buildings} WHERE id % 3 = 0
+    UNION ALL SELECT id * 10, NULL, NULL FROM {buildings} WHERE id % 3 = 1""")
+def _(t: Tables) -> DataFrame:
+    """Lines and broken pages among polygons are told, not lost."""
+    feature = (lambda kind: F.format_string(
+        '{"features": [{"id": "pand.%d", "properties": {}, "geometry": {"type": "' + kind + '", "coordinates": [[[4, 52], [5, 52], [5, 53], [4, 52]]]}}]}', "id"))
+    text = F.when(F.col("id") % 3 == 0, feature("LineString")).when(F.col("id") % 3 == 1, F.lit("not json")).otherwise(feature("Polygon"))
+    return pg.geo_layer_errors(t.buildings.select((F.col("id") * 10).alias("id"), text.alias("data")))
+
+
 @query("src_11_read_tables", "SELECT (SELECT count(*) FROM {part}) AS parts, (SELECT count(*) FROM {orders}) AS orders")
 def _(t: Tables) -> DataFrame:
     tables = pg.read_tables(t.spark, t.folder, ["part", "orders"])
@@ -352,15 +368,11 @@ def _(t: Tables) -> DataFrame:
     return rows.select("id", F.col("well.id_number").alias("well_number"), F.col("well.site.short_id").alias("short_id"))
 
 
-@query("prj_16_expand_many", """SELECT w.id, count(c.id) AS n, sum(c.id) AS total, min(c.waste_name) AS low
-    FROM {wells} w LEFT JOIN {containers} c ON c.well_id = w.id GROUP BY 1""")
+@query("prj_16_expand_many", """SELECT w.id, w.site_id, c.id AS container_id, c.waste_name
+    FROM {wells} w LEFT JOIN {containers} c ON c.well_id = w.id""")
 def _(t: Tables) -> DataFrame:
-    rows = shape.expand_many(t.wells, t.containers, "well_id", ["id", "waste_name"], "containers")
-    ids = F.transform("containers", lambda c: c["id"])
-    total = F.when(F.size("containers") > 0, F.aggregate(ids, F.lit(0).cast("bigint"), lambda a, b: a + b))
-    return rows.groupBy("id").agg(
-        F.sum(F.size("containers")).alias("n"), F.sum(total).alias("total"),
-        F.min(F.array_min(F.transform("containers", lambda c: c["waste_name"]))).alias("low"))
+    rows = shape.expand_many(t.wells, t.containers, "well_id", ["id", "waste_name"], "container")
+    return rows.select("id", "site_id", F.col("container.id").alias("container_id"), "container.waste_name")
 
 
 FRACTIE = """SELECT w.site_id, c.waste_name AS fractie, count(*) AS containers
@@ -474,10 +486,11 @@ def _(t: Tables) -> DataFrame:
     return pg.detail_items(landed.container_pages(t)).select("id", clean.waste_name("data").alias("waste_name"))
 
 
-@query("fn_11_canonical_fraction", """SELECT seq_id, CASE fractie WHEN 'Kunststof' THEN 'Plastic' ELSE fractie END AS fractie
+@query("fn_11_canonical_fraction", """SELECT seq_id, CASE WHEN net_weight < 100 THEN NULL WHEN fractie = 'Kunststof' THEN 'Plastic' ELSE fractie END AS fractie
     FROM {measurements}""")
 def _(t: Tables) -> DataFrame:
-    return t.measurements.select("seq_id", clean.canonical_fraction("fractie").alias("fractie"))
+    known = F.when(F.col("net_weight") >= 100, F.col("fractie"))
+    return t.measurements.select("seq_id", clean.canonical_fraction(known).alias("fractie"))
 
 
 @query("fn_12_weights", """SELECT seq_id, first_weight AS f, second_weight AS s, net_weight AS n,
@@ -508,7 +521,8 @@ def _(t: Tables) -> DataFrame:
     return lonlat.select("id", F.rint(rd["x_rd"]).cast("bigint").alias("x"), F.rint(rd["y_rd"]).cast("bigint").alias("y"))
 
 
-@query("fn_17_rd_to_wgs84")
+@query("fn_17_rd_to_wgs84", "SELECT id, round({lon}, 6) AS lon, round({lat}, 6) AS lat FROM {{wells}}".format(
+    **{k: re.sub(r"(?<=\d)D\b", "::DOUBLE", text) for k, text in geo.rd_to_wgs84_sql("x", "y").items()}))
 def _(t: Tables) -> DataFrame:
     p = geo.rd_to_wgs84("x", "y")
     return t.wells.select("id", F.round(p["lon"], 6).alias("lon"), F.round(p["lat"], 6).alias("lat"))
@@ -581,18 +595,17 @@ def _(t: Tables) -> DataFrame:
     return rows.select("seq_id", "system_id", "site_id", "fractie", "valid", "net_weight")
 
 
-@query("pl_04_weigh_feed_first", """WITH p AS (SELECT l_orderkey, l_linenumber, max(l_shipdate) AS last FROM {lineitem} x
-        WHERE NOT EXISTS (SELECT 1 FROM {lineitem} y WHERE y.l_tax = 0 AND y.l_orderkey = x.l_orderkey
-                          AND y.l_linenumber = x.l_linenumber) GROUP BY 1, 2),
+FIRST_LOAD = """WITH p AS (SELECT l_orderkey, l_linenumber, max(l_shipdate) AS last FROM {lineitem} WHERE l_tax <> 0 GROUP BY 1, 2),
     q AS (SELECT l_linenumber, last, min(l_orderkey) AS l_orderkey FROM p GROUP BY 1, 2)
     SELECT i.l_orderkey AS seq_id, i.l_linenumber AS system_id, i.l_suppkey AS site_id
-    FROM {lineitem} i JOIN q ON q.l_orderkey = i.l_orderkey AND q.l_linenumber = i.l_linenumber""")
+    FROM {lineitem} i JOIN q ON q.l_orderkey = i.l_orderkey AND q.l_linenumber = i.l_linenumber WHERE i.l_tax <> 0"""
+
+
+@query("pl_04_weigh_feed_first", FIRST_LOAD)
 def _(t: Tables) -> DataFrame:
-    """First load; pages with an undated record are left out, as in the SQL."""
-    undated = t.lineitem.filter("l_tax = 0").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"))
-    pages = landed.weigh_pages(t).join(undated, "id", "left_anti")
+    """First load of all pages; undated records are left out of the measurements."""
     none = t.spark.createDataFrame([], "system_id bigint, weigh_at timestamp")
-    return feeds.weighings(pages, none, t.districts, t.areas).select("seq_id", "system_id", "site_id")
+    return feeds.weighings(landed.weigh_pages(t), none, t.districts, t.areas).select("seq_id", "system_id", "site_id")
 
 
 @query("pl_06_sensor_feed", STATES)

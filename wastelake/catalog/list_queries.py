@@ -12,7 +12,7 @@ from ..session import work_path
 from ..sources import pages as pg
 from ..streaming import live
 from . import landed
-from .feed_queries import KNOWN, LEVELS, STATES, _state_columns, _text
+from .feed_queries import FIRST_LOAD, KNOWN, LEVELS, STATES, _state_columns, _text
 from .map_queries import SUPPLIER
 from .registry import Tables, query
 
@@ -98,6 +98,14 @@ def _(t: Tables) -> DataFrame:
     return fl.apply_filters(t.containers, {"active__lt": 2, "waste_name": "Glas"}, fl.FILTERS["containers"]).select("id")
 
 
+@query("fil_01_containers_by_area", """SELECT c.id FROM {containers} c JOIN {wells} w ON w.id = c.well_id
+    WHERE w.stadsdeel = 'A' AND c.active < 2""")
+def _(t: Tables) -> DataFrame:
+    """District and neighbourhood of a container are those of its well."""
+    rows = fl.with_well_area(t.containers, t.wells)
+    return fl.apply_filters(rows, {"stadsdeel": "A", "active__lt": 2}, fl.FILTERS["containers"]).select("id")
+
+
 @query("fil_01_measurements", "SELECT seq_id, net_weight FROM {measurements} WHERE fractie = 'Rest' AND valid")
 def _(t: Tables) -> DataFrame:
     return fl.apply_filters(t.measurements, {"fractie": "Rest", "valid": True}, fl.FILTERS["measurements"]).select(
@@ -341,27 +349,33 @@ def _(t: Tables) -> DataFrame:
     return t.spark.read.parquet(out).select(_text("time"), "fill_level", "e_site_name", "site_id")
 
 
-@query("str_03_weigh_stream", """WITH p AS (SELECT l_orderkey, l_linenumber, max(l_shipdate) AS last FROM {lineitem} x
-        WHERE NOT EXISTS (SELECT 1 FROM {lineitem} y WHERE y.l_tax = 0 AND y.l_orderkey = x.l_orderkey
-                          AND y.l_linenumber = x.l_linenumber) GROUP BY 1, 2),
-    q AS (SELECT l_linenumber, last, min(l_orderkey) AS l_orderkey FROM p GROUP BY 1, 2)
-    SELECT i.l_orderkey AS seq_id, i.l_linenumber AS system_id, i.l_suppkey AS site_id
-    FROM {lineitem} i JOIN q ON q.l_orderkey = i.l_orderkey AND q.l_linenumber = i.l_linenumber""")
+@query("str_03_weigh_stream", FIRST_LOAD)
 def _(t: Tables) -> DataFrame:
     """All pages come in one batch; a second run of the stream finds none."""
-    undated = t.lineitem.filter("l_tax = 0").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"))
-    stream = _landed(t, landed.weigh_pages(t).join(undated, "id", "left_anti"), "weighings")
+    stream = _landed(t, landed.weigh_pages(t), "weighings")
     out, marks = work_path(t.spark, "weighings"), work_path(t.spark, "marks")
     for _run in range(2):
         live.weighings(stream, t.districts, t.areas, out, marks).awaitTermination()
     return t.spark.read.parquet(out).select("seq_id", "system_id", "site_id")
 
 
-@query("str_04_latest_per_container", "SELECT DISTINCT strftime(scraped_at, '%Y-%m-%d %H:%M:%S') AS scraped_at, description FROM {states}")
+@query("str_04_latest_per_container", """SELECT strftime(max(scraped_at), '%Y-%m-%d %H:%M:%S') AS scraped_at, description,
+    arg_max(id, (scraped_at, id)) AS id FROM {states} GROUP BY description""")
+def _(t: Tables) -> DataFrame:
+    """The states come in several batches; the last table of the stream has the latest of each container."""
+    return _latest_states(t).select(_text("scraped_at"), "description", "id")
+
+
+@query("str_04_last_hour", """SELECT description, arg_max(id, (scraped_at, id)) AS id FROM {states}
+    WHERE scraped_at > (SELECT max(scraped_at) - INTERVAL 1 HOUR FROM {states}) GROUP BY description""")
 def _(t: Tables) -> DataFrame:
+    now = t.states.agg(F.max("scraped_at")).first()[0]
+    return live.within_last_hour(_latest_states(t), F.lit(now)).select("description", "id")
+
+
+def _latest_states(t: Tables) -> DataFrame:
     source, out, marks = (work_path(t.spark, n) for n in ("states-in", "states-out", "marks"))
-    t.states.write.parquet(source)
-    stream = t.spark.readStream.schema(t.states.schema).parquet(source)
-    (live.latest_per_container(stream).writeStream.outputMode("append").format("parquet").option("path", out)
-     .option("checkpointLocation", marks).trigger(availableNow=True).start().awaitTermination())
-    return t.spark.read.parquet(out).select(_text("scraped_at"), "description")
+    t.states.repartition(4, "id").write.parquet(source)
+    stream = t.spark.readStream.schema(t.states.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    live.latest_states(stream, ["scraped_at", "id"], out, marks).awaitTermination()
+    return live.stored_states(t.spark, out)

@@ -88,6 +88,18 @@ def _(t: Tables) -> DataFrame:
     return circles.groupBy("owner_id").agg(F.count("ring").alias("parts"))
 
 
+@query("geo_08_union_area", """SELECT a.id, b.id AS b_id, (a.maxx - a.minx) * (a.maxy - a.miny) + (b.maxx - b.minx) * (b.maxy - b.miny)
+      - (least(a.maxx, b.maxx) - greatest(a.minx, b.minx)) * (least(a.maxy, b.maxy) - greatest(a.miny, b.miny)) AS area
+    FROM {buildings} a JOIN {buildings} b ON a.id < b.id AND a.minx < b.maxx AND b.minx < a.maxx AND a.miny < b.maxy AND b.miny < a.maxy""")
+def _(t: Tables) -> DataFrame:
+    """Area of the dissolved union of two buildings that overlap, or of which one holds the other."""
+    shapes = t.buildings.select("id", "minx", "miny", "maxx", "maxy", "rings")
+    pairs = spatial.polygon_pairs(shapes, shapes, 0.0, F.col("id") < F.col("b_id"))
+    meet = (F.col("minx") < F.col("b_maxx")) & (F.col("b_minx") < F.col("maxx")) & (F.col("miny") < F.col("b_maxy")) & (F.col("b_miny") < F.col("maxy"))
+    measured = pairs.filter(meet).withColumn("u", overlap.union_measure(F.concat("rings", "b_rings")))
+    return measured.select("id", "b_id", F.round("u.area", 6).alias("area"))
+
+
 @query("geo_09_parts", "SELECT id, 1 AS part FROM {buildings} UNION ALL SELECT id, 2 FROM {buildings}")
 def _(t: Tables) -> DataFrame:
     many = t.buildings.select("id", F.array("rings", "rings").alias("many"))
@@ -116,8 +128,8 @@ def _(t: Tables) -> DataFrame:
 
 @query("jn_03_area_code_large_layer", AREA_OF)
 def _(t: Tables) -> DataFrame:
-    """The same over the plan for a layer that must not be broadcast."""
-    return spatial.area_code(t.wells.select("id", "x", "y"), t.areas, "vollcode", "found", vertex_bound=0).select("id", "found")
+    """The same over cells much smaller than the areas."""
+    return spatial.area_code(t.wells.select("id", "x", "y"), t.areas, "vollcode", "found", size=100.0).select("id", "found")
 
 
 @query("jn_04_fill_area_code", f"""SELECT p.seq_id, p.site_id, coalesce(CASE WHEN p.valid THEN p.stadsdeel END, min(b.code)) AS stadsdeel
@@ -284,6 +296,58 @@ def _(t: Tables) -> DataFrame:
     return st.merge_overlapping(_built(t)).select("id", "active", F.size("rings").alias("parts"))
 
 
+MERGED = f"""o AS (SELECT a.id, b.id AS b_id, b.bgt_based, b.minx, b.miny, b.maxx, b.maxy FROM {{site_boxes}} a JOIN {{site_boxes}} b
+        ON a.id <> b.id AND {BOXES_MEET} WHERE a.bgt_based),
+    stay AS (SELECT * FROM {{site_boxes}} WHERE id NOT IN (SELECT b_id FROM o WHERE NOT bgt_based)),
+    box AS (SELECT id, minx, miny, maxx, maxy FROM stay UNION ALL SELECT id, minx, miny, maxx, maxy FROM o WHERE id IN (SELECT id FROM stay))"""
+
+
+@query("jn_18_merged_centroids", f"""WITH {MERGED}, two AS (SELECT id FROM box GROUP BY id HAVING count(*) = 2),
+    p AS (SELECT s.*, greatest(s.minx, o.minx) AS ix0, least(s.maxx, o.maxx) AS ix1, greatest(s.miny, o.miny) AS iy0,
+                 least(s.maxy, o.maxy) AS iy1, (o.minx + o.maxx) / 2 AS ox, (o.miny + o.maxy) / 2 AS oy
+          FROM stay s JOIN two USING (id) JOIN o ON o.id = s.id),
+    q AS (SELECT *, (ix1 - ix0) * (iy1 - iy0) AS shared FROM p)
+    SELECT id, round((3600 * x + 3600 * ox - shared * (ix0 + ix1) / 2) / (7200 - shared), 4) AS x,
+           round((3600 * y + 3600 * oy - shared * (iy0 + iy1) / 2) / (7200 - shared), 4) AS y FROM q""")
+def _(t: Tables) -> DataFrame:
+    """Centroids of sites that took in one other: those of the dissolved union."""
+    merged = st.merge_overlapping(_built(t)).filter(F.size("rings") == 2)
+    return merged.select("id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+
+
+@query("jn_20_merged_moorings", f"""WITH {MERGED}, d AS (SELECT a.id, b.id AS mooring, b.street, min({BOX_BOX}) AS near
+        FROM box a CROSS JOIN {{moorings}} b WHERE a.id IN (SELECT site_id FROM {{wells}}) GROUP BY 1, 2, 3),
+    n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY near, mooring) AS rn FROM d) WHERE rn = 1)
+    SELECT s.id, CASE WHEN round_even(n.near, 0) - s.distance < -10 THEN n.street ELSE s.straatnaam END AS straatnaam,
+           CASE WHEN round_even(n.near, 0) - s.distance < -10 THEN CAST(round_even(n.near, 0) AS BIGINT) ELSE s.distance END AS distance
+    FROM stay s LEFT JOIN n ON n.id = s.id""")
+def _(t: Tables) -> DataFrame:
+    """Distances to merged shapes are those to the nearest of their parts."""
+    merged = st.merge_overlapping(_built(t))
+    return st.readdress(merged, t.wells, t.moorings, 10).select("id", "straatnaam", "distance")
+
+
+@query("jn_21_merged_addresses", f"""WITH {MERGED}, d AS (SELECT a.id, p.id AS address, p.street, min({POINT_BOX.replace("b.", "a.")}) AS near
+        FROM box a CROSS JOIN {{addresses}} p WHERE a.id IN (SELECT site_id FROM {{wells}}) GROUP BY 1, 2, 3),
+    n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY near, address) AS rn FROM d) WHERE rn = 1)
+    SELECT s.id, CASE WHEN round_even(n.near, 0) - s.distance < -10 THEN n.street ELSE s.straatnaam END AS straatnaam,
+           CASE WHEN round_even(n.near, 0) - s.distance < -10 THEN CAST(round_even(n.near, 0) AS BIGINT) ELSE s.distance END AS distance
+    FROM stay s LEFT JOIN n ON n.id = s.id""")
+def _(t: Tables) -> DataFrame:
+    merged = st.merge_overlapping(_built(t))
+    return st.readdress(merged, t.wells, t.addresses, 10).select("id", "straatnaam", "distance")
+
+
+@query("jn_28_merged_supplier_sites", f"""WITH {MERGED}, d AS (SELECT p.id, b.id AS site, min({POINT_BOX}) AS near
+        FROM {{supplier_points}} p CROSS JOIN box b GROUP BY 1, 2),
+    n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY near, site) AS rn FROM d) WHERE rn = 1)
+    SELECT p.id, CASE WHEN round_even(n.near, 0) < 30 THEN s.num END AS site_id
+    FROM {{supplier_points}} p LEFT JOIN n ON n.id = p.id LEFT JOIN {{site_boxes}} s ON s.id = n.site""")
+def _(t: Tables) -> DataFrame:
+    merged = st.merge_overlapping(_built(t)).join(t.site_boxes.select("id", F.col("num").alias("short_id")), "id")
+    return st.supplier_sites(t.supplier_points, merged).select("id", "site_id")
+
+
 @query("jn_19_merge_close", f"""WITH RECURSIVE a AS (SELECT p.*, b.vollcode FROM {{site_boxes}} p JOIN {{areas}} b
         ON p.x BETWEEN b.minx AND b.maxx AND p.y BETWEEN b.miny AND b.maxy),
     e AS (SELECT a.id, b.id AS other FROM a JOIN a b ON a.vollcode = b.vollcode AND a.id <> b.id WHERE {BOX_BOX} <= 5),

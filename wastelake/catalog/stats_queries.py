@@ -218,11 +218,23 @@ def _(t: Tables) -> DataFrame:
     return paging.page(t.sites.select("id", "short_id"), "id", 3, paging.SITE_PAGE_SIZE)
 
 
-@query("so_03_cursor_page", """SELECT id, filling FROM {states}
-    WHERE id < (SELECT count(*) FROM {states}) ORDER BY id DESC LIMIT 100""")
+@query("so_03_cursor_page", """SELECT id, filling FROM {states} ORDER BY id DESC LIMIT 100""")
 def _(t: Tables) -> DataFrame:
-    below = t.states.count()
-    return paging.cursor_page(t.states.select("id", "filling"), "id", 100, below, 5000)
+    return paging.cursor_page(t.states.select("id", "filling"), "id", 100, None, "id", 5000)
+
+
+@query("so_03_cursor_ties", """SELECT id, filling, n FROM (SELECT id, filling, (row_number() OVER (ORDER BY filling DESC, id DESC) - 1) // 40 AS n
+    FROM {states}) WHERE n < 3""")
+def _(t: Tables) -> DataFrame:
+    """Three pages in a row over a key that most rows share with others."""
+    rows, cursor, pages = t.states.select("id", "filling"), None, None
+    for n in range(3):
+        part = paging.cursor_page(rows, "filling", 40, cursor)
+        last = part.collect()[-1]  # as a client does with the page it was given
+        cursor = (last["filling"], last["id"])
+        numbered = part.withColumn("n", F.lit(n).cast("bigint"))
+        pages = numbered if pages is None else pages.unionByName(numbered)
+    return pages
 
 
 @query("so_04_default_order", f"WITH k AS ({_site_sql('month')}) SELECT site_id, fractie, month, year, sum FROM k")
@@ -232,7 +244,7 @@ def _(t: Tables) -> DataFrame:
 
 
 @query("so_list_query", """SELECT id, huisnummer FROM {sites} WHERE stadsdeel = 'A' AND bgt_based
-    ORDER BY huisnummer DESC, id LIMIT 20""")
+    ORDER BY huisnummer DESC, id LIMIT 10""")
 def _(t: Tables) -> DataFrame:
     return paging.list_query(t.sites, "sites", {"stadsdeel": "A", "bgt_based": True}, "id,huisnummer", None, "-huisnummer,id")
 

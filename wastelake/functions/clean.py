@@ -78,18 +78,18 @@ def remove_blanks(c: Column | str) -> Column:
     return F.replace(col(c), F.lit(" "), F.lit(""))
 
 
+# A word begins at a capital after a small letter or digit, or before a small letter.
+WORD_BORDER = "(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])"
+
+
 def snake_name(name: str) -> str:
     """CamelCase schema name in snake_case."""
-    split = re.sub(r"(.)([A-Z][a-z]+)", r"\1_\2", name)
-    return re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", split).lower()
+    return re.sub(WORD_BORDER, "_", name).lower()
 
 
 def snake_keys(m: Column | str) -> Column:
     """Map column with its CamelCase keys in snake_case."""
-    def rename(key: Column, _value: Column) -> Column:
-        split = F.regexp_replace(key, r"(.)([A-Z][a-z]+)", "$1_$2")
-        return F.lower(F.regexp_replace(split, r"([a-z0-9])([A-Z])", "$1_$2"))
-    return F.transform_keys(col(m), rename)
+    return F.transform_keys(col(m), lambda key, _value: F.lower(F.regexp_replace(key, WORD_BORDER, "_")))
 
 
 def safe_int(c: Column | str) -> Column:
@@ -130,11 +130,10 @@ def waste_name(json: Column | str) -> Column:
 
 
 def canonical_fraction(c: Column | str | None) -> Column:
-    """Fraction under its usual name; no column or no value means residual waste."""
+    """Fraction under its usual name; no column means residual waste, no value stays none."""
     if c is None:
         return F.lit(DEFAULT_FRACTION)
-    text = F.coalesce(col(c), F.lit(DEFAULT_FRACTION))
-    return F.coalesce(F.try_element_at(literal_map(FRACTION_ALIASES), text), text)
+    return F.coalesce(F.try_element_at(literal_map(FRACTION_ALIASES), col(c)), col(c))
 
 
 def weights(first: Column | str, second: Column | str, net: Column | str) -> dict[str, Column]:

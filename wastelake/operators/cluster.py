@@ -19,7 +19,6 @@ from ..functions import geo
 from ..session import cut
 
 HULL_STRIPE = 100.0
-MAX_ROUNDS = 100
 
 # Workers need not have the package installed: its functions travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -61,7 +60,7 @@ def components(pairs: DataFrame) -> DataFrame:
     """
     links = cut(pairs.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     mark = None
-    for _ in range(MAX_ROUNDS):
+    while True:  # every round but the last brings some node nearer to its root
         now = tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == mark:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
@@ -76,7 +75,6 @@ def components(pairs: DataFrame) -> DataFrame:
         small = large.join(lower, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         own = lower.select("u", F.col("m").alias("v"))
         links = cut(small.unionByName(own).filter("u <> v").distinct())
-    raise RuntimeError("components did not settle")
 
 
 def clusters(points: DataFrame, reach: float) -> DataFrame:

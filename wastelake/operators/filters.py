@@ -64,10 +64,18 @@ def apply_filters(df: DataFrame, params: Mapping[str, object], allowed: Mapping[
         op = op or "exact"
         if op not in allowed.get(column, ()):
             raise ValueError(f"no filter {name!r}")
+        if column not in df.columns:
+            raise ValueError(f"the filter {name!r} needs rows with {column!r}, which a relation gives")
         df = df.filter(OPERATORS[op](F.col(column), F.lit(value)))
     return df
 
 
+def with_well_area(containers: DataFrame, wells: DataFrame) -> DataFrame:
+    """Containers with the district and neighbourhood of their well; NULL without one."""
+    areas = wells.select(F.col("id").alias("well_id"), "stadsdeel", "buurt_code")
+    return containers.drop("stadsdeel", "buurt_code").join(areas, "well_id", "left")
+
+
 def choice(df: DataFrame, column: str, value: str, domain: tuple | Mapping) -> DataFrame:
     """Equality with a value of a fixed domain; any other value is an error."""
     if value not in domain:

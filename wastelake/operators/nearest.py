@@ -55,6 +55,19 @@ def polygon_items(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
         F.col(key).alias("key"), *by, *[c.alias(n) for n, c in geo.bounds("rings").items()], F.col("rings").alias("geom"))
 
 
+def shape_items(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:
+    """Shapes of several parts, one item per part; the parts' key is `(id, part)`."""
+    parts = df.filter("rings is not null").select(F.col(key).alias("_id"), *by, F.posexplode("rings").alias("_part", "_ring"))
+    return polygon_items(parts.select(F.struct(F.col("_id").alias("id"), F.col("_part").alias("part")).alias("_key"), *by,
+                                      F.array("_ring").alias("rings")), "_key", by)
+
+
+def of_shapes(found: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """What `nearest` found for the items of shapes, per shape: the target nearest to any part."""
+    best = found.groupBy(F.col("key.id").alias("key"), *by).agg(F.min(F.struct("distance", "target")).alias("_best"))
+    return best.select("key", *by, "_best.target", "_best.distance")
+
+
 def point_to_point(q: str, t: str) -> Column:
     return geo.distance(f"{q}.x", f"{q}.y", f"{t}.x", f"{t}.y")
 

@@ -12,6 +12,7 @@ from .shape import sparse
 
 # Page sizes and default orders of the lists.
 PAGE_SIZE, SITE_PAGE_SIZE, MAX_PAGE = 20, 10, 9000
+PAGE_SIZES = {"sites": SITE_PAGE_SIZE}
 CURSOR_SIZES = {"measurements": (100, 9000), "sensor_states": (100, 5000), "fill_levels": (100, 9000)}
 DEFAULT_ORDER = {
     "containers": "id", "wells": "id", "container_types": "id", "sites": "id", "supplier_sites": "id",
@@ -36,25 +37,43 @@ def default_ordered(df: DataFrame, entity: str) -> DataFrame:
     return ordered(df, DEFAULT_ORDER[entity])
 
 
+def _allowed(size: int, largest: int) -> int:
+    if size > largest:
+        raise ValueError(f"a page has at most {largest} rows")
+    return size
+
+
+def numbered_rows(df: DataFrame, order: str, number: int = 1, size: int = PAGE_SIZE, largest: int = MAX_PAGE) -> DataFrame:
+    """One numbered page; `order` should be unique."""
+    size = _allowed(size, largest)
+    return ordered(df, order).offset((number - 1) * size).limit(size)
+
+
 def page(df: DataFrame, order: str, number: int = 1, size: int = PAGE_SIZE, largest: int = MAX_PAGE) -> DataFrame:
-    """One numbered page with the total count; `order` should be unique."""
-    size = min(size, largest)
+    """One numbered page with the total count."""
     total = df.agg(F.count("*").alias("total"))
-    rows = ordered(df, order).offset((number - 1) * size).limit(size)
-    return rows.crossJoin(F.broadcast(total))  # one row
+    return numbered_rows(df, order, number, size, largest).crossJoin(F.broadcast(total))  # one row
+
 
+def cursor_page(df: DataFrame, key: str, size: int, cursor: tuple | None = None, tie: str = "id", largest: int = 9000) -> DataFrame:
+    """Newest rows after a cursor, the pair of `key` and `tie` of the last row seen.
 
-def cursor_page(df: DataFrame, key: str, size: int, cursor=None, largest: int = 9000) -> DataFrame:
-    """Newest rows before a cursor; neither counts nor skips rows, so any depth costs the same."""
-    rest = df if cursor is None else df.filter(F.col(key) < F.lit(cursor))
-    return rest.orderBy(F.col(key).desc()).limit(min(size, largest))
+    `tie` tells rows of equal key apart, so no row is met twice or left out. Rows without a
+    key come last. Rows are neither counted nor skipped, so any depth costs the same.
+    """
+    rest, later = df, F.col(tie)
+    if cursor is not None:
+        at, last = cursor
+        tied = F.col(key).eqNullSafe(F.lit(at)) & (later < F.lit(last))
+        rest = df.filter(tied if at is None else (F.col(key) < F.lit(at)) | tied | F.col(key).isNull())
+    return rest.orderBy(F.col(key).desc_nulls_last(), later.desc()).limit(_allowed(size, largest))
 
 
 def list_query(
     df: DataFrame, entity: str, params: Mapping[str, object] | None = None, fields: str | None = None,
-    omit: str | None = None, order: str | None = None, number: int = 1, size: int = PAGE_SIZE,
+    omit: str | None = None, order: str | None = None, number: int = 1, size: int | None = None,
 ) -> DataFrame:
-    """Filter, order, page and pick fields, as one lazy plan."""
+    """Filter, order, page and pick fields, as one lazy plan; the list's own page size unless given."""
     rows = fl.apply_filters(df, params or {}, fl.FILTERS[entity])
-    rows = page(rows, order or DEFAULT_ORDER[entity], number, size).drop("total")
+    rows = numbered_rows(rows, order or DEFAULT_ORDER[entity], number, size or PAGE_SIZES.get(entity, PAGE_SIZE))
     return sparse(rows, fields, omit)

@@ -14,7 +14,6 @@ from ..functions.clean import (
 )
 from ..sources.pages import SENSOR_FIELDS, sensor_items, weigh_records
 from .links import sensor_sites
-from .skew import nested
 
 OWNER = "owner struct<id: bigint, name: string>"
 DATES = "created_at string, placing_date string, warranty_date string, operational_date string"
@@ -251,8 +250,11 @@ LIST_COLUMNS = {
 
 
 def list_columns(df: DataFrame, entity: str, detailed: bool) -> DataFrame:
+    """Columns of a list; a table that lacks one of them is an error."""
     names = LIST_COLUMNS[entity][1 if detailed else 0] or df.columns
-    return df.select(*[n for n in names if n in df.columns])
+    if missing := [n for n in names if n not in df.columns]:
+        raise ValueError(f"{entity} lack {', '.join(missing)}")
+    return df.select(*names)
 
 
 def expand_one(child: DataFrame, key: str, parent: DataFrame, fields: Sequence[str], name: str) -> DataFrame:
@@ -261,14 +263,11 @@ def expand_one(child: DataFrame, key: str, parent: DataFrame, fields: Sequence[s
     return child.join(parents, key, "left")
 
 
-def expand_many(parent: DataFrame, child: DataFrame, key: str, fields: Sequence[str], name: str,
-                chunk: int = 10_000) -> DataFrame:
-    """The children as an array column, empty without any; a parent with more than
-    `chunk` children has further rows, told apart by `part`."""
-    lists = nested(child, key, list(fields), name, chunk).withColumnRenamed(key, "id")
-    empty = F.array().cast(lists.schema[name].dataType)
-    return parent.join(lists, "id", "left").withColumn(name, F.coalesce(name, empty)).withColumn(
-        "part", F.coalesce("part", F.lit(0)))
+def expand_many(parent: DataFrame, child: DataFrame, key: str, fields: Sequence[str], name: str) -> DataFrame:
+    """The relation as rows: the parent's columns and one child's fields as a struct, which
+    is NULL for a parent without any. However many children a parent has, a row holds one."""
+    children = child.select(F.col(key).alias("id"), F.struct(*fields).alias(name))
+    return parent.join(children, "id", "left")
 
 
 def fraction_maps(sites: DataFrame, fractions: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from . import nearest as nn
 from .cluster import clusters, components, hulls
 from .links import usable_wells
 from .merge import update_from
-from .overlap import overlaps, polygon_distance
+from .overlap import overlaps, polygon_distance, union_measure
 from .spatial import area_code, points_in_polygons, polygon_pairs
 
 BIN_REACH = 7.0
@@ -55,7 +55,7 @@ def cluster_areas(shapes: DataFrame, districts: DataFrame, areas: DataFrame) ->
 def nearest_street(shapes: DataFrame, streets: DataFrame, key: str = "cluster") -> DataFrame:
     """`(key, street_id, straatnaam)` of the nearest road by shape."""
     roads = streets.filter("opr_type = 'Weg'")
-    found = nn.nearest(nn.polygon_items(shapes, key), nn.polygon_items(roads, "id"), nn.polygon_to_polygon, cell=64.0)
+    found = nn.of_shapes(nn.nearest(nn.shape_items(shapes, key), nn.polygon_items(roads, "id"), nn.polygon_to_polygon, cell=64.0))
     names = roads.select(F.col("id").alias("target"), F.col("display").alias("straatnaam"))
     return found.join(names, "target").select(F.col("key").alias(key), F.col("target").alias("street_id"), "straatnaam")
 
@@ -73,10 +73,10 @@ def street_addresses(
         used = addresses.select(F.col("street").alias("display"))
         streets = streets.join(used, "display", "left_semi")
     named = cut(shapes.join(nearest_street(shapes, streets, key).drop("street_id"), key))
-    found = nn.nearest(
-        nn.polygon_items(named, key, by=["straatnaam"]),
+    found = nn.of_shapes(nn.nearest(
+        nn.shape_items(named, key, by=["straatnaam"]),
         nn.point_items(addresses.withColumnRenamed("street", "straatnaam"), "id", by=["straatnaam"]),
-        nn.polygon_to_point, by=["straatnaam"], cell=64.0)
+        nn.polygon_to_point, by=["straatnaam"], cell=64.0), ["straatnaam"])
     numbers = addresses.select(F.col("id").alias("target"), "huisnummer", F.col("x").alias("ax"), F.col("y").alias("ay"))
     picked = found.join(numbers, "target").select(F.col("key").alias(key), "huisnummer", "ax", "ay")
     return named.join(picked, key).withColumn(
@@ -145,7 +145,8 @@ def overlapping_pairs(sites: DataFrame) -> DataFrame:
 
 def merge_overlapping(sites: DataFrame) -> DataFrame:
     """Map-based sites take the shapes they overlap (`active` 4); absorbed sites that
-    are not map-based go. Pairs are taken from one state of the table."""
+    are not map-based go. The centroid becomes that of the dissolved union. Pairs are taken
+    from one state of the table."""
     sites = cut(sites)
     pairs = cut(overlapping_pairs(sites).select("id", "b_id", "b_bgt_based", "b_rings"))
     extra = (
@@ -158,13 +159,15 @@ def merge_overlapping(sites: DataFrame) -> DataFrame:
         sites.join(extra, "id", "left")
         .withColumn("active", F.when(grown, F.lit(4)).otherwise(F.col("active")))
         .withColumn("rings", F.when(grown, F.concat("rings", "_more")).otherwise(F.col("rings")))
-        .drop("_more").join(gone, "id", "left_anti")
+        .withColumn("_union", union_measure(F.when(grown, F.col("rings"))))
+        .withColumns({c: F.coalesce(f"_union.c{c}", c) for c in ("x", "y")})
+        .drop("_more", "_union").join(gone, "id", "left_anti")
     )
 
 
 def merge_close(sites: DataFrame, layer: DataFrame, reach: float = CLOSE_SITES) -> DataFrame:
     """Sites within `reach` of each other and with their centroids in the same polygon
-    of a layer become one: the largest id stays with the hull of all (`active` 5).
+    of a layer become one: the largest id stays with the hull of all and its centroid (`active` 5).
 
     Whole groups are merged from one state of the table.
     """
@@ -178,14 +181,9 @@ def merge_close(sites: DataFrame, layer: DataFrame, reach: float = CLOSE_SITES)
     together = (F.col("object_id") == F.col("b_object_id")) & (F.col("id") > F.col("b_id"))
     pairs = polygon_pairs(shapes, shapes, reach, together).filter(
         polygon_distance("rings", "b_rings") <= reach).select("id", "b_id").distinct()
-    numbers = cut(sites.select("id", F.xxhash64("id").alias("n")))
-    linked = (
-        pairs.join(numbers, "id").withColumnRenamed("n", "u")
-        .join(numbers.select(F.col("id").alias("b_id"), F.col("n").alias("v")), "b_id").select("u", "v")
-    )
-    roots = components(linked)
-    member = numbers.join(roots, numbers["n"] == roots["node"], "left").select(
-        "id", F.coalesce("root", "n").alias("root"))
+    roots = components(pairs.select(F.col("id").alias("u"), F.col("b_id").alias("v")))
+    member = sites.select("id").join(roots.withColumnRenamed("node", "id"), "id", "left").select(
+        "id", F.coalesce("root", "id").alias("root"))
     keeper = member.groupBy("root").agg(F.max("id").alias("keeper"), F.count("*").alias("size"))
     groups = cut(member.join(keeper, "root").filter("size > 1").select("id", "keeper"))
     corners = (
@@ -198,6 +196,7 @@ def merge_close(sites: DataFrame, layer: DataFrame, reach: float = CLOSE_SITES)
     return (
         sites.join(gone, "id", "left_anti").join(merged, "id", "left")
         .withColumn("active", F.when(changed, F.lit(5)).otherwise(F.col("active")))
+        .withColumns({c: F.when(changed, centre).otherwise(F.col(c)) for c, centre in zip(("x", "y"), geo.centroid("_rings").values())})
         .withColumn("rings", F.when(changed, F.col("_rings")).otherwise(F.col("rings")))
         .drop("_rings")
     )
@@ -219,7 +218,7 @@ def readdress(
         items, exact = nn.polygon_items(places, "id"), nn.polygon_to_polygon
     else:
         items, exact = nn.point_items(places, "id"), nn.polygon_to_point
-    found = nn.nearest(nn.polygon_items(candidates, "id"), items, exact, cell=64.0)
+    found = nn.of_shapes(nn.nearest(nn.shape_items(candidates, "id"), items, exact, cell=64.0))
     new = found.join(places.select(F.col("id").alias("target"), "street", "huisnummer"), "target").select(
         F.col("key").alias("id"), F.col("street").alias("straatnaam"), "huisnummer", rounded(F.col("distance")).alias("distance"))
     before = sites.select("id", F.col("distance").alias("_old"))
@@ -232,7 +231,7 @@ def readdress(
 def supplier_sites(supplier: DataFrame, sites: DataFrame, within: int = 30) -> DataFrame:
     """`site_id` (short id) of the nearest site whose rounded distance is below `within`."""
     found = nn.nearest(
-        nn.point_items(supplier, "id"), nn.polygon_items(sites.withColumnRenamed("id", "_id"), "_id"),
+        nn.point_items(supplier, "id"), nn.polygon_items(site_parts(sites), "site_id"),
         nn.point_to_polygon, cell=32.0, max_distance=float(within))
     short = sites.select(F.col("id").alias("target"), F.col("short_id").alias("site_id"))
     link = found.filter(rounded(F.col("distance")) < within).join(short, "target").select(

@@ -7,23 +7,18 @@ from pyspark.sql import functions as F
 
 from ..session import cut
 
-HOT_SHARE = 0.005
+#: Rows of one key that a task may be given; a key with more is split.
+TASK_ROWS = 20_000
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than `share` of the rows: never more than 1/share of them."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    return (
-        counts.crossJoin(F.broadcast(total))  # one row
-        .filter(F.col("_n") > F.col("_total") * share)
-        .select(*keys)
-    )
+def hot_keys(df: DataFrame, keys: list[str], most: int = TASK_ROWS) -> DataFrame:
+    """Keys with more than `most` rows."""
+    return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > most).select(*keys)
 
 
 def salted_join(
     left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
-    condition: Column | None = None, spread: Column | None = None, salts: int | None = None,
+    condition: Column | None = None, spread: Column | None = None, salts: int | None = None, most: int = TASK_ROWS,
 ) -> DataFrame:
     """Equi join that spreads the rows of a hot left key over several tasks.
 
@@ -33,7 +28,7 @@ def salted_join(
     """
     spark = left.sparkSession
     salts = salts or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    hot = F.broadcast(hot_keys(left, keys).withColumn("_hot", F.lit(True)))  # at most 1/HOT_SHARE rows
+    hot = hot_keys(left, keys, most).withColumn("_hot", F.lit(True))
     spread = F.xxhash64(*left.columns) if spread is None else spread
     salted_left = left.join(hot, keys, "left").withColumn(
         "_salt", F.when(F.col("_hot"), F.pmod(spread, F.lit(salts))).otherwise(F.lit(0)).cast("int")).drop("_hot")
@@ -75,19 +70,3 @@ def ranked(df: DataFrame, keys: list[str], order: list[str], name: str = "rown")
         .withColumn(name, (F.col("_local") + F.col("_offset")).cast("bigint"))
         .select(*df.columns, name)
     )
-
-
-def nested(children: DataFrame, key: str, fields: list[str], name: str, chunk: int = 10_000) -> DataFrame:
-    """Child rows of a key as an array of structs, in parts of about `chunk` children.
-
-    Almost every key has the single part 0. A key with more children gets further parts,
-    so that no task holds all of them; `part` counts them from 0.
-    """
-    sizes = children.groupBy(key).agg(F.count("*").alias("_n"))
-    big = sizes.filter(F.col("_n") > chunk).select(key, F.ceil(F.col("_n") / chunk).cast("int").alias("_parts"))
-    spread = F.pmod(F.xxhash64(*fields), F.coalesce("_parts", F.lit(1))).cast("int")
-    return (
-        children.filter(F.col(key).isNotNull()).join(big, key, "left")
-        .groupBy(key, spread.alias("part"))
-        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(name))
-    )

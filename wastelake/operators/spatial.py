@@ -14,8 +14,6 @@ from ..functions import geo
 from ..session import cut
 from .skew import salted_join
 
-AREA_VERTEX_BOUND = 1_000_000
-
 
 def cell_of(c: Column, size: float) -> Column:
     return F.floor(c / size).cast("bigint")
@@ -123,30 +121,16 @@ def polygon_pairs(
     return salted_join(a, b, ["cx", "cy"], "inner", on).drop("cx", "cy")
 
 
-def area_code(
-    points: DataFrame, areas: DataFrame, code: str, name: str, size: float = 1000.0, vertex_bound: int = AREA_VERTEX_BOUND,
-) -> DataFrame:
+def area_code(points: DataFrame, areas: DataFrame, code: str, name: str, size: float = 1000.0) -> DataFrame:
     """Code of the area around each point, edge included; the lowest code on a shared edge.
 
-    A layer with a bounded number of vertices is sent to all tasks, one row per cell with
-    its areas, so the points are not moved at all. A larger layer is joined on the cells
-    for the distinct coordinates, and the answers are joined back.
+    Areas are found once per distinct place, by joining on grid cells, and the answers are
+    joined back on the place.
     """
-    cells = polygon_cells(areas.select(F.col(code).alias("_code"), "rings"), size)
-    weight = cells.agg(F.sum(F.size(F.flatten("rings")))).first()[0] or 0  # one number
-    if weight <= vertex_bound:
-        per_cell = cells.groupBy("cx", "cy").agg(F.collect_list(F.struct("_code", "rings")).alias("_areas"))
-        placed = points.withColumns({"cx": cell_of(F.col("x"), size), "cy": cell_of(F.col("y"), size)})
-        found = F.expr(f"array_min(transform(filter(_areas, a -> {geo.covers_sql('a.rings', 'x', 'y')}), a -> a._code))")
-        return (
-            placed.join(F.broadcast(per_cell), ["cx", "cy"], "left")
-            .withColumn(name, found)
-            .drop("cx", "cy", "_areas")
-        )
     spots = cut(points.filter("x is not null and y is not null").select("x", "y").distinct())
     inside = points_in_polygons(spots, areas.select(F.col(code).alias("_code"), "rings"), False, size)
     answers = inside.groupBy("x", "y").agg(F.min("_code").alias(name))
-    return salted_join(points.drop(name), answers, ["x", "y"], "left")
+    return points.drop(name).join(answers, ["x", "y"], "left")
 
 
 def fill_area_code(points: DataFrame, areas: DataFrame, code: str, name: str, **options) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -38,13 +39,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named by `spark.checkpoint.dir`.
 
-    Only a local master may fall back to a folder of its own: on a cluster a
-    machine-local folder would lose data with its executor.
+    Only where driver and executors are one process may it be unset: it is then a folder of
+    this machine. Any cluster, also one on a single machine, must name a folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_DIRS:

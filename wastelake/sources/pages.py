@@ -65,18 +65,28 @@ def parsed_weigh_pages(pages: DataFrame) -> DataFrame:
 
 
 def weigh_raw(pages: DataFrame) -> DataFrame:
-    """Weigh pages keyed by the system and time of their last record."""
-    fields, last = F.col("page.Fields"), F.try_element_at(F.col("page.Records"), F.lit(-1))
-    return (
-        parsed_weigh_pages(pages)
-        .select(
-            "id", "scraped_at",
-            field_of(fields, last, "SystemId").try_cast("bigint").alias("system_id"),
-            combine_date_time(field_of(fields, last, "Date"), field_of(fields, last, "Time")).alias("weigh_at"),
-            "data",
-        )
-        .filter("system_id is not null and weigh_at is not null")
-    )
+    """Weigh pages keyed by the system and time of their last record that has both.
+
+    Pages without any such record are in `unkeyed_weigh_pages`.
+    """
+    return _keyed(pages).filter("key is not null").select("id", "scraped_at", "key.system_id", "key.weigh_at", "data")
+
+
+def _keyed(pages: DataFrame) -> DataFrame:
+    fields = F.col("page.Fields")
+
+    def key(record: Column) -> Column:
+        return F.struct(
+            field_of(fields, record, "SystemId").try_cast("bigint").alias("system_id"),
+            combine_date_time(field_of(fields, record, "Date"), field_of(fields, record, "Time")).alias("weigh_at"))
+
+    keys = F.filter(F.transform("page.Records", key), lambda k: k["system_id"].isNotNull() & k["weigh_at"].isNotNull())
+    return parsed_weigh_pages(pages).select("id", "scraped_at", "data", F.try_element_at(keys, F.lit(-1)).alias("key"))
+
+
+def unkeyed_weigh_pages(pages: DataFrame) -> DataFrame:
+    """Pages that no record gives a system and a time, malformed ones among them."""
+    return _keyed(pages).filter("key is null").select("id", "scraped_at", "data")
 
 
 def _has_required_header() -> Column:
@@ -153,12 +163,12 @@ def known_container_ids(pages: DataFrame) -> DataFrame:
 
     Rows without an id, a well or a site are left out; the last one of equal ids counts.
     """
-    shape = "results array<struct<id_number: string, well: struct<id: bigint, site: struct<short_id: bigint>>>>"
+    shape = "results array<struct<id_number: string, well: struct<id: bigint, site: map<string,string>>>>"
     rows = pages.select("id", F.posexplode(F.from_json("data", shape)["results"]).alias("pos", "item"))
     return (
-        rows.filter("item.id_number is not null and item.well is not null and item.well.site is not null")
+        rows.filter("item.id_number is not null and item.well is not null and size(item.well.site) > 0")
         .select(strip_whitespace("item.id_number").alias("id_number"),
-                F.col("item.well.site.short_id").alias("short_id"), F.struct("id", "pos").alias("place"))
+                F.col("item.well.site")["short_id"].try_cast("bigint").alias("short_id"), F.struct("id", "pos").alias("place"))
         .groupBy("id_number")
         .agg(F.max_by(F.struct("short_id"), "place")["short_id"].alias("short_id"))
     )
@@ -198,11 +208,22 @@ GEOJSON = ("features array<struct<id: string, properties: map<string,string>, "
            "geometry: struct<type: string, coordinates: string>>>")
 
 
+LAYER_TYPES = ("Point", "MultiPoint", "Polygon", "MultiPolygon")
+
+
+def geo_layer_errors(pages: DataFrame) -> DataFrame:
+    """Features that `geo_layer` gives no row for: `(id, fid, type)`; a malformed page is one without feature."""
+    features = F.from_json("data", GEOJSON)["features"]
+    named = pages.select("id", F.explode_outer(features).alias("f"))
+    return named.filter(~F.coalesce(F.col("f.geometry.type").isin(*LAYER_TYPES), F.lit(False))).select(
+        "id", F.col("f.id").alias("fid"), F.col("f.geometry.type").alias("type"))
+
+
 def geo_layer(pages: DataFrame, to_rd: bool = True) -> DataFrame:
     """GeoJSON feature collections as rows `(fid, attrs, part, x, y, rings)`.
 
     Points fill x and y, polygons fill `rings`; each part of a many-part geometry is a
-    row. With `to_rd` the WGS84 coordinates become RD metres.
+    row. Features of other types are in `geo_layer_errors`. With `to_rd` the WGS84 coordinates become RD metres.
     """
     rd = geo.wgs84_to_rd_sql("c[0]", "c[1]") if to_rd else {"x_rd": "c[0]", "y_rd": "c[1]"}
     place = f"c -> named_struct('x', {rd['x_rd']}, 'y', {rd['y_rd']})"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -71,7 +71,32 @@ def _marks(spark: SparkSession, path: str, before: int) -> DataFrame:
     return rows.select(F.col("system_id").cast("bigint").alias("system_id"), "weigh_at")
 
 
-def latest_per_container(states: DataFrame) -> DataFrame:
-    """One state per scrape and container, remembered for an hour of event time."""
-    return states.withWatermark("communication_date_time", "1 hour").dropDuplicatesWithinWatermark(
-        ["scraped_at", "description"])
+def latest_states(states: DataFrame, order: list[str], path: str, checkpoint: str, key: str = "description") -> StreamingQuery:
+    """Latest state of each container so far, as one table per batch.
+
+    Of a container's states the greatest by `order` stays. A batch adds to the table of the
+    batch before; a batch that is run again after a failure replaces its own. A table has one
+    row per container.
+    """
+    def load(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = batch if number == 0 else batch.unionByName(spark.read.schema(batch.schema).parquet(f"{path}/batch={number - 1}"))
+        latest = rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), F.struct(*order)).alias("row")).select("row.*")
+        latest.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return (
+        states.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
+
+
+def stored_states(spark: SparkSession, path: str) -> DataFrame:
+    """The table that `latest_states` wrote last."""
+    tables = spark.read.parquet(path)
+    last = tables.agg(F.max("batch")).first()[0]
+    return tables.filter(F.col("batch") == last).drop("batch")
+
+
+def within_last_hour(latest: DataFrame, now: Column) -> DataFrame:
+    """Containers seen in the hour up to `now`."""
+    return latest.filter(F.col("scraped_at") > now - F.expr("interval 1 hour"))
