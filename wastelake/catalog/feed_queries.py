@@ -349,15 +349,27 @@ def _(t: Tables) -> DataFrame:
     return shape.sparse(rows, "id,well.site_id")
 
 
-@query("prj_15_list_columns", "SELECT seq_id, system_id, fractie, site_id, first_weight, second_weight, net_weight FROM {measurements}")
+LISTED = "seq_id * 10 + system_id AS id, seq_id, system_id, strftime(weigh_at, '%Y-%m-%d') AS weigh_at"
+
+
+def _listed_measurements(t: Tables) -> DataFrame:
+    return t.measurements.withColumns({
+        "id": F.col("seq_id") * 10 + F.col("system_id"), "weigh_at": F.date_format("weigh_at", "yyyy-MM-dd"),
+        "location": F.concat(F.lit("Laan "), F.col("site_id").cast("string")), "container_ids": F.col("seq_id").cast("string"),
+        "buurt_code": F.concat("stadsdeel", F.lit("01")), "geometrie": geo.point_to_wkt("x", "y")})
+
+
+@query("prj_15_list_columns", f"""SELECT {LISTED}, fractie, site_id, stadsdeel || '01' AS buurt_code, first_weight, second_weight,
+    net_weight FROM {{measurements}}""")
 def _(t: Tables) -> DataFrame:
-    return shape.list_columns(t.measurements, "measurements", False).drop("weigh_at")
+    return shape.list_columns(_listed_measurements(t), "measurements", False)
 
 
-@query("prj_15_detail_columns", """SELECT seq_id, system_id, fractie, stadsdeel, site_id, first_weight, second_weight, net_weight,
-    valid FROM {measurements}""")
+@query("prj_15_detail_columns", f"""SELECT {LISTED}, 'Laan ' || site_id AS location, fractie, CAST(seq_id AS VARCHAR) AS container_ids,
+    stadsdeel, stadsdeel || '01' AS buurt_code, site_id, first_weight, second_weight, net_weight,
+    'POINT(' || CAST(x AS BIGINT) || ' ' || CAST(y AS BIGINT) || ')' AS geometrie, valid FROM {{measurements}}""")
 def _(t: Tables) -> DataFrame:
-    return shape.list_columns(t.measurements, "measurements", True).drop("weigh_at")
+    return shape.list_columns(_listed_measurements(t), "measurements", True)
 
 
 @query("prj_16_expand_one", """SELECT c.id, w.id_number AS well_number, s.short_id FROM {containers} c

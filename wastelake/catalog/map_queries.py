@@ -451,10 +451,14 @@ def _(t: Tables) -> DataFrame:
     return st.well_clusters(t.wells, t.containers).select("id", "cluster")
 
 
-@query("ag_08_cluster_shapes")
+@query("ag_08_cluster_shapes", _cluster_sql("""SELECT id, x, y FROM {wells} w WHERE site_id IS NULL AND active = 1
+    AND id IN (SELECT well_id FROM {containers})""", 12).replace("SELECT id, min(other) AS cluster FROM r GROUP BY 1", """,
+    c AS (SELECT id, min(other) AS cluster FROM r GROUP BY 1)
+    SELECT cluster, min(x) - 6 AS minx, min(y) - 6 AS miny, max(x) + 6 AS maxx, max(y) + 6 AS maxy FROM c JOIN p USING (id) GROUP BY 1"""))
 def _(t: Tables) -> DataFrame:
+    """The hull of circles around a cluster's wells ends that far beyond the outermost wells."""
     shapes = st.cluster_hulls(st.well_clusters(t.wells, t.containers), st.WELL_REACH / 2)
-    return shapes.select("cluster", "x", "y", F.size(F.col("rings")[0]).alias("corners"))
+    return shapes.select("cluster", *[F.round(c, 6).alias(n) for n, c in geo.bounds("rings").items()])
 
 
 @query("components_of_orders", """WITH RECURSIVE e AS (SELECT DISTINCT c_nationkey AS u, 100 + floor(c_acctbal / 500) AS v FROM {customer}

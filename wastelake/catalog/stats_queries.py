@@ -151,14 +151,36 @@ def _(t: Tables) -> DataFrame:
         "buurt_code", "fractie", "week", "year", "sum", "inhabitants")
 
 
-@query("pl_07_area_month_statistics", f"""WITH k AS ({_area_sql('month')}), c AS ({AREA_COUNTS})
+def _area_table_sql(period: str) -> str:
+    return f"""WITH k AS ({_area_sql(period)}), c AS ({AREA_COUNTS})
     SELECT k.*, p.inhabitants, c.containers FROM k
     LEFT JOIN {{population}} p ON p.buurt_code = k.buurt_code AND p.year = k.year
     LEFT JOIN c ON c.buurt_code = k.buurt_code
-      AND c.fractie = CASE k.fractie WHEN 'Kunststof' THEN 'Plastic' ELSE k.fractie END""")
+      AND c.fractie = CASE k.fractie WHEN 'Kunststof' THEN 'Plastic' ELSE k.fractie END"""
+
+
+def _statistics(t: Tables) -> dict[str, DataFrame]:
+    return feeds.statistics(t.measurements, t.sites, t.wells, t.containers, t.container_types, t.population, t.areas)
+
+
+@query("pl_07_area_month_statistics", _area_table_sql("month"))
+def _(t: Tables) -> DataFrame:
+    return _statistics(t)["area_month"]
+
+
+@query("pl_07_area_week_statistics", _area_table_sql("week"))
+def _(t: Tables) -> DataFrame:
+    return _statistics(t)["area_week"]
+
+
+@query("pl_07_site_month_statistics", _capacity_sql("month"))
+def _(t: Tables) -> DataFrame:
+    return _statistics(t)["site_month"]
+
+
+@query("pl_07_site_week_statistics", _capacity_sql("week"))
 def _(t: Tables) -> DataFrame:
-    return feeds.statistics(t.measurements, t.sites, t.wells, t.containers, t.container_types, t.population,
-                            t.areas)["area_month"]
+    return _statistics(t)["site_week"]
 
 
 AS_OF = "(SELECT max(communication_date_time) FROM {states})"

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import capacity, col, period_parts
+from ..session import cut
 from .links import inhabitants
 
 
@@ -40,23 +41,36 @@ def _finished(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def _per_site(measurements: DataFrame, sites: DataFrame, period: str, iso_year: bool, fields: list[str]) -> DataFrame:
+def period_sums(measurements: DataFrame, periods: tuple[str, ...] = ("week", "month"), iso_year: bool = False) -> DataFrame:
+    """Sums of the valid weighings per site, fraction, year and periods, from which those of
+    fewer keys are added up."""
     parts = period_parts("weigh_at", iso_year)
     facts = measurements.filter("valid").select(
-        "site_id", "fractie", parts["year"].alias("year"), parts[period].alias(period), "net_weight")
-    sums = facts.groupBy("site_id", "fractie", "year", period).agg(*_partials())
+        "site_id", "fractie", parts["year"].alias("year"), *[parts[p].alias(p) for p in periods], "net_weight")
+    return facts.groupBy("site_id", "fractie", "year", *periods).agg(*_partials())
+
+
+def _with_sites(sums: DataFrame, sites: DataFrame, fields: list[str]) -> DataFrame:
     known = sites.filter("short_id is not null").select(F.col("short_id").alias("site_id"), *fields)
     return sums.join(known, "site_id", "inner")
 
 
 def site_stats(measurements: DataFrame, sites: DataFrame, period: str, iso_year: bool = False) -> DataFrame:
     """Valid weighings per site, fraction, year and `week` or `month`."""
-    return _finished(_per_site(measurements, sites, period, iso_year, []), ["site_id", "fractie", "year", period])
+    return _site_table(period_sums(measurements, (period,), iso_year), sites, period)
+
+
+def _site_table(sums: DataFrame, sites: DataFrame, period: str) -> DataFrame:
+    return _finished(_with_sites(sums, sites, []), ["site_id", "fractie", "year", period])
 
 
 def area_stats(measurements: DataFrame, sites: DataFrame, period: str, iso_year: bool = False) -> DataFrame:
     """The same per neighbourhood: the district and area code of the site."""
-    per_site = _per_site(measurements, sites, period, iso_year, ["stadsdeel", "buurt_code"])
+    return _area_table(period_sums(measurements, (period,), iso_year), sites, period)
+
+
+def _area_table(sums: DataFrame, sites: DataFrame, period: str) -> DataFrame:
+    per_site = _with_sites(sums, sites, ["stadsdeel", "buurt_code"])
     keys = ["stadsdeel", "area", "fractie", "year", period]
     merged = per_site.withColumnRenamed("buurt_code", "area").groupBy(*keys).agg(*_merged())
     code = F.concat_ws("", "stadsdeel", "area")
@@ -136,12 +150,17 @@ def add_area_counts(stats: DataFrame, counts: DataFrame) -> DataFrame:
 def all_statistics(
     measurements: DataFrame, sites: DataFrame, fractions: DataFrame, counts: DataFrame,
 ) -> dict[str, DataFrame]:
-    """The four statistics tables with inhabitants, volumes and capacity."""
+    """The four statistics tables with inhabitants, volumes and capacity.
+
+    The weighings are read once: their sums per week and month are written, and the tables
+    are added up from these.
+    """
+    finest = cut(period_sums(measurements))
     out = {}
     for period in ("week", "month"):
-        per_site = add_site_volumes(site_stats(measurements, sites, period), fractions, sites)
-        out[f"site_{period}"] = add_capacity(per_site)
-        out[f"area_{period}"] = inhabitants(area_stats(measurements, sites, period), counts)
+        sums = finest.groupBy("site_id", "fractie", "year", period).agg(*_merged())
+        out[f"site_{period}"] = add_capacity(add_site_volumes(_site_table(sums, sites, period), fractions, sites))
+        out[f"area_{period}"] = inhabitants(_area_table(sums, sites, period), counts)
     return out
 
 
