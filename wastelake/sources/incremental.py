@@ -26,23 +26,26 @@ def new_weigh_pages(raw: DataFrame, measurements: DataFrame, inclusive: bool = F
     )
 
 
+def _mark(df: DataFrame, column: str) -> Column | None:
+    """The latest time of a table as a literal, so that a scan can skip what is older; None without any.
+
+    One value reaches the driver. It travels as text in the session's time zone.
+    """
+    text = df.agg(F.max(F.col(column).cast("timestamp")).cast("string")).first()[0]
+    return None if text is None else F.lit(text).cast("timestamp")
+
+
 def new_snapshots(raw: DataFrame, states: DataFrame) -> DataFrame:
     """Snapshots scraped after the latest stored state; all of them when none is stored."""
-    mark = states.agg(F.max("scraped_at").alias("mark"))
-    return (
-        raw.crossJoin(F.broadcast(mark))  # one row
-        .filter(F.col("mark").isNull() | (F.col("scraped_at") > F.col("mark")))
-        .drop("mark")
-    )
+    mark = _mark(states, "scraped_at")
+    return raw if mark is None else raw.filter(F.col("scraped_at") > mark)
 
 
 def new_fill_level_pages(raw: DataFrame, levels: DataFrame, inclusive: bool = False) -> DataFrame:
     """Fill-level pages later than the latest stored level, else since the first year."""
-    first = F.lit(FIRST_FILL_LEVEL).cast("timestamp")
-    mark = levels.agg(F.coalesce(F.max("time").cast("timestamp"), first).alias("mark"))
-    time = F.col("time").cast("timestamp")
-    later = time >= F.col("mark") if inclusive else time > F.col("mark")
-    return raw.crossJoin(F.broadcast(mark)).filter(later).drop("mark")  # one row
+    mark = _mark(levels, "time")
+    mark = F.lit(FIRST_FILL_LEVEL).cast("timestamp") if mark is None else mark
+    return raw.filter(F.col("time") >= mark if inclusive else F.col("time") > mark)
 
 
 def resume_points(systems: DataFrame, raw: DataFrame) -> DataFrame:
