@@ -18,9 +18,11 @@ result. Only the columns named are read.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -136,9 +138,16 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     sample = sorted(((r.doc_id is not None, r.doc_id, r.h) for r in keys.orderBy(F.xxhash64("doc_id", "h")).limit(SAMPLE).collect()),
                     key=lambda k: (k[0], k[1] if k[0] else 0, k[2]))
     kind = keys.schema["doc_id"].dataType
-    points = [sample[len(sample) * i // (2 * tasks)][1:] for i in range(1, 2 * tasks)] if sample else []
-    edges = F.array(*[F.struct(F.lit(i).cast(kind).alias("doc_id"), F.lit(h).alias("h")) for i, h in dict.fromkeys(points)])
-    part = F.size(F.filter(edges, lambda e: e <= F.struct("doc_id", "h"))) if points else F.lit(0)
+    points = sorted({(known, i if known else None, h) for known, i, h in (sample[len(sample) * k // (2 * tasks)] for k in range(1, 2 * tasks))},
+                    key=lambda k: (k[0], k[1] if k[0] else 0, k[2])) if sample else []
+    nulls, ordered = [h for known, _, h in points if not known], [(i, h) for known, i, h in points if known]
+
+    @F.pandas_udf("int")
+    def part_of(missing: pd.Series, ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(nulls, h) if m else len(nulls) + bisect_right(ordered, (i, h))
+                          for m, i, h in zip(missing.tolist(), ids.tolist(), hashes.tolist())], dtype="int32")
+
+    part = part_of(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0).cast(kind)), F.col("h"))
     firsts = keys.groupBy(part.alias("part")).agg(F.min(F.struct("doc_id", "h")).alias("k")).orderBy("part").collect()  # one per part
     heads = spark.createDataFrame(
         [(r.k.doc_id, r.k.h, firsts[i - 1].part) for i, r in enumerate(firsts)], f"head_id {kind.simpleString()}, head_h bigint, before int")

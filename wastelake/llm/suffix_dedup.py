@@ -16,7 +16,9 @@ Anchors whose suffix occurs once cover nothing. For the others, strings sharing
 form a span; a span found twice is repeated as a whole. In a span found once (the border of
 a repeat) each string is asked for alone. Questions go out from parts, groups of documents of
 bounded size, as sorted hashes that each part sends once, however often it has them, so a
-passage that a third of all documents share is no large group anywhere.
+passage that a third of all documents share is no large group anywhere. There are as many
+hash ranges as parts; for tables of many TB, larger parts keep questions from splitting into
+messages of single hashes.
 
 Strings are compared by 64-bit hashes; among n different strings the chance of a wrong match
 is about n * n / 2 ** 65. Nulls count as empty texts. Repeated rows repeat each other. An
