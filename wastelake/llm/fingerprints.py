@@ -50,7 +50,7 @@ class Sketcher:
         self.word = common.Memo(xxhash.xxh3_64_intdigest, MEMO)
 
     def words(self, text: str) -> np.ndarray:
-        found = common.words(text.translate(common.LOWER))
+        found = common.lower_words(text)
         return np.fromiter(map(self.word.__getitem__, found), np.uint64, len(found))
 
     def sketch(self, hashes: np.ndarray) -> tuple[int, np.ndarray]:

@@ -41,11 +41,11 @@ BLOCK = 1 << 16
 
 def fingerprint(text: str, shingle: int) -> int:
     """Majority bits of the shingles' XXH64, unsigned."""
-    found = common.words(text.translate(common.LOWER))
+    found = common.lower_words(text)
     if not found:
         return 0
-    joined = " ".join(found).encode()
-    lengths = np.fromiter(map(len, joined.split(b" ")), np.int64, len(found))
+    joined = b" ".join(found)
+    lengths = np.fromiter(map(len, found), np.int64, len(found))
     ends = np.cumsum(lengths + 1) - 1
     starts = ends - lengths
     span = min(shingle, len(found))

@@ -116,7 +116,7 @@ class Decoder:
 
     def words(self, text: str) -> set[str]:
         """The distinct words of a text, with those spelt in single letters put together."""
-        found = {self.restore(w) for w in set(common.words(text))}
+        found = {self.restore(w.decode()) for w in set(common.words(text))}
         if text.count(" ") > 3:
             for match in spaced.finditer(text):
                 if len(match[0]) <= 128:
