@@ -232,3 +232,14 @@ def test_missing_kind_of_map_object_fails(spark):
     for part in ([], both[:1], both[1:]):
         with pytest.raises(SparkRuntimeException):
             well_objects(spark.createDataFrame(part, schema)).collect()
+
+
+def test_a_load_with_failed_checks_stops(spark):
+    good = checks.minimum_counts({"few": (spark.range(3), 2)})
+    checks.stop_unless_ok(good)
+    with pytest.raises(ValueError, match="few"):
+        checks.stop_unless_ok(checks.minimum_counts({"few": (spark.range(3), 4)}))
+    rows_ = spark.createDataFrame([(None, 5), (None, None)], "weigh_at timestamp, net_weight int")
+    checks.stop_unless_ok(checks.load_errors(rows_, 2))
+    with pytest.raises(ValueError):
+        checks.stop_unless_ok(checks.load_errors(rows_, 1))

@@ -322,6 +322,17 @@ def _(t: Tables) -> DataFrame:
     return kept.groupBy("stage", F.date_format("snapshot_date", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
 
 
+@query("snk_06_expired_snapshots", """SELECT 'cleaned' AS stage, '2024-01-31' AS day, count(*) AS n FROM {containers}""")
+def _(t: Tables) -> DataFrame:
+    """What is left when all older snapshots have been deleted, read without a filter."""
+    path = work_path(t.spark, "stages")
+    for stage, day in (("raw", "2023-12-31"), ("raw", "2024-01-10"), ("cleaned", "2024-01-31")):
+        sinks.write_snapshot(t.containers.select("id"), path, stage, day)
+    sinks.expire_snapshots(t.spark, path, "2024-02-01")
+    left = t.spark.read.parquet(path)
+    return left.groupBy("stage", F.date_format("snapshot_date", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
+
+
 # Streams over landed pages; each query reads the finished table.
 
 def _landed(t: Tables, pages: DataFrame, name: str, files: int = 4) -> DataFrame:
