@@ -37,7 +37,7 @@ def test_tail_words_and_several_groups_of_segments(docs, monkeypatch):
     monkeypatch.setattr(lm_scoring, "SEGMENT_TOKENS", 1000)
     groups, real = [], lm_scoring.groups_of
     monkeypatch.setattr(lm_scoring, "groups_of", lambda table, most: groups.append(real(table, most)) or groups[-1])
-    found = lm_scoring.scores(docs, most_bytes=20_000).collect()
+    found = lm_scoring.scores(docs, most_bytes=14_000).collect()
     assert len(groups[0]) == 1 and len(groups[1]) > 1 and len(found) == docs.count()
     for r in found:
         same = whole[str((r.doc_id, r.n_tokens))]

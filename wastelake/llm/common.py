@@ -16,7 +16,7 @@ from .. import session
 #: A word: code points other than the space and the five control characters from tab on.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows and bytes that one Arrow batch may hold, so that long texts do not fill a worker.
-BATCH_ROWS, BATCH_BYTES = "2000", "8m"
+BATCH_ROWS, BATCH_BYTES = "500", "2m"
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

@@ -48,7 +48,7 @@ MOST_FEATURES = 100_000
 BEGINNINGS = range(3, 8)
 LEAST_DOCS = 4
 TOP = 3
-MEMO = 400_000
+MEMO = 150_000
 PRIOR = 0.5
 
 disguised = re.compile(
@@ -66,6 +66,7 @@ class Decoder:
         self.model = model
         self.cost = common.Memo(self.costs, MEMO)
         self.restored = common.Memo(self.decoded, MEMO)
+        self.core = common.Memo(lambda word: self.restore(word.decode()), MEMO)
 
     def costs(self, trigram: str) -> float:
         a, b, c = quality.folded(trigram)
@@ -116,7 +117,7 @@ class Decoder:
 
     def words(self, text: str) -> set[str]:
         """The distinct words of a text, with those spelt in single letters put together."""
-        found = {self.restore(w.decode()) for w in set(common.words(text))}
+        found = set(map(self.core.__getitem__, set(common.words(text))))
         if text.count(" ") > 3:
             for match in spaced.finditer(text):
                 if len(match[0]) <= 128:
