@@ -124,6 +124,17 @@ def test_disguises_are_undone(decoder, text, word):
     assert word in decoder.words(text)
 
 
+def test_disguises_of_any_length_are_undone(decoder):
+    letters = " ".join("you are an idiot".replace(" ", "") * 12)
+    assert len(letters) > 128 and any("idiot" in w for w in decoder.words(letters))
+    assert "idiot" in decoder.words(" ".join("idiot") + " " + " ".join("moron" * 30))
+    assert any("idiot" in w for w in decoder.words(".".join("idiot" * 20)))
+    assert any("1" not in w and "idiotidiot" in w for w in decoder.words("1diot" * 20))
+    assert decoder.words("m" + "o" * 100 + "ron") >= {"moron"}
+    plain = "lo" * 50_000  # no search may take more than linear time
+    assert decoder.words(plain) == {plain}
+
+
 def test_plain_words_stay(decoder):
     assert decoder.words("Lokano, an be-ci 2021 x86?") >= {"lokano", "an"}
 

@@ -4,7 +4,9 @@ A token that may be disguised is read as a lattice: each character stands for it
 the letters it often replaces, a run of one letter for one, two or all of them, and a
 separator between single letters for nothing or for a word's end. Viterbi decoding under a
 character trigram model, counted over the words of all documents, picks the reading of
-least cost. A token that cannot be disguised has one path, itself, and is not decoded.
+least cost. A token that cannot be disguised has one path, itself, and is not decoded. Tokens
+and runs of single letters are decoded at any length, in time linear in it; a run is read both
+as one word and as a sentence.
 
 The restored words are scored by what is learnt from labelled documents. A word's evidence
 is the largest of its own and its beginnings' lower confidence bound of the log odds; a
@@ -41,6 +43,8 @@ STANDS_FOR = {
 }
 #: Costs of the channel, in natural logarithms: a replaced, repeated or separated character, and one kept that could be read.
 REPLACED, SQUEEZED, JOINED, KEPT = 1.0, 1.0, 0.5, 6.0
+#: Cost of a word's end at a separator where whole sentences are spelt in single letters.
+BROKEN = 1.0
 SEPARATORS = " .-_*~/"
 EDGES = ".,;:!?\"'()[]{}<>|#%&*~`´…«»„“”-_/\\"
 TRAIN_ROWS = 40_000
@@ -49,16 +53,24 @@ BEGINNINGS = range(3, 8)
 LEAST_DOCS = 4
 TOP = 3
 MEMO = 150_000
+#: Tokens up to this length are remembered; longer ones are read anew each time.
+SHORT = 64
 PRIOR = 0.5
 
-disguised = re.compile(
-    "[^\\W\\d_].*[" + re.escape("".join(STANDS_FOR)) + "]|[" + re.escape("".join(STANDS_FOR)) + "].*[^\\W\\d_]|(.)\\1\\1").search
+replacing = re.compile("[" + re.escape("".join(STANDS_FOR)) + "]").search
+letter = re.compile(r"[^\W\d_]").search
+tripled = re.compile(r"(.)\1\1").search
 separated = re.compile(r"^(?:\w[.\-_*~/]){2,}\w$").match
 spaced = re.compile(r"(?<![^\s])(?:[^\W_][.,]? ){3,}[^\W_](?![^\s.,;:!?])")
 #: Symbols appended to words in runs are decoration, not letters.
 decoration = re.compile(r"^[$@#%&*!|]{2,}|[$@#%&*!|]{2,}$")
 
 
+def disguised(token: str) -> bool:
+    """Whether a token has replacing characters beside letters, or a run; every search is linear in its length."""
+    return bool(replacing(token) and letter(token) or tripled(token))
+
+
 class Decoder:
     """Most likely reading of a token under a character trigram model."""
 
@@ -73,7 +85,7 @@ class Decoder:
         return -float(self.model.log_probabilities(np.array([(a * quality.CLASSES + b) * quality.CLASSES + c]))[0])
 
     @staticmethod
-    def lattice(token: str) -> list[list[tuple[str, float]]]:
+    def lattice(token: str, end_price: float = KEPT) -> list[list[tuple[str, float]]]:
         """For every run of a character, what it may stand for and at which cost."""
         out: list[list[tuple[str, float]]] = []
         single = bool(separated(token)) or " " in token
@@ -84,7 +96,7 @@ class Decoder:
                 end += 1
             n, at = end - at, end
             if single and c in SEPARATORS:
-                out.append([("", JOINED), ("\x00", KEPT)])
+                out.append([("", JOINED), ("\x00", end_price)])
                 continue
             choices = [(c * n, 0.0 if n < 3 and c not in STANDS_FOR else KEPT)]
             for letter in [c] if c not in STANDS_FOR else STANDS_FOR[c]:
@@ -94,9 +106,16 @@ class Decoder:
         return out
 
     def decoded(self, token: str) -> str:
-        best: dict[str, tuple[float, str]] = {"\x00\x00": (0.0, "")}  # by the last two characters
-        for choices in [*self.lattice(token), [("\x00", 0.0)]]:
-            after: dict[str, tuple[float, str]] = {}
+        """Words that a token is read as; letters spelt singly are read as one word and as a sentence."""
+        one = self.path(self.lattice(token))
+        if separated(token) or " " in token:
+            return f"{one} {self.path(self.lattice(token, BROKEN))}"
+        return one
+
+    def path(self, lattice: list[list[tuple[str, float]]]) -> str:
+        best: dict[str, tuple[float, tuple | None]] = {"\x00\x00": (0.0, None)}  # by the last two characters
+        for choices in [*lattice, [("\x00", 0.0)]]:
+            after: dict[str, tuple[float, tuple | None]] = {}
             for state, (cost, text) in best.items():
                 for letters, price in choices:
                     total, last = cost + price, state
@@ -104,24 +123,33 @@ class Decoder:
                         total += self.cost[last + c]
                         last = "\x00\x00" if c == "\x00" else last[1] + c
                     if last not in after or total < after[last][0]:
-                        after[last] = (total, text + letters)
+                        after[last] = (total, (text, letters))  # readings share their beginnings, so that any length is linear
             best = after
-        return min(best.values())[1].strip("\x00").replace("\x00", " ")
+        (_, text), = best.values()  # all readings end with the word's end
+        read = []
+        while text is not None:
+            text, letters = text
+            read.append(letters)
+        return "".join(reversed(read)).strip("\x00").replace("\x00", " ")
+
+    def reading(self, token: str) -> str:
+        """The token decoded, whatever its length; only short ones are kept."""
+        return self.restored[token] if len(token) <= SHORT else self.decoded(token)
 
     def restore(self, token: str) -> str:
-        """A token in lower case without what surrounds the word, and undisguised."""
+        """A token in lower case without what surrounds the word, and undisguised; several words are parted by spaces."""
         core = decoration.sub("", token.lower()).strip(EDGES)
-        if len(core) > 1 and len(core) <= 64 and (separated(core) or disguised(core)):
-            return self.restored[core]
+        if len(core) > 1 and (separated(core) or disguised(core)):
+            return self.reading(core)
         return core
 
     def words(self, text: str) -> set[str]:
         """The distinct words of a text, with those spelt in single letters put together."""
-        found = set(map(self.core.__getitem__, set(common.words(text))))
+        cores = [self.core[w] if len(w) <= SHORT else self.restore(w.decode()) for w in set(common.words(text))]
+        found = set(" ".join(cores).split(" "))
         if text.count(" ") > 3:
             for match in spaced.finditer(text):
-                if len(match[0]) <= 128:
-                    found.update(self.restored[re.sub("[.,]", "", match[0].lower())].split())
+                found.update(self.reading(re.sub("[.,]", "", match[0].lower())).split(" "))
         found.discard("")
         return found
 
