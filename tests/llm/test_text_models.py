@@ -135,6 +135,17 @@ def test_disguises_of_any_length_are_undone(decoder):
     assert decoder.words(plain) == {plain}
 
 
+@pytest.mark.parametrize("text, word", [
+    ("!diot", "idiot"), ("|d10t", "idiot"), ("$$tupid", "stupid"), ("(lown", "clown"), ("pathet!(", "pathetic"), ("a$$", "ass"), ("@$$", "ass"),
+    ("455", "ass"), ("dumba$$!", "dumbass"), ("idiot$$$", "idiot"), ("***idiot", "idiot"), ("(idiot!", "idiot"), ("lo!!", "lo")])
+def test_symbols_at_edges_are_letters_or_decoration(text, word):
+    counts = Counter(prose(random.Random(13), 4000).lower().strip(".").split(" ") + ["idiot", "stupid", "clown", "pathetic", "ass", "dumbass"] * 40)
+    codes, each = quality.trigram_codes(list(counts))
+    found, inverse = np.unique(codes, return_inverse=True)
+    model = quality.Model(found, np.bincount(inverse, np.repeat(list(counts.values()), each)).astype(np.int64))
+    assert word in toxicity.Decoder(model).words(text)
+
+
 def test_plain_words_stay(decoder):
     assert decoder.words("Lokano, an be-ci 2021 x86?") >= {"lokano", "an"}
 

@@ -6,7 +6,8 @@ separator between single letters for nothing or for a word's end. Viterbi decodi
 character trigram model, counted over the words of all documents, picks the reading of
 least cost. A token that cannot be disguised has one path, itself, and is not decoded. Tokens
 and runs of single letters are decoded at any length, in time linear in it; a run is read both
-as one word and as a sentence.
+as one word and as a sentence. Symbols at a word's edges are in the lattice, too, where they may
+also be nothing; the word without them counts beside the reading.
 
 The restored words are scored by what is learnt from labelled documents. A word's evidence
 is the largest of its own and its beginnings' lower confidence bound of the log odds; a
@@ -43,6 +44,8 @@ STANDS_FOR = {
 }
 #: Costs of the channel, in natural logarithms: a replaced, repeated or separated character, and one kept that could be read.
 REPLACED, SQUEEZED, JOINED, KEPT = 1.0, 1.0, 0.5, 6.0
+#: Cost of a run of a symbol at a word's edge that is decoration, no letter: of three or more, and of fewer.
+DECORATED, TRIMMED = 1.0, 4.0
 #: Cost of a word's end at a separator where whole sentences are spelt in single letters.
 BROKEN = 1.0
 SEPARATORS = " .-_*~/"
@@ -62,13 +65,20 @@ letter = re.compile(r"[^\W\d_]").search
 tripled = re.compile(r"(.)\1\1").search
 separated = re.compile(r"^(?:\w[.\-_*~/]){2,}\w$").match
 spaced = re.compile(r"(?<![^\s])(?:[^\W_][.,]? ){3,}[^\W_](?![^\s.,;:!?])")
-#: Symbols appended to words in runs are decoration, not letters.
-decoration = re.compile(r"^[$@#%&*!|]{2,}|[$@#%&*!|]{2,}$")
+#: Symbols at a word's edge that may be decoration or letters; a single $ or @ is always a letter.
+AMBIGUOUS = "!|(<*#$@"
+#: Those that stand before or behind words in plain text, too; fewer than three of another are letters.
+BEFORE, BEHIND = "(<*#", "!*#"
+AROUND = "".join(sorted({*EDGES, *AMBIGUOUS}))
+NO_LETTERS = str.maketrans(dict.fromkeys(set(EDGES) - set(AMBIGUOUS)))
+runs = re.compile(r"(.)\1*", re.S).finditer
+#: Two of a replacing character, which may stand for two letters.
+doubled = re.compile("([" + re.escape("".join(STANDS_FOR)) + r"])(?<!\1\1)\1(?!\1)").search
 
 
-def disguised(token: str) -> bool:
-    """Whether a token has replacing characters beside letters, or a run; every search is linear in its length."""
-    return bool(replacing(token) and letter(token) or tripled(token))
+def plain(token: str) -> bool:
+    """Whether a token cannot be disguised; every search is linear in its length."""
+    return len(token) < 2 or not (replacing(token) or tripled(token) or separated(token))
 
 
 class Decoder:
@@ -79,14 +89,15 @@ class Decoder:
         self.cost = common.Memo(self.costs, MEMO)
         self.restored = common.Memo(self.decoded, MEMO)
         self.core = common.Memo(lambda word: self.restore(word.decode()), MEMO)
+        self.edges = common.Memo(lambda key: self.with_edges(*key), MEMO)
 
     def costs(self, trigram: str) -> float:
         a, b, c = quality.folded(trigram)
         return -float(self.model.log_probabilities(np.array([(a * quality.CLASSES + b) * quality.CLASSES + c]))[0])
 
     @staticmethod
-    def lattice(token: str, end_price: float = KEPT) -> list[list[tuple[str, float]]]:
-        """For every run of a character, what it may stand for and at which cost."""
+    def lattice(token: str, end_price: float = KEPT, literal: bool = False) -> list[list[tuple[str, float]]]:
+        """For every run of a character, what it may stand for and at which cost; if `literal`, two replacing characters for two letters."""
         out: list[list[tuple[str, float]]] = []
         single = bool(separated(token)) or " " in token
         at = 0
@@ -101,6 +112,9 @@ class Decoder:
             choices = [(c * n, 0.0 if n < 3 and c not in STANDS_FOR else KEPT)]
             for letter in [c] if c not in STANDS_FOR else STANDS_FOR[c]:
                 price = REPLACED if letter != c else 0.0
+                if literal and n == 2 and c in STANDS_FOR:
+                    choices.append((letter * 2, price))
+                    continue
                 choices += [(letter, price + (SQUEEZED if n > 1 else 0.0)), *([(letter * 2, price + SQUEEZED * (n > 2))] if n > 1 else [])]
             out.append(choices)
         return out
@@ -108,10 +122,26 @@ class Decoder:
     def decoded(self, token: str) -> str:
         """Words that a token is read as; letters spelt singly are read as one word and as a sentence."""
         one = self.path(self.lattice(token))
+        if doubled(token):
+            one = f"{one} {self.path(self.lattice(token, literal=True))}"
         if separated(token) or " " in token:
             return f"{one} {self.path(self.lattice(token, BROKEN))}"
         return one
 
+    def with_edges(self, lead: str, word: str, tail: str) -> str:
+        """The readings of a word with symbols at its edges, runs of which may be nothing."""
+        def optional(symbols: str, usual: str, literal: bool) -> list[list[tuple[str, float]]]:
+            out = []
+            for run, choices in zip(runs(symbols), self.lattice(symbols, literal=literal)):
+                n, letters = len(run[0]), choices[1:]  # not as it is
+                out.append([("", DECORATED if n > 2 else TRIMMED), *letters] if n > 2 or run[1] in usual else letters)
+            return out
+
+        inner = [[(c, 0.0)] for c in word] if plain(word) else None
+        return " ".join(dict.fromkeys(
+            self.path([*optional(lead, BEFORE, literal), *(inner or self.lattice(word, literal=literal)), *optional(tail, BEHIND, literal)])
+            for literal in ([False, True] if doubled(lead + word + tail) else [False])))
+
     def path(self, lattice: list[list[tuple[str, float]]]) -> str:
         best: dict[str, tuple[float, tuple | None]] = {"\x00\x00": (0.0, None)}  # by the last two characters
         for choices in [*lattice, [("\x00", 0.0)]]:
@@ -136,16 +166,48 @@ class Decoder:
         """The token decoded, whatever its length; only short ones are kept."""
         return self.restored[token] if len(token) <= SHORT else self.decoded(token)
 
+    def edged(self, lead: str, word: str, tail: str) -> str:
+        """`with_edges`, by a memo; of a plain word only the two characters at either edge matter."""
+        if len(word) > 1 and plain(word) and len(lead) + len(tail) <= SHORT:
+            before = [r[:-2] for r in self.edges[lead, word[:2], ""].split(" ")] if lead else [""]
+            after = [r[2:] for r in self.edges["", word[-2:], tail].split(" ")] if tail else [""]
+            return " ".join(a + word + b for a in before for b in after)
+        if len(lead) + len(word) + len(tail) <= SHORT:
+            return self.edges[lead, word, tail]
+        return self.with_edges(lead, word, tail)
+
     def restore(self, token: str) -> str:
-        """A token in lower case without what surrounds the word, and undisguised; several words are parted by spaces."""
-        core = decoration.sub("", token.lower()).strip(EDGES)
-        if len(core) > 1 and (separated(core) or disguised(core)):
-            return self.reading(core)
-        return core
+        """A token in lower case without what surrounds the word, and undisguised; several words are parted by spaces.
+
+        The word without the symbols at its edges, and a token without letters, are kept beside their readings.
+        """
+        token = token.lower()
+        core = token.strip(AROUND)
+        if len(core) == len(token):
+            return core if plain(core) else self.inner(core)
+        if not core:  # nothing but symbols: letters if they differ
+            symbols = token.translate(NO_LETTERS)
+            return self.reading(symbols) if len(set(symbols)) > 1 else ""
+        at = len(token) - len(token.lstrip(AROUND))
+        lead, tail = token[:at].translate(NO_LETTERS), token[at + len(core):].translate(NO_LETTERS)
+        if lead in ("$", "@"):
+            lead, core = "", lead + core
+        if tail in ("$", "@"):
+            core, tail = core + tail, ""
+        found = core if plain(core) else self.inner(core)
+        return f"{found} {self.edged(lead, core, tail)}" if lead or tail else found
+
+    def inner(self, core: str) -> str:
+        """The readings of a token that may be disguised, without symbols at its edges."""
+        return self.reading(core) if letter(core) else f"{core} {self.reading(core)}"
 
     def words(self, text: str) -> set[str]:
         """The distinct words of a text, with those spelt in single letters put together."""
-        cores = [self.core[w] if len(w) <= SHORT else self.restore(w.decode()) for w in set(common.words(text))]
+        words = set(common.words(text))
+        if max(map(len, words), default=0) > SHORT:
+            cores = [self.core[w] if len(w) <= SHORT else self.restore(w.decode()) for w in words]
+        else:
+            cores = map(self.core.__getitem__, words)
         found = set(" ".join(cores).split(" "))
         if text.count(" ") > 3:
             for match in spaced.finditer(text):
