@@ -87,6 +87,35 @@ def test_sketches_and_their_likeness():
     assert fingerprints.likeness(sketch(""), sketch(" \n")) == 1.0 and fingerprints.likeness(sketch(""), sketch("a")) == 0.0
 
 
+def test_short_texts_are_told_apart():
+    rnd = random.Random(14)
+    sketcher = fingerprints.Sketcher()
+    sketch = lambda text: sketcher.sketch(sketcher.words(text))
+    texts = [prose(rnd, n) for n in range(1, 41) for _ in range(5)]
+    assert all(fingerprints.likeness(sketch(t), sketch(t)) == 1.0 for t in texts)
+    written = [fingerprints.written(sketch(t)) for t in texts]
+    assert len(set(written)) == len({t.lower() for t in texts})
+    shingles = lambda t: {tuple(w[i:i + 5]) for w in [t.lower().split()] for i in range(max(1, len(w) - 4))}
+    for n in (6, 9, 15, 20):  # exact as long as every hash is kept
+        words = prose(rnd, n).split(" ")
+        a, b = " ".join(words), " ".join(words[:-1] + ["other"])
+        expected = len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+        assert fingerprints.likeness(sketch(a), sketch(b)) == expected
+        assert fingerprints.containment(sketch(a), sketch(b)) == len(shingles(a) & shingles(b)) / len(shingles(a))
+    for t, u in zip(texts, texts[::-1]):  # merged sketches are those of the union
+        x, y = sketch(t), sketch(u)
+        hashes = np.union1d(*(sketcher_all(sketcher, s) for s in (t, u)))
+        expected = hashes[:max(fingerprints.LEAST, np.searchsorted(hashes, sketcher.below))]
+        assert (fingerprints.merged(x, y)[1] == expected).all()
+
+
+def sketcher_all(sketcher, text):
+    """All hashes of a text's shingles."""
+    whole = fingerprints.Sketcher(scale=1)
+    whole.word = sketcher.word
+    return whole.sketch(whole.words(text))[1]
+
+
 def test_each_document_meets_its_successor(spark, docs, rows, nothing):
     got = fingerprints.compared(docs).collect()
     assert len(got) == len(rows) and fingerprints.compared(nothing).count() == 0

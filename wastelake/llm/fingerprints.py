@@ -1,14 +1,15 @@
 """Threshold-scaled sketches of documents.
 
 A document's shingles are runs of five words in lower case (all its words when it has
-fewer). Every distinct shingle hash below a fixed fraction of the hash range is kept, so the
-sketch grows with the document, sketches merge by union, and containment between documents
-of very unequal length is estimated from the part of the smaller sketch found in the larger.
+fewer). Every distinct shingle hash below a fixed fraction of the hash range is kept, and of
+a document with fewer such hashes the LEAST lowest of all. So the sketch grows with the
+document, short documents keep all they have, sketches merge by union, and containment between
+documents of very unequal length is estimated from the part of the smaller sketch found in the
+larger. Sketches are compared on the range of hashes that both know in full.
 
 A fingerprint is the number of distinct shingles, a colon, and the kept hashes in ascending
-order, 14 hex digits each. Likeness is the Jaccard estimate of two sketches. Two sketches
-without a kept hash are alike (1.0) only if neither document has a shingle; then nothing
-else can be told from them, and the likeness is 0.0.
+order, 14 hex digits each. Likeness is the Jaccard estimate of two sketches, exact if both
+documents have at most LEAST shingles. Two documents without a shingle are alike (1.0).
 
 Nulls count as empty texts. The next document is that of the next larger id; null ids come
 first, and rows of equal id follow one another by text. An empty table gives an empty
@@ -34,6 +35,8 @@ from . import common
 SHINGLE = 5
 #: One of so many shingle hashes is kept.
 SCALE = 4
+#: A sketch has at least so many hashes, if the document has.
+LEAST = 16
 #: Hashes have so many bits, written as hex digits of four bits each.
 BITS = 56
 MEMO = 400_000
@@ -63,7 +66,7 @@ class Sketcher:
         for i in range(span):
             h = common.mixed(h * SOME + hashes[i:i + n])
         h = np.unique(h >> np.uint64(64 - BITS))
-        return len(h), h[:np.searchsorted(h, self.below)]
+        return len(h), h[:max(LEAST, np.searchsorted(h, self.below))]
 
 
 def written(sketch: tuple[int, np.ndarray]) -> str:
@@ -77,10 +80,26 @@ def read(fingerprint: str) -> tuple[int, np.ndarray]:
     return int(n), np.pad(raw, ((0, 0), (8 - BITS // 8, 0))).reshape(-1).view(">u8").astype(np.uint64)
 
 
+def known(sketch: tuple[int, np.ndarray], scale: int = SCALE) -> int:
+    """The bound below which a sketch has every hash of its document."""
+    n, kept = sketch
+    return 1 << BITS if n == len(kept) else max((1 << BITS) // scale, int(kept[-1]) + 1)
+
+
+def common_range(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray], scale: int = SCALE) -> tuple[int, np.ndarray, np.ndarray]:
+    """The bound below which both sketches are complete, and their hashes there."""
+    bound = min(known(a, scale), known(b, scale))
+    return bound, *(s[1][:np.searchsorted(s[1], np.uint64(bound))] for s in (a, b))
+
+
 def merged(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray], scale: int = SCALE) -> tuple[int, np.ndarray]:
-    """Sketch of two documents together; its number of shingles is an estimate."""
-    kept = np.union1d(a[1], b[1])
-    return max(a[0], b[0], scale * len(kept)), kept
+    """Sketch of two documents together; its number of shingles is an estimate, but exact if both sketches have all."""
+    bound, x, y = common_range(a, b, scale)
+    both = np.union1d(x, y)
+    below = int(np.searchsorted(both, np.uint64((1 << BITS) // scale)))
+    kept = both[:max(LEAST, below)]
+    # A number larger than that of the kept hashes tells that some are missing.
+    return (len(both) if bound == 1 << BITS else max(a[0], b[0], scale * below, len(kept) + 1)), kept
 
 
 def shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -89,19 +108,21 @@ def shared(a: np.ndarray, b: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
-def likeness(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> float:
+def likeness(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray], scale: int = SCALE) -> float:
     """Jaccard estimate."""
-    if not len(a[1]) and not len(b[1]):
-        return 1.0 if a[0] == b[0] == 0 else 0.0
-    common_ = shared(a[1], b[1])
-    return common_ / (len(a[1]) + len(b[1]) - common_)
+    if a[0] == b[0] == 0:
+        return 1.0
+    _, x, y = common_range(a, b, scale)
+    common_ = shared(x, y)
+    return common_ / (len(x) + len(y) - common_)
 
 
-def containment(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> float:
+def containment(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray], scale: int = SCALE) -> float:
     """Estimated part of the first document's shingles that the second one has."""
-    if not len(a[1]):
-        return 1.0 if a[0] == 0 else 0.0
-    return shared(a[1], b[1]) / len(a[1])
+    if not a[0]:
+        return 1.0
+    _, x, y = common_range(a, b, scale)
+    return shared(x, y) / len(x) if len(x) else 0.0
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
