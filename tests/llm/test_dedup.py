@@ -152,6 +152,25 @@ def test_repeated_bytes_go(docs, rows, nothing):
     assert suffix_dedup.deduplicated(nothing, 200).count() == 0
 
 
+def test_repeats_are_found_though_the_splits_change(spark, rows, monkeypatch, tmp_path):
+    """As when executors are lost or join between the jobs: every batch reads the table in other splits."""
+    folder = str(tmp_path / "docs")
+    frame(spark, rows).repartition(12).write.parquet(folder)
+    turn, real = iter(range(100)), suffix_dedup.Family.add
+
+    def add(self, batch):
+        spark.conf.set("spark.sql.files.openCostInBytes", str([1, 200_000_000, 40_000_000][next(turn) % 3]))
+        real(self, batch)
+
+    monkeypatch.setattr(suffix_dedup.Family, "add", add)
+    expected = sorted(str((i, *r)) for (i, *_), r in zip(rows, removed([(t or "").encode() for _, t, _, _ in rows], 200)))
+    try:
+        got = suffix_dedup.deduplicated(spark.read.parquet(folder), 200, part_bytes=5_000).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(str((r.doc_id, r.n_removed, r.n_spans, r.kept_sha256)) for r in got) == expected
+
+
 def test_repeats_of_every_length_and_across_chunks(monkeypatch):
     rnd = random.Random(6)
     text = prose(rnd, 3000).encode()

@@ -45,6 +45,28 @@ def test_tail_words_and_several_groups_of_segments(docs, monkeypatch):
         assert abs(r.score - same.score) < 0.05 * abs(same.score) + 1
 
 
+def test_groups_of_segments_meet_though_the_splits_change(spark, docs, monkeypatch, tmp_path):
+    """As when executors are lost or join between the passes: every pass reads the table in other splits."""
+    folder = str(tmp_path / "docs")
+    docs.repartition(12).write.parquet(folder)
+    table = spark.read.parquet(folder)
+    monkeypatch.setattr(lm_scoring, "SEGMENT_TOKENS", 1000)
+    whole = sorted((str(r.doc_id), r.n_tokens, round(r.base_score, 6), r.score) for r in lm_scoring.scores(table).collect())
+    turn, real = iter(range(1000)), lm_scoring.scored
+
+    def scored(*given):
+        spark.conf.set("spark.sql.files.openCostInBytes", str([1, 200_000_000, 40_000_000][next(turn) % 3]))
+        return real(*given)
+
+    monkeypatch.setattr(lm_scoring, "scored", scored)
+    try:
+        got = sorted((str(r.doc_id), r.n_tokens, round(r.base_score, 6), r.score) for r in lm_scoring.scores(table, most_bytes=14_000).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert next(turn) > 1 and [r[:3] for r in got] == [r[:3] for r in whole]
+    assert all(abs(a[3] - b[3]) < 1e-6 * abs(b[3]) + 1e-6 for a, b in zip(got, whole))
+
+
 def test_filter_gives_counts_back():
     rng = np.random.default_rng(7)
     keys = np.unique(rng.integers(0, 2 ** 63, 5000, dtype=np.uint64) * np.uint64(2))

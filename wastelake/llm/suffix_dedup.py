@@ -422,7 +422,8 @@ def deduplicated(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES,
     total = named.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_parts = max(1, -(-total // part_bytes))
     log_ranges = max(0, n_parts - 1).bit_length()
-    rows = named.withColumn("part", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n_parts)).cast("int"))
+    # From the row alone: every job reads the table anew, perhaps in other splits. Equal rows share a part.
+    rows = named.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_parts)).cast("int"))
     family = Family(log_ranges, length)
     for i in range(batches):  # as if they came one after another
         family.add(rows.filter(F.col("part") % batches == i))
