@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import fingerprints, lm_scoring, mixing, packing, quality, secrets, simhash, suffix_dedup, tokens, toxicity
+from . import alignment, fingerprints, lm_scoring, merkle, mixing, packing, pieces, quality, secrets, simhash, suffix_dedup, tokens, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +91,27 @@ def op4_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """What is left of every document without the byte strings that repeat."""
     done = suffix_dedup.deduplicated(table(spark, folder, "documents"), REPEAT_BYTES)
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proof of every document in the manifest, and whether it holds for the document as it is now."""
+    docs = table(spark, folder, "documents")
+    found = merkle.manifest(docs, altered={"now": merkle.tampered(docs)})
+    return merkle.proofs(found, "now").select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Links between the tokens of two tokenizers in every document, and how common they are."""
+    made = alignment.alignments(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                public_tokenizers.path("piece_bpe_32k.model"), digests=True)
+    return made.withColumnRenamed("groups", "groups_sha256")
+
+
+@query
+def op13_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    made = pieces.encoded(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return made.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
