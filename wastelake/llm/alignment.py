@@ -41,7 +41,7 @@ from tokenizers import Tokenizer
 
 from ..session import work_path
 from . import common
-from .pieces import MARK, PARTS, Pieces
+from .pieces import MARK, Pieces
 from .tokens import byte_characters
 
 MEMO = 300_000
@@ -151,7 +151,7 @@ class Aligner:
 
     def parts(self, text: str) -> list[str]:
         """The text, after its blank, as parts that both sides encode alone."""
-        return PARTS.findall(" " + text) if self.in_parts else [" " + text]
+        return self.kept.split(" " + text) if self.in_parts else [" " + text]
 
     def aligned(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
         """The four numbers of a text, its distinct links with how often each occurs, and its groups."""

@@ -156,6 +156,9 @@ class Pieces:
         #: White space that no longer piece contains, beside the blank.
         self.alone = {c for c in map(chr, range(0x3001)) if c.isspace() and c not in joined}
         self.blank = blank
+        reached = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " " and c not in self.alone]
+        #: White space before which a piece may go on.
+        self.reached = re.compile("[" + "".join(map(re.escape, reached)) + "]") if reached else None
         self.in_parts = (
             trainer.get(3, 1) == BYTE_PAIRS and not own and not self.as_suffix and self.guard is not None
             and not any(blank in p.lstrip(blank) for p in texts)
@@ -253,12 +256,25 @@ class Pieces:
         return (array("i", ids).tobytes(), array("i", [begins[p] for p in places[:-1]]).tobytes(),
                 array("i", [ends[p - 1] for p in places[1:]]).tobytes(), len(ids), len(data), decoded, meets)
 
+    def split(self, text: str) -> list[str]:
+        """The text cut where white space follows other characters and no piece reaches over it."""
+        found = PARTS.findall(text)
+        if not self.reached or not self.reached.search(text):
+            return found
+        joined: list[list[str]] = [found[:1]]
+        for part in found[1:]:
+            if self.reached.match(part):
+                joined[-1].append(part)
+            else:
+                joined.append([part])
+        return ["".join(parts) for parts in joined]
+
     def parts(self, text: str) -> list[tuple]:
         """What is known of the parts of a text, in order."""
         if not text:
             return []
         if self.in_parts:
-            found = PARTS.findall(text)
+            found = self.split(text)
             known = [self.first[found[0]] if len(found[0]) <= LONGEST_KEPT else self.made(found[0], True)]
             known += [self.part[p] if len(p) <= LONGEST_KEPT else self.made(p, False) for p in found[1:]]
             if all(p[6] for p in known[:-1]) and (known[-1][6] or not self.squeeze and known[-1][5][:1] in self.alone | {" "}):
