@@ -136,8 +136,8 @@ def test_merge_overlapping_takes_pairs_from_one_state(spark):
     sites = sites.withColumns(dict(zip(("x", "y"), geo.centroid("rings").values())))
     centre = next(r for r in st.merge_overlapping(sites).collect() if r["id"] == "m1")
     assert abs(centre["x"] - (16 * 2 + 16 * 5 - 3.5) / 31) < 1e-9 and centre["x"] == centre["y"]
-    got = {r["id"]: (r["active"], len(r["rings"])) for r in st.merge_overlapping(sites).collect()}
-    assert got == {"m1": (4, 2), "m2": (4, 3), "w2": (None, 1)}
+    got = {r["id"]: (r["active"], r["parts"], len(r["rings"]), len(r["rings"][0])) for r in st.merge_overlapping(sites).collect()}
+    assert got == {"m1": (4, 2, 1, 9), "m2": (4, 3, 1, 13), "w2": (None, 1, 1, 5)}
 
 
 def test_shapes_of_several_parts(spark):

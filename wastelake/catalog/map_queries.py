@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import clean, geo
 from ..operators import cluster, links, nearest as nn, overlap, service, shortid, sites as st, spatial
+from ..operators.dissolve import dissolve
 from ..plans import feeds
 from ..session import cut
 from . import landed
@@ -63,6 +64,39 @@ def _(t: Tables) -> DataFrame:
     return pairs.filter(overlap.overlaps("rings", "b_rings")).select("id", "b_id")
 
 
+# Buildings as an L (upper right quarter left out), a frame (middle left out) or a box, by id; each a set of quarter boxes.
+CORNERED = """SELECT id, id % 3 AS form, minx AS x0, miny AS y0, minx + 2 * (p - 1) + 8 AS x1, miny + 2 * (p - 1) + 8 AS y1
+    FROM (SELECT *, 1 + id % 5 AS p FROM {buildings})"""
+IN_FORM = """(x > {s}_x0 AND x < {s}_x1 AND y > {s}_y0 AND y < {s}_y1 AND NOT ({s}_form = 0 AND x > {s}_x0 + 4 AND y > {s}_y0 + 4)
+    AND NOT ({s}_form = 1 AND x > {s}_x0 + 2 AND x < {s}_x1 - 2 AND y > {s}_y0 + 2 AND y < {s}_y1 - 2))"""
+
+
+@query("geo_04_overlaps_of_any_form", f"""WITH c AS ({CORNERED}),
+    q AS (SELECT a.id, b.id AS b_id, a.form AS a_form, a.x0 AS a_x0, a.y0 AS a_y0, a.x1 AS a_x1, a.y1 AS a_y1,
+                 b.form AS b_form, b.x0 AS b_x0, b.y0 AS b_y0, b.x1 AS b_x1, b.y1 AS b_y1,
+                 unnest(range(CAST(least(a.x0, b.x0) AS BIGINT), CAST(greatest(a.x1, b.x1) AS BIGINT))) + 0.5 AS x
+          FROM c a JOIN c b ON a.id < b.id AND a.x0 < b.x1 AND b.x0 < a.x1 AND a.y0 < b.y1 AND b.y0 < a.y1),
+    r AS (SELECT *, unnest(range(CAST(least(a_y0, b_y0) AS BIGINT), CAST(greatest(a_y1, b_y1) AS BIGINT))) + 0.5 AS y FROM q),
+    f AS (SELECT id, b_id, {IN_FORM.format(s='a')} AS in_a, {IN_FORM.format(s='b')} AS in_b FROM r)
+    SELECT id, b_id FROM f GROUP BY 1, 2 HAVING bool_or(in_a AND in_b) AND bool_or(in_a AND NOT in_b) AND bool_or(in_b AND NOT in_a)""")
+def _(t: Tables) -> DataFrame:
+    """Concave shapes and shapes with holes; one inside another's hole or notch does not overlap it."""
+    at = lambda x, y: f"named_struct('x', x0 + {x}D, 'y', y0 + {y}D)"
+    placed = t.buildings.selectExpr("id", "id % 3 AS form", "minx AS x0", "miny AS y0", "8D + 2D * (id % 5) AS side")
+    whole = "array(array({}))"
+    ring = lambda points: ", ".join(points)
+    box = [at(0, 0), "named_struct('x', x0 + side, 'y', y0)", "named_struct('x', x0 + side, 'y', y0 + side)", "named_struct('x', x0, 'y', y0 + side)", at(0, 0)]
+    ell = [at(0, 0), "named_struct('x', x0 + side, 'y', y0)", "named_struct('x', x0 + side, 'y', y0 + 4D)", at(4, 4),
+           "named_struct('x', x0 + 4D, 'y', y0 + side)", "named_struct('x', x0, 'y', y0 + side)", at(0, 0)]
+    hole = [at(2, 2), "named_struct('x', x0 + side - 2D, 'y', y0 + 2D)", "named_struct('x', x0 + side - 2D, 'y', y0 + side - 2D)",
+            "named_struct('x', x0 + 2D, 'y', y0 + side - 2D)", at(2, 2)]
+    frame = f"array(array({ring(box)}), array({ring(hole)}))"
+    rings = F.expr(f"CASE form WHEN 0 THEN {whole.format(ring(ell))} WHEN 1 THEN {frame} ELSE {whole.format(ring(box))} END")
+    shapes = spatial.with_bounds(placed.select("id", rings.alias("rings")))
+    pairs = spatial.polygon_pairs(shapes, shapes, 0.0, F.col("id") < F.col("b_id"))
+    return pairs.filter(overlap.overlaps("rings", "b_rings")).select("id", "b_id")
+
+
 @query("geo_05_centroid", "SELECT id, (minx + maxx) / 2 AS cx, (miny + maxy) / 2 AS cy FROM {buildings}")
 def _(t: Tables) -> DataFrame:
     return t.buildings.select("id", *[F.round(c, 6).alias(n) for n, c in geo.centroid("rings").items()])
@@ -100,6 +134,44 @@ def _(t: Tables) -> DataFrame:
     return measured.select("id", "b_id", F.round("u.area", 6).alias("area"))
 
 
+def _outline(rings: str) -> dict:
+    """Area, length and corners of closed rings, and outer rings less holes."""
+    edge = geo.edges_sql(rings)
+    doubled = "aggregate(zip_with(slice({r}, 1, size({r}) - 1), slice({r}, 2, size({r}) - 1), (_a, _b) -> _a.x * _b.y - _b.x * _a.y), 0D, (_t, _v) -> _t + _v)"
+    return {
+        "area": F.round(F.expr(f"aggregate(transform({rings}, _r -> {doubled.format(r='_r')}), 0D, (_t, _v) -> _t + _v) / 2"), 3),
+        "length": F.round(F.expr(f"aggregate({edge}, 0D, (_t, _e) -> _t + abs(_e.a.x - _e.b.x) + abs(_e.a.y - _e.b.y))"), 3),
+        "corners": F.expr(f"CAST(size(flatten({rings})) - size({rings}) AS BIGINT)"),
+        "outer_less_holes": F.expr(f"CAST(aggregate(transform({rings}, _r -> sign({doubled.format(r='_r')})), 0D, (_t, _v) -> _t + _v) AS BIGINT)"),
+    }
+
+
+# Boxes have whole coordinates, so a union is a set of unit squares. Its corners follow from the four squares around each
+# point; turning left less turning right is four times the outer rings less the holes.
+OUTLINE = """u AS (SELECT DISTINCT k, x, unnest(range(CAST(miny AS BIGINT), CAST(maxy AS BIGINT))) AS y
+        FROM (SELECT k, miny, maxy, unnest(range(CAST(minx AS BIGINT), CAST(maxx AS BIGINT))) AS x FROM box)),
+    nb AS (SELECT a.k, a.x, a.y, r.k IS NOT NULL AS has_r, t.k IS NOT NULL AS has_t FROM u a
+        LEFT JOIN u r ON r.k = a.k AND r.x = a.x + 1 AND r.y = a.y LEFT JOIN u t ON t.k = a.k AND t.x = a.x AND t.y = a.y + 1),
+    measured AS (SELECT k, count(*) AS area, 4 * count(*) - 2 * count_if(has_r) - 2 * count_if(has_t) AS length FROM nb GROUP BY 1),
+    quad AS (SELECT k, x + dx AS x, y + dy AS y, count(*) AS n, sum(CASE WHEN dx = dy THEN 1 ELSE 0 END) AS d
+        FROM u CROSS JOIN (SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(dx, dy)) GROUP BY 1, 2, 3),
+    turned AS (SELECT k, sum(CASE WHEN n IN (1, 3) THEN 1 WHEN n = 2 AND d <> 1 THEN 2 ELSE 0 END) AS corners,
+        sum(CASE WHEN n = 1 THEN 1 WHEN n = 3 THEN -1 WHEN n = 2 AND d <> 1 THEN 2 ELSE 0 END) / 4 AS outer_less_holes FROM quad GROUP BY 1)
+    SELECT k AS {name}, CAST(area AS DOUBLE) AS area, CAST(length AS DOUBLE) AS length, CAST(corners AS BIGINT) AS corners,
+           CAST(outer_less_holes AS BIGINT) AS outer_less_holes FROM measured JOIN turned USING (k)"""
+
+
+def _outline_sql(name: str) -> str:
+    return OUTLINE.replace("{name}", name)
+
+
+@query("geo_08_dissolved", f"WITH box AS (SELECT brand AS k, minx, miny, maxx, maxy FROM {{buildings}}), {_outline_sql('brand')}")
+def _(t: Tables) -> DataFrame:
+    """The buildings of a brand dissolved: their boundary with holes."""
+    shapes = dissolve(t.buildings.select("brand", "rings"), ["brand"])
+    return shapes.select("brand", *[c.alias(n) for n, c in _outline("rings").items()])
+
+
 @query("geo_09_parts", "SELECT id, 1 AS part FROM {buildings} UNION ALL SELECT id, 2 FROM {buildings}")
 def _(t: Tables) -> DataFrame:
     many = t.buildings.select("id", F.array("rings", "rings").alias("many"))
@@ -293,7 +365,7 @@ def _built(t: Tables) -> DataFrame:
            1 + (SELECT count(*) FROM o WHERE o.id = s.id) AS parts
     FROM {{site_boxes}} s WHERE s.id NOT IN (SELECT b_id FROM o WHERE NOT bgt_based)""")
 def _(t: Tables) -> DataFrame:
-    return st.merge_overlapping(_built(t)).select("id", "active", F.size("rings").alias("parts"))
+    return st.merge_overlapping(_built(t)).select("id", "active", "parts")
 
 
 MERGED = f"""o AS (SELECT a.id, b.id AS b_id, b.bgt_based, b.minx, b.miny, b.maxx, b.maxy FROM {{site_boxes}} a JOIN {{site_boxes}} b
@@ -311,10 +383,16 @@ MERGED = f"""o AS (SELECT a.id, b.id AS b_id, b.bgt_based, b.minx, b.miny, b.max
            round((3600 * y + 3600 * oy - shared * (iy0 + iy1) / 2) / (7200 - shared), 4) AS y FROM q""")
 def _(t: Tables) -> DataFrame:
     """Centroids of sites that took in one other: those of the dissolved union."""
-    merged = st.merge_overlapping(_built(t)).filter(F.size("rings") == 2)
+    merged = st.merge_overlapping(_built(t)).filter("parts = 2")
     return merged.select("id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
 
 
+@query("jn_18_merged_outlines", f"WITH {MERGED}, box2 AS (SELECT id AS k, minx, miny, maxx, maxy FROM box), {_outline_sql('id').replace('FROM box)', 'FROM box2)')}")
+def _(t: Tables) -> DataFrame:
+    """The shapes of all sites after merging: boundaries of dissolved unions, or their own box."""
+    return st.merge_overlapping(_built(t)).select("id", *[c.alias(n) for n, c in _outline("rings").items()])
+
+
 @query("jn_20_merged_moorings", f"""WITH {MERGED}, d AS (SELECT a.id, b.id AS mooring, b.street, min({BOX_BOX}) AS near
         FROM box a CROSS JOIN {{moorings}} b WHERE a.id IN (SELECT site_id FROM {{wells}}) GROUP BY 1, 2, 3),
     n AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY near, mooring) AS rn FROM d) WHERE rn = 1)

@@ -1,7 +1,6 @@
 """Distance and overlap of polygons on candidate pairs, as Arrow functions.
 
-A pair costs corners times corners, too much for interpreted SQL lambdas. Site shapes
-are convex hulls or unions of these, kept as a list of parts.
+A pair costs corners times corners, too much for interpreted SQL lambdas.
 """
 
 from __future__ import annotations
@@ -15,66 +14,47 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
+from ..functions import arrangement as plane
 from ..functions.geo import edges_sql
 
-EPS = 1e-9
-
 # Workers need not have the package installed: its functions travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _area(ring: list[tuple[float, float]]) -> float:
-    return sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1])) / 2
-
-
-def _open_ring(ring) -> list[tuple[float, float]]:
-    x0, y0 = ring[0]["x"], ring[0]["y"]
-    points = [(p["x"], p["y"]) for p in ring]
-    points = points[:-1] if points[-1] == (x0, y0) else points
-    return points if _area([(x - x0, y - y0) for x, y in points]) > 0 else points[::-1]
-
-
-def _shared_area(p: list[tuple[float, float]], q: list[tuple[float, float]]) -> float:
-    """Area two convex rings have in common: `p` cut by each edge of `q`."""
-    x0, y0 = p[0]
-    out = [(x - x0, y - y0) for x, y in p]
-    q = [(x - x0, y - y0) for x, y in q]
-    for a, b in zip(q, q[1:] + q[:1]):
-        sides = [(b[0] - a[0]) * (y - a[1]) - (b[1] - a[1]) * (x - a[0]) for x, y in out]
-        cut = []
-        for i, (point, side) in enumerate(zip(out, sides)):
-            before, before_side = out[i - 1], sides[i - 1]
-            if (side >= 0) != (before_side >= 0):
-                t = before_side / (before_side - side)
-                cut.append((before[0] + t * (point[0] - before[0]), before[1] + t * (point[1] - before[1])))
-            if side >= 0:
-                cut.append(point)
-        out = cut
-        if len(out) < 3:
-            return 0.0
-    return _area(out)
-
-
-def _overlaps(parts_a, parts_b) -> bool:
-    rings_a = [_open_ring(r) for r in parts_a]
-    rings_b = [_open_ring(r) for r in parts_b]
-    shared = [[_shared_area(p, q) for q in rings_b] for p in rings_a]
-    if not any(s > EPS for row in shared for s in row):
+def _steps(*extents: float) -> int:
+    """Grid steps per metre: as many as usual, fewer for shapes too wide for exact side tests."""
+    steps = plane.STEPS
+    while max(extents) * steps > plane.WIDEST:
+        steps //= 2
+    return max(1, steps)
+
+
+def _overlaps(*columns) -> bool | None:
+    if any(c is None for c in columns):
+        return None
+    ax, ay, a_sizes, bx, by, b_sizes = [np.asarray(c, dtype="float64") for c in columns]
+    if not len(ax) or not len(bx):
+        return False
+    if ax.max() <= bx.min() or bx.max() <= ax.min() or ay.max() <= by.min() or by.max() <= ay.min():
         return False
-    local = lambda ring: _area([(x - ring[0][0], y - ring[0][1]) for x, y in ring])
-    a_inside = all(max(row) >= local(p) - 1e-6 for p, row in zip(rings_a, shared))
-    b_inside = all(max(row[j] for row in shared) >= local(q) - 1e-6 for j, q in enumerate(rings_b))
-    return not a_inside and not b_inside
+    x0, y0 = min(ax.min(), bx.min()), min(ay.min(), by.min())
+    steps = _steps(max(ax.max(), bx.max()) - x0, max(ay.max(), by.max()) - y0)
+    origin = (round(x0 * steps), round(y0 * steps))
+    shapes = [plane.on_grid(x, y, n.astype(np.int64), steps, origin) for x, y, n in ((ax, ay, a_sizes), (bx, by, b_sizes))]
+    return all(plane.regions(*shapes))
 
 
 @F.pandas_udf(BooleanType())
-def _overlap_udf(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([_overlaps(p, q) for p, q in zip(a, b)], dtype="bool")
+def _overlap_udf(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series, e: pd.Series, f: pd.Series) -> pd.Series:
+    return pd.Series([_overlaps(*row) for row in zip(a, b, c, d, e, f)], dtype="object")
 
 
-def overlaps(a: Column | str, b: Column | str) -> Column:
-    """Interiors meet and neither shape holds the other; convex parts."""
-    return _overlap_udf(a, b)
+def overlaps(a: str, b: str) -> Column:
+    """Interiors meet and neither shape holds the other, for polygons of any form: concave,
+    with holes or of several parts (rings read even-odd). NULL for a NULL polygon."""
+    columns = [F.expr(text.format(g)) for g in (a, b) for text in (
+        "transform(flatten({}), _p -> _p.x)", "transform(flatten({}), _p -> _p.y)", "transform({}, _r -> size(_r))")]
+    return _overlap_udf(*columns)
 
 
 def _to_edges(x, y, ax, ay, bx, by):
@@ -93,6 +73,12 @@ def _inside(x: float, y: float, ax, ay, bx, by) -> bool:
     return bool(hits.sum() % 2)
 
 
+def _begins(ax, ay, bx, by) -> list[tuple[float, float]]:
+    """One corner of every ring: where an edge does not begin at the end of the one before."""
+    first = np.append(True, (ax[1:] != bx[:-1]) | (ay[1:] != by[:-1]))
+    return list(zip(ax[first], ay[first]))
+
+
 def _crossing(p, q) -> bool:
     """Some edges share a point that is an end of neither; shared ends have distance 0 anyway."""
     def sides(a, b):
@@ -107,7 +93,7 @@ def _distance(*columns) -> float | None:
     if any(c is None for c in columns):
         return None
     p, q = [[np.asarray(c, dtype="float64") for c in columns[i:i + 4]] for i in (0, 4)]
-    if _crossing(p, q) or _inside(p[0][0], p[1][0], *q) or _inside(q[0][0], q[1][0], *p):
+    if _crossing(p, q) or any(_inside(x, y, *b) for a, b in ((p, q), (q, p)) for x, y in _begins(*a)):
         return 0.0
     return min(_to_edges(p[0], p[1], *q), _to_edges(q[0], q[1], *p))
 

@@ -1,8 +1,8 @@
 """Collection sites: clusters with an address, merged and linked to wells.
 
 A site row is `(id, cluster, bgt_based, active, stadsdeel, stadsdeel_naam, buurt_code,
-straatnaam, huisnummer, distance, x, y, rings)`; `rings` lists the convex parts of its
-shape, one ring each.
+straatnaam, huisnummer, distance, x, y, rings)`; `rings` is its shape, read even-odd: a
+hull, or the outer rings and holes of several shapes dissolved.
 """
 
 from __future__ import annotations
@@ -15,9 +15,10 @@ from ..functions.clean import rounded, site_key
 from ..session import cut
 from . import nearest as nn
 from .cluster import clusters, components, hulls
+from .dissolve import dissolve
 from .links import usable_wells
 from .merge import update_from
-from .overlap import overlaps, polygon_distance, union_measure
+from .overlap import overlaps, polygon_distance
 from .spatial import area_code, points_in_polygons, polygon_pairs
 
 BIN_REACH = 7.0
@@ -112,10 +113,9 @@ def all_sites(map_sites: DataFrame, well_sites: DataFrame) -> DataFrame:
     return map_sites.unionByName(fresh).dropDuplicates(["id"])
 
 
-def site_parts(sites: DataFrame) -> DataFrame:
-    """One row per convex part, for joins with points."""
-    return sites.select(F.col("id").alias("site_id"), geo.parts("rings").alias("ring")).select(
-        "site_id", F.array("ring").alias("rings"))
+def site_shapes(sites: DataFrame) -> DataFrame:
+    """Shapes under the name a link has, for joins with points."""
+    return sites.select(F.col("id").alias("site_id"), "rings")
 
 
 def wells_in_sites(wells: DataFrame, sites: DataFrame, keep: bool = False) -> DataFrame:
@@ -126,7 +126,7 @@ def wells_in_sites(wells: DataFrame, sites: DataFrame, keep: bool = False) -> Da
     placed = wells.select("id", "x", "y")
     if keep:
         placed = wells.filter("site_id is null").select("id", "x", "y")
-    found = points_in_polygons(placed, site_parts(sites), True, 16.0).groupBy("id").agg(
+    found = points_in_polygons(placed, site_shapes(sites), True, 16.0).groupBy("id").agg(
         F.min("site_id").alias("_site"))
     site_id = F.coalesce("site_id", "_site") if keep else F.col("_site")
     return wells.join(found, "id", "left").withColumn("site_id", site_id).drop("_site")
@@ -145,23 +145,22 @@ def overlapping_pairs(sites: DataFrame) -> DataFrame:
 
 def merge_overlapping(sites: DataFrame) -> DataFrame:
     """Map-based sites take the shapes they overlap (`active` 4); absorbed sites that
-    are not map-based go. The centroid becomes that of the dissolved union. Pairs are taken
-    from one state of the table."""
+    are not map-based go. The shape becomes the dissolved union, the centroid that of the union;
+    `parts` counts the different shapes in it. Pairs are taken from one state of the table."""
     sites = cut(sites)
     pairs = cut(overlapping_pairs(sites).select("id", "b_id", "b_bgt_based", "b_rings"))
-    extra = (
-        pairs.select("id", F.explode("b_rings").alias("ring")).distinct()
-        .groupBy("id").agg(F.array_sort(F.collect_list("ring")).alias("_more"))
-    )
+    taken = pairs.select("id", F.col("b_rings").alias("rings")).distinct()
+    grown = taken.groupBy("id").agg((F.count("*") + 1).alias("parts"))
+    own = sites.select("id", "rings").join(grown.select("id"), "id", "left_semi")
+    unions = dissolve(own.unionByName(taken), ["id"]).withColumnsRenamed({"rings": "_rings"})
     gone = pairs.filter("not b_bgt_based").select(F.col("b_id").alias("id")).distinct()
-    grown = F.col("_more").isNotNull()
+    merged = F.col("_rings").isNotNull()
     return (
-        sites.join(extra, "id", "left")
-        .withColumn("active", F.when(grown, F.lit(4)).otherwise(F.col("active")))
-        .withColumn("rings", F.when(grown, F.concat("rings", "_more")).otherwise(F.col("rings")))
-        .withColumn("_union", union_measure(F.when(grown, F.col("rings"))))
-        .withColumns({c: F.coalesce(f"_union.c{c}", c) for c in ("x", "y")})
-        .drop("_more", "_union").join(gone, "id", "left_anti")
+        sites.join(unions, "id", "left").join(grown, "id", "left")
+        .withColumn("active", F.when(merged, F.lit(4)).otherwise(F.col("active")))
+        .withColumns({c: F.when(merged, centre).otherwise(F.col(c)) for c, centre in zip(("x", "y"), geo.centroid("_rings").values())})
+        .withColumns({"rings": F.coalesce("_rings", "rings"), "parts": F.coalesce("parts", F.lit(1))})
+        .drop("_rings").join(gone, "id", "left_anti")
     )
 
 
@@ -172,15 +171,14 @@ def merge_close(sites: DataFrame, layer: DataFrame, reach: float = CLOSE_SITES)
     Whole groups are merged from one state of the table.
     """
     sites = cut(sites)
-    centred = site_parts(sites).withColumnRenamed("site_id", "id")
     first = sites.select("id", "x", "y")
     inside = points_in_polygons(first, layer.select("object_id", "rings"), False).select("id", "object_id")
     shapes = cut(
-        centred.join(inside, "id").select("id", "object_id", "rings")
+        sites.select("id", "rings").join(inside, "id").select("id", "object_id", "rings")
         .withColumns(geo.bounds("rings")))
     together = (F.col("object_id") == F.col("b_object_id")) & (F.col("id") > F.col("b_id"))
     pairs = polygon_pairs(shapes, shapes, reach, together).filter(
-        polygon_distance("rings", "b_rings") <= reach).select("id", "b_id").distinct()
+        polygon_distance("rings", "b_rings") <= reach).select("id", "b_id").distinct()  # once, however many areas they share
     roots = components(pairs.select(F.col("id").alias("u"), F.col("b_id").alias("v")))
     member = sites.select("id").join(roots.withColumnRenamed("node", "id"), "id", "left").select(
         "id", F.coalesce("root", "id").alias("root"))
@@ -218,7 +216,7 @@ def readdress(
         items, exact = nn.polygon_items(places, "id"), nn.polygon_to_polygon
     else:
         items, exact = nn.point_items(places, "id"), nn.polygon_to_point
-    found = nn.of_shapes(nn.nearest(nn.shape_items(candidates, "id"), items, exact, cell=64.0))
+    found = nn.nearest(nn.polygon_items(candidates, "id"), items, exact, cell=64.0)
     new = found.join(places.select(F.col("id").alias("target"), "street", "huisnummer"), "target").select(
         F.col("key").alias("id"), F.col("street").alias("straatnaam"), "huisnummer", rounded(F.col("distance")).alias("distance"))
     before = sites.select("id", F.col("distance").alias("_old"))
@@ -231,7 +229,7 @@ def readdress(
 def supplier_sites(supplier: DataFrame, sites: DataFrame, within: int = 30) -> DataFrame:
     """`site_id` (short id) of the nearest site whose rounded distance is below `within`."""
     found = nn.nearest(
-        nn.point_items(supplier, "id"), nn.polygon_items(site_parts(sites), "site_id"),
+        nn.point_items(supplier, "id"), nn.polygon_items(sites, "id"),
         nn.point_to_polygon, cell=32.0, max_distance=float(within))
     short = sites.select(F.col("id").alias("target"), F.col("short_id").alias("site_id"))
     link = found.filter(rounded(F.col("distance")) < within).join(short, "target").select(
