@@ -160,6 +160,21 @@ def point_polygon_distance(x: str, y: str, rings: str) -> Column:
     return F.expr(f"CASE WHEN {covers_sql(rings, x, y)} THEN 0D ELSE {_edge_distance(edges_sql(rings), x, y)} END")
 
 
+PIECE = "full boolean, edges array<struct<a:struct<x:double,y:double>,b:struct<x:double,y:double>>>, sides array<struct<a:struct<x:double,y:double>,b:struct<x:double,y:double>>>"
+
+
+def in_piece(x: str, y: str, strict: bool) -> Column:
+    """Point of a cell inside the polygon whose piece (full, edges, sides) the cell has."""
+    inside, edge = _in_edges("edges", x, y), _on_edges("coalesce(sides, edges)", x, y)
+    return F.expr(f"(full OR ({inside} AND NOT {edge}))" if strict else f"(full OR {inside} OR {edge})")
+
+
+def piece_distance(x: str, y: str) -> Column:
+    """Distance of a point of a cell to the polygon whose piece the cell has; NULL if it is beyond the reach."""
+    sides = "coalesce(sides, edges)"
+    return F.expr(f"CASE WHEN full OR {_in_edges('edges', x, y)} THEN 0D ELSE {_edge_distance(sides, x, y)} END")
+
+
 def centroid(rings: str) -> dict[str, Column]:
     """Area centroid; holes count against the area by their direction."""
     ax, ay = f"(_e.a.x - {rings}[0][0].x)", f"(_e.a.y - {rings}[0][0].y)"
