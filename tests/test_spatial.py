@@ -66,6 +66,38 @@ def test_nearest_in_a_crowd(spark):
     assert {r["key"]: r["target"] for r in got} == {i: int(j) for i, j in enumerate(d.argmin(1))}
 
 
+def crowded_frames(spark, n):
+    """`n` targets within a millimetre or so of one spot, a few elsewhere, and `n` queries in one far cell."""
+    spread = lambda seed, scale: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(100_003)) / 100_003.0 * scale
+    targets = spark.range(n).select("id", (5000 + spread(1, 0.002)).alias("x"), (5000 + spread(2, 0.002)).alias("y"))
+    targets = targets.unionByName(spark.createDataFrame([(n, 4000.0, 5000.0), (n + 1, 40.0, 9000.0)], "id long, x double, y double"))
+    return spark.range(n).select("id", (1 + spread(3, 30.0)).alias("x"), (1 + spread(4, 30.0)).alias("y")), targets
+
+
+def test_nearest_to_a_spot_from_a_far_cell(spark, monkeypatch):
+    """No cell of a join has more rows than a task is given, and leaves hold few targets."""
+    n, sizes, joined = 100_000, [], nn.salted_join
+
+    def watched(left, right, keys, *args, **options):
+        if "level" in keys and "target" in right.columns:
+            sizes.append(("leaf", right.groupBy(*keys).count().agg(F.max("count")).first()[0]))
+        if "level" in keys and "child_level" in right.columns:
+            sizes.append(("children", right.groupBy(*keys).count().agg(F.max("count")).first()[0]))
+        return joined(left, right, keys, *args, **options)
+
+    monkeypatch.setattr(nn, "salted_join", watched)
+    queries, targets = crowded_frames(spark, n)
+    found = nn.nearest(nn.point_items(queries, "id"), nn.point_items(targets, "id"), nn.point_to_point)
+    both = found.join(queries.withColumnRenamed("id", "key"), "key").toPandas()
+    assert len(both) == n
+    spots = targets.toPandas()
+    pick = both.sample(200, random_state=1)
+    d = np.hypot(pick.x.to_numpy()[:, None] - spots.x.to_numpy(), pick.y.to_numpy()[:, None] - spots.y.to_numpy())
+    assert np.allclose(d.min(1), pick.distance) and (spots.id.to_numpy()[d.argmin(1)] == pick.target).all()
+    assert dict(sizes)["children"] <= nn.FACTOR ** 2
+    assert all(most <= nn.CROWD for kind, most in sizes if kind == "leaf")
+
+
 def test_nearest_by_key_and_limit(spark):
     a = spark.createDataFrame([(1, "p", 0.0, 0.0), (2, "q", 0.0, 0.0), (3, "r", 0.0, 0.0)], "id int, k string, x double, y double")
     b = spark.createDataFrame([(7, "p", 30.0, 0.0), (6, "p", 0.0, 30.0), (5, "q", 900.0, 0.0)], "id int, k string, x double, y double")

@@ -1,11 +1,12 @@
-"""Nearest neighbour over a pyramid of grid cells.
-
-Targets are put in cells of their box centre, at levels that grow by a factor 4. Every
-occupied cell knows the box of all its targets and one target as a sample. A query first
-gets an upper bound from the samples of its own cells, then starts at the level where
-3 × 3 cells reach that far, and goes down level by level, keeping only the cells that
-may hold something nearer than the best sample seen. A crowded cell is therefore split
-before it is searched, and a query never meets all targets of a crowd.
+"""Nearest neighbour over an adaptive pyramid of grid cells.
+
+Targets are put in cells of their box centre. A cell with more than CROWD targets is split
+into 4 × 4, and again until each leaf holds few; above the leaves the cells grow by a factor
+4 a level. Every occupied cell knows the box of all its targets and one target as a sample.
+A query first gets an upper bound from the samples of its own cells, then starts at the
+level where 3 × 3 cells reach that far, and goes down level by level to the leaves, keeping
+only the cells that may hold something nearer than the best sample seen. So a query never
+meets all targets of a crowd. Queries that meet in one cell are salted there.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from .skew import salted_join
 FACTOR = 4
 BOX = ["minx", "miny", "maxx", "maxy"]
 SLACK = 1e-6
+#: Targets that a leaf may hold.
 CROWD = 256
-FINER = 4
+#: Cells below this side are not split: their targets are on one spot.
+LEAST = 2.0 ** -20
 
 
 def _lower(p: str) -> Column:
@@ -107,21 +110,21 @@ def nearest(
     span = max(max(asked[i + 2], known[i + 2]) - min(asked[i], known[i]) for i in (1, 2))
     if max_distance is not None:
         span = min(span, max_distance + half + float(asked[5]))
-    cell = _finest(targets, by, cell)
-    levels = 0
+    members, depth = _leaves(targets, by, cell)
+    cell = cell / FACTOR ** depth  # side of level 0; leaves are at level `depth` or lower
+    levels = depth
     while cell * FACTOR ** levels <= span:
         levels += 1
-    sizes = [cell * FACTOR ** k for k in range(levels + 1)]
 
-    cells = _pyramid(targets, by, cell, levels)
+    cells = _pyramid(members, by, cell, levels)
     far = F.lit(float("inf") if max_distance is None else float(max_distance))
     started = _upper_bounds(queries, cells, by, cell, levels, far, max_distance is not None)
 
     room = F.col("bound") + half + F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")) / 2
-    level = F.lit(0)
-    for size in sizes[:-1]:
-        level = level + F.when(room > size, F.lit(1)).otherwise(F.lit(0))
-    side = F.lit(float(cell)) * F.pow(F.lit(float(FACTOR)), F.col("level"))
+    level = F.lit(depth)
+    for k in range(depth, levels):
+        level = level + F.when(room > cell * FACTOR ** k, F.lit(1)).otherwise(F.lit(0))
+    side = _side(cell)
     middle_x, middle_y = (F.col("minx") + F.col("maxx")) / 2, (F.col("miny") + F.col("maxy")) / 2
     around = F.sequence(F.lit(-1), F.lit(1))
     frontier = (
@@ -129,27 +132,30 @@ def nearest(
         .withColumn("cx", F.explode(F.transform(around, lambda d: F.floor(middle_x / side).cast("bigint") + d)))
         .withColumn("cy", F.explode(F.transform(around, lambda d: F.floor(middle_y / side).cast("bigint") + d)))
     )
-    frontier = frontier.join(cells, by + ["level", "cx", "cy"], "inner").filter(_lower("c_") <= F.col("bound") + SLACK)
-    frontier = cut(frontier.select("key", *by, *BOX, "bound", "level", "cx", "cy"))
-    steps = frontier.agg(F.max("level")).first()[0] or 0  # one number
+    at = by + ["level", "cx", "cy"]
+    row = ["key", *by, *BOX, "bound", "level", "cx", "cy", "leaf"]
+    occupied = cells.select(*at, "leaf", *[c for c in cells.columns if c.startswith("c_")])
+    frontier = salted_join(cut(frontier), occupied, at, spread=F.xxhash64("key")).filter(_lower("c_") <= F.col("bound") + SLACK)
+    frontier = cut(frontier.select(*row))
 
-    children = _children(cells, by)
+    children = _children(cells, by, levels)
     per_query = Window.partitionBy("key", *by)
-    for _ in range(steps):
-        opened = frontier.join(children, by + ["level", "cx", "cy"], "inner")
+    arrived = frontier.filter("leaf")
+    while True:  # a round goes down one level
+        inner = frontier.filter("not leaf").drop("leaf")
+        if inner.isEmpty():
+            break
+        opened = salted_join(inner, children, at, spread=F.xxhash64("key"))
         best = F.least(F.col("bound"), F.min(_upper("s_")).over(per_query))
-        frontier = (
+        frontier = cut(
             opened.withColumn("bound", best).filter(_lower("c_") <= F.col("bound") + SLACK)
-            .select("key", *by, *BOX, "bound",
-                    F.col("child_level").alias("level"), F.col("child_cx").alias("cx"), F.col("child_cy").alias("cy"))
-        )
-
-    members = targets.select(
-        *by, "target", "geom", *[F.col(c).alias(f"t_{c}") for c in BOX],
-        F.floor((F.col("minx") + F.col("maxx")) / 2 / cell).cast("bigint").alias("cx"),
-        F.floor((F.col("miny") + F.col("maxy")) / 2 / cell).cast("bigint").alias("cy"))
+            .select("key", *by, *BOX, "bound", F.col("child_level").alias("level"), F.col("child_cx").alias("cx"),
+                    F.col("child_cy").alias("cy"), "leaf"))
+        arrived = arrived.unionByName(frontier.filter("leaf"))
+
+    held = members.select(*at, "target", F.col("geom").alias("t_geom"), *[F.col(c).alias(f"t_{c}") for c in BOX])
     candidates = (
-        frontier.join(members.withColumnRenamed("geom", "t_geom"), by + ["cx", "cy"], "inner")
+        salted_join(arrived.drop("leaf"), held, at, spread=F.xxhash64("key"))
         .withColumn("_low", _lower("t_")).filter(F.col("_low") <= F.col("bound") + SLACK)
     )
     if exact is point_to_point:
@@ -180,43 +186,59 @@ def _measured(candidates: DataFrame, exact: Callable[[str, str], Column], per_qu
     )
 
 
-def _finest(targets: DataFrame, by: list[str], cell: float) -> float:
-    """Cell size for the lowest level: `cell`, or a smaller one where a cell would hold a crowd."""
-    sizes = [cell / FACTOR ** k for k in range(FINER + 1)]
-    counted = targets.withColumn("_size", F.explode(F.array(*[F.lit(float(z)) for z in sizes])))
-    crowds = counted.groupBy(
-        *by, "_size", F.floor((F.col("minx") + F.col("maxx")) / 2 / F.col("_size")).alias("_cx"),
-        F.floor((F.col("miny") + F.col("maxy")) / 2 / F.col("_size")).alias("_cy"),
-    ).agg(F.count("*").alias("_n")).groupBy("_size").agg(F.max("_n").alias("_n"))
-    worst = {row["_size"]: row["_n"] for row in crowds.collect()}  # one row per candidate size
-    return next((z for z in sizes if worst.get(z, 0) <= CROWD), sizes[-1])
-
-
-def _pyramid(targets: DataFrame, by: list[str], cell: float, levels: int) -> DataFrame:
-    """Occupied cells of all levels with their box and sample box."""
-    side = F.lit(float(cell)) * F.pow(F.lit(float(FACTOR)), F.col("level"))
-    placed = targets.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels)))).withColumns({
-        "cx": F.floor((F.col("minx") + F.col("maxx")) / 2 / side).cast("bigint"),
-        "cy": F.floor((F.col("miny") + F.col("maxy")) / 2 / side).cast("bigint"),
-    })
+def _side(cell: float) -> Column:
+    """Side of a cell of the row's level."""
+    return F.lit(float(cell)) * F.pow(F.lit(float(FACTOR)), F.col("level"))
+
+
+def _centred(side: Column | float) -> dict[str, Column]:
+    return {"cx": F.floor((F.col("minx") + F.col("maxx")) / 2 / side).cast("bigint"),
+            "cy": F.floor((F.col("miny") + F.col("maxy")) / 2 / side).cast("bigint")}
+
+
+def _leaves(targets: DataFrame, by: list[str], cell: float) -> tuple[DataFrame, int]:
+    """Targets with the leaf they are in, and how often `cell` was split: the leaf's level counts from the finest side.
+
+    Each round counts the targets of the cells split in the round before, and splits the crowded ones.
+    """
+    at = [*by, "cx", "cy"]
+    found, rest, depth = [], targets, 0
+    while True:
+        rest = rest.withColumns(_centred(cell / FACTOR ** depth))
+        crowded = cut(rest.groupBy(*at).agg(F.count("*").alias("_n")).filter(F.col("_n") > CROWD).select(*at))
+        if crowded.isEmpty() or cell / FACTOR ** depth < LEAST:
+            found.append(rest)
+            break
+        found.append(salted_join(rest, crowded, at, "left_anti", spread=F.xxhash64("target")).select(*rest.columns))
+        rest = cut(salted_join(rest, crowded, at, "left_semi", spread=F.xxhash64("target")).select(*rest.columns))
+        depth += 1
+    leaves = None
+    for k, part in enumerate(found):
+        part = part.withColumn("level", F.lit(depth - k))
+        leaves = part if leaves is None else leaves.unionByName(part)
+    return leaves, depth
+
+
+def _pyramid(members: DataFrame, by: list[str], cell: float, levels: int) -> DataFrame:
+    """Occupied cells from the leaves up with their box and sample box."""
+    placed = (
+        members.select(*by, *BOX, F.col("level").alias("own"))
+        .withColumn("level", F.explode(F.sequence(F.col("own"), F.lit(levels)))).withColumns(_centred(_side(cell)))
+    )
     cells = placed.groupBy(*by, "level", "cx", "cy").agg(
-        F.min("minx").alias("c_minx"), F.min("miny").alias("c_miny"),
+        F.max(F.col("own") == F.col("level")).alias("leaf"), F.min("minx").alias("c_minx"), F.min("miny").alias("c_miny"),
         F.max("maxx").alias("c_maxx"), F.max("maxy").alias("c_maxy"), F.min(F.struct(*BOX)).alias("s"))
-    return cut(cells.select(*by, "level", "cx", "cy", "c_minx", "c_miny", "c_maxx", "c_maxy",
+    return cut(cells.select(*by, "level", "cx", "cy", "leaf", "c_minx", "c_miny", "c_maxx", "c_maxy",
                             *[F.col(f"s.{c}").alias(f"s_{c}") for c in BOX]))
 
 
-def _children(cells: DataFrame, by: list[str]) -> DataFrame:
-    """Cells under the key of their parent; cells of the lowest level also under their own."""
+def _children(cells: DataFrame, by: list[str], levels: int) -> DataFrame:
+    """Cells under the key of their parent."""
     child = [F.col("level").alias("child_level"), F.col("cx").alias("child_cx"), F.col("cy").alias("child_cy")]
     boxes = [c for c in cells.columns if c[:2] in ("c_", "s_")]
-    parents = F.array(
-        F.struct((F.col("level") + 1).alias("level"), F.floor(F.col("cx") / FACTOR).cast("bigint").alias("cx"),
-                 F.floor(F.col("cy") / FACTOR).cast("bigint").alias("cy")))
-    own = F.array(F.struct(F.col("level"), F.col("cx"), F.col("cy")))
-    keys = F.when(F.col("level") == 0, F.concat(parents, own)).otherwise(parents)
-    return cells.select(*by, *child, *boxes, F.explode(keys).alias("_at")).select(
-        *by, "_at.level", "_at.cx", "_at.cy", "child_level", "child_cx", "child_cy", *boxes)
+    return cells.filter(F.col("level") < levels).select(
+        *by, (F.col("level") + 1).alias("level"), F.floor(F.col("cx") / FACTOR).cast("bigint").alias("cx"),
+        F.floor(F.col("cy") / FACTOR).cast("bigint").alias("cy"), *child, "leaf", *boxes)
 
 
 def _upper_bounds(
@@ -224,11 +246,7 @@ def _upper_bounds(
 ) -> DataFrame:
     """Per query the distance to the best sample in its own cells, at most `far`."""
     narrow = queries.select("key", *by, *BOX)
-    side = F.lit(float(cell)) * F.pow(F.lit(float(FACTOR)), F.col("level"))
-    own = narrow.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels)))).withColumns({
-        "cx": F.floor((F.col("minx") + F.col("maxx")) / 2 / side).cast("bigint"),
-        "cy": F.floor((F.col("miny") + F.col("maxy")) / 2 / side).cast("bigint"),
-    })
+    own = narrow.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels)))).withColumns(_centred(_side(cell)))
     samples = cells.select(*by, "level", "cx", "cy", *[c for c in cells.columns if c.startswith("s_")])
     seen = salted_join(own, samples, by + ["level", "cx", "cy"], "left", spread=F.xxhash64("key"))
     bound = F.coalesce(F.min(_upper("s_")), far)
