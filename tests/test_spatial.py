@@ -137,6 +137,41 @@ def test_clusters_are_the_components(spark):
     assert got == dict(enumerate(union_find(xy, 7.0)))
 
 
+def facing_crowds(spark, n, gap, seed):
+    """Two crowds of real-valued places on the sides of neighbouring cells that face each other."""
+    r = np.random.default_rng(seed)
+    left = np.stack([5.0 - r.uniform(0, 4.9, n) ** 2 / 4.9, r.uniform(0.0, 4.9, n)], 1)
+    right = np.stack([5.0 + gap + r.uniform(0, 0.4, n), r.uniform(0.0, 4.9, n)], 1)
+    return np.vstack([left, right])
+
+
+def test_pairs_of_crowded_cells_grow_with_the_points(spark, monkeypatch):
+    tested = {}
+    undecided = cluster._undecided
+
+    def counted(pairs, reach):
+        tested[n] = tested.get(n, 0) + pairs.count()
+        return undecided(pairs, reach)
+
+    monkeypatch.setattr(cluster, "_undecided", counted)
+    for n in (1000, 8000):
+        xy = facing_crowds(spark, n, 6.9995, 12)
+        got = cluster.clusters(frame(spark, xy), 7.0).select("id", "cluster").toPandas().sort_values("id")
+        assert len(set(got.cluster[:n])) == 1 and len(set(got.cluster[n:])) == 1
+        a, b = xy[:n][np.argsort(-xy[:n, 0])[:400]], xy[n:][np.argsort(xy[n:, 0])[:400]]
+        linked = (((a[:, None] - b[None]) ** 2).sum(2) <= 49.0).any()
+        assert (len(set(got.cluster)) == 1) == bool(linked)
+    assert all(pairs < points for points, pairs in tested.items())  # of 64 million that there are
+
+
+def test_clusters_of_real_valued_places(spark):
+    r = np.random.default_rng(13)
+    xy = np.vstack([r.uniform(0, 60, (250, 2)), r.normal(-30, 4, (150, 2))])
+    for reach in (1.5, 3.0):
+        got = {r["id"]: r["cluster"] for r in cluster.clusters(frame(spark, xy), reach).collect()}
+        assert got == dict(enumerate(union_find(xy, reach)))
+
+
 def test_chain_and_gap(spark):
     chain = np.array([[i * 6.9, 0.0] for i in range(40)] + [[39 * 6.9 + 7.1, 0.0]])
     got = [r["cluster"] for r in cluster.clusters(frame(spark, chain), 7.0).orderBy("id").collect()]

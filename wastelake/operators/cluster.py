@@ -1,9 +1,9 @@
 """Clusters of points that lie within a reach of each other, and their hulls.
 
 Points are put in cells whose diagonal is the reach, so all points of a cell belong
-together and no pair within a cell is ever built. Two cells up to two steps apart are
-linked when their nearest points are within the reach; only the outermost point per
-line of a cell can be that nearest one. The components are those of the cells.
+together and no pair within a cell is ever built. Whether two cells up to two steps apart
+have points within the reach follows from boxes: of the cells' places first, then of 4 × 4
+parts of the cells that leave it open, and so on. The components are those of the cells.
 """
 
 import math
@@ -17,6 +17,7 @@ from pyspark.sql.types import ArrayType, DoubleType
 
 from ..functions import geo
 from ..session import cut
+from .skew import salted_join
 
 HULL_STRIPE = 100.0
 
@@ -28,27 +29,65 @@ def _cell_id(cx: Column, cy: Column) -> Column:
     return F.shiftleft(cx, 32) + cy + F.lit(2 ** 31)
 
 
+#: Neighbours of a cell, one of each two opposite ones.
+AHEAD = [(1, dy) for dy in (-2, -1, 0, 1, 2)] + [(2, dy) for dy in (-1, 0, 1)] + [(0, 1), (0, 2)]
+#: A part's side is that of its cell over 2 ** FINER.
+FINER = 2
+BOX = ["minx", "miny", "maxx", "maxy"]
+
+
+def _boxes(spots: DataFrame, side: float) -> DataFrame:
+    """The box of the places in each cell of a side."""
+    placed = spots.withColumns({"cx": F.floor(F.col("x") / side).cast("bigint"), "cy": F.floor(F.col("y") / side).cast("bigint")})
+    return placed.groupBy("cx", "cy").agg(F.min("x").alias("minx"), F.min("y").alias("miny"), F.max("x").alias("maxx"), F.max("y").alias("maxy"))
+
+
+def _as(df: DataFrame, prefix: str) -> DataFrame:
+    return df.withColumnsRenamed({c: f"{prefix}{c}" for c in df.columns})
+
+
+def _undecided(pairs: DataFrame, reach: float) -> DataFrame:
+    """Pairs of parts whose boxes may hold points within `reach`; `sure` where all of their points are."""
+    square = lambda dx, dy: f"({dx}) * ({dx}) + ({dy}) * ({dy})"
+    least = square("greatest(a_minx - b_maxx, b_minx - a_maxx, 0D)", "greatest(a_miny - b_maxy, b_miny - a_maxy, 0D)")
+    most = square("greatest(a_maxx - b_minx, b_maxx - a_minx)", "greatest(a_maxy - b_miny, b_maxy - a_miny)")
+    limit = F.lit(reach * reach)
+    return pairs.filter(F.expr(least) <= limit).withColumn("sure", F.expr(most) <= limit)
+
+
 def _linked_cells(spots: DataFrame, reach: float) -> DataFrame:
-    """Pairs (u > v) of neighbouring cells with points within `reach`."""
-    def links(side: DataFrame, line: str, far: Column, near: Column, steps: list[tuple[int, int]]) -> DataFrame:
-        last = side.groupBy("cx", "cy", line).agg(far.alias("a"))
-        first = side.groupBy("cx", "cy", line).agg(near.alias("b")).withColumnsRenamed({line: "o_line"})
-        offsets = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in steps])
-        asked = last.withColumn("o", F.explode(offsets)).select(
-            F.col("cx").alias("from_cx"), F.col("cy").alias("from_cy"), F.col(line).alias("line"), "a",
-            (F.col("cx") + F.col("o.dx")).alias("cx"), (F.col("cy") + F.col("o.dy")).alias("cy"))
-        d1, d2 = F.col("a") - F.col("b"), F.col("line") - F.col("o_line")
-        return (
-            asked.join(first, ["cx", "cy"], "inner").filter(d1 * d1 + d2 * d2 <= reach * reach)
-            .select(_cell_id(F.col("cx"), F.col("cy")).alias("u"),
-                    _cell_id(F.col("from_cx"), F.col("from_cy")).alias("v"))
-        )
-    sideways = [(1, dy) for dy in (-2, -1, 0, 1, 2)] + [(2, dy) for dy in (-1, 0, 1)]
-    upward = [(0, 1), (0, 2)]
-    right = links(spots, "y", F.max("x"), F.min("x"), sideways)
-    up = links(spots, "x", F.max("y"), F.min("y"), upward)
-    pairs = right.unionByName(up).distinct()
-    return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    """Pairs (u > v) of neighbouring cells with points within `reach`.
+
+    A round tests the boxes of two parts: too far apart, all within reach, or open. A pair of cells
+    is settled by any two parts within reach; else its open parts are split. Parts of one place each leave
+    nothing open, and only parts on the sides that face each other stay open, so the pairs of a
+    round grow with the points and not with their square.
+    """
+    side = reach / math.sqrt(2.0)
+    cells = _boxes(spots, side)
+    ahead = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in AHEAD])
+    asked = _as(cells, "a_").withColumn("o", F.explode(ahead))
+    beside = (F.col("b_cx") == F.col("a_cx") + F.col("o.dx")) & (F.col("b_cy") == F.col("a_cy") + F.col("o.dy"))
+    pairs = asked.join(_as(cells, "b_"), beside).withColumns({
+        "u": _cell_id(F.col("b_cx"), F.col("b_cy")), "v": _cell_id(F.col("a_cx"), F.col("a_cy"))})
+    linked, at = None, ["a_cx", "a_cy", "b_cx", "b_cy"]
+    while True:
+        pairs = cut(_undecided(pairs, reach).select("u", "v", *at, "sure"))
+        settled = pairs.filter("sure").select("u", "v").distinct()
+        linked = settled if linked is None else linked.unionByName(settled)
+        open_ = cut(pairs.filter("not sure").join(settled, ["u", "v"], "left_anti").drop("sure"))
+        if open_.isEmpty():
+            return linked.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        parts = open_.select(F.col("a_cx").alias("cx"), F.col("a_cy").alias("cy")).union(open_.select("b_cx", "b_cy")).distinct()
+        placed = spots.withColumns({"cx": F.floor(F.col("x") / side).cast("bigint"), "cy": F.floor(F.col("y") / side).cast("bigint")})
+        spots = cut(salted_join(placed, parts, ["cx", "cy"], "left_semi").select("x", "y"))
+        side = side / 2 ** FINER
+        finer = _boxes(spots, side)
+        of = lambda prefix: _as(finer, "n_").withColumnsRenamed({f"n_{c}": f"{prefix}{c}" for c in BOX}).withColumns({
+            f"{prefix}cx": F.shiftright("n_cx", FINER), f"{prefix}cy": F.shiftright("n_cy", FINER)}).withColumnsRenamed(
+            {"n_cx": f"{prefix}ncx", "n_cy": f"{prefix}ncy"})
+        split = open_.join(of("a_"), ["a_cx", "a_cy"]).join(of("b_"), ["b_cx", "b_cy"])
+        pairs = split.drop(*at).withColumnsRenamed({f"{p}n{c}": f"{p}{c}" for p in ("a_", "b_") for c in ("cx", "cy")})
 
 
 def components(pairs: DataFrame) -> DataFrame:
@@ -87,7 +126,7 @@ def clusters(points: DataFrame, reach: float) -> DataFrame:
     placed = cut(points.filter("x is not null and y is not null").select(
         "id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).withColumns({
             "cx": F.floor(F.col("x") / side).cast("bigint"), "cy": F.floor(F.col("y") / side).cast("bigint")}))
-    roots = components(_linked_cells(placed.select("cx", "cy", "x", "y"), reach))
+    roots = components(_linked_cells(placed.select("x", "y"), reach))
     lows = placed.groupBy(_cell_id(F.col("cx"), F.col("cy")).alias("node")).agg(F.min("id").alias("low"))
     rooted = lows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = rooted.groupBy("root").agg(F.min("low").alias("cluster"))
