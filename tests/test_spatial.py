@@ -188,6 +188,30 @@ def test_hull_of_a_wide_cluster(spark):
     assert math.isclose(min(p["x"] for p in grown), -6.0) and math.isclose(max(p["y"] for p in grown), 906.0)
 
 
+def test_hull_of_a_million_real_valued_points_of_one_key(spark, monkeypatch):
+    """No list over the bound, and the hull of all points."""
+    monkeypatch.setattr(cluster, "LISTED", 500)
+    hull = cluster._hull
+    u = lambda seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
+    points = spark.range(0, 1_000_000, 1, 16).select(F.lit(None).cast("string").alias("k"), (F.cos(u(1) * 6.3) * F.sqrt(u(2)) * 500).alias("x"),
+                                                     (F.sin(u(1) * 6.3) * F.sqrt(u(2)) * 500).alias("y"))
+    counted = cluster._corners(points, "k")
+    assert counted.count() < 16 * 1000  # of a million, before any shuffle
+    ring = cluster.hulls(points, "k").first()["rings"][0]
+    xy = points.toPandas()[["x", "y"]].to_numpy()
+    corners = np.array([(p["x"], p["y"]) for p in ring])
+    assert (corners[:-1] == hull(xy)).all() and len(corners) > 100
+    side = [((b - a)[0] * (xy[:, 1] - a[1]) - (xy[:, 0] - a[0]) * (b - a)[1]).min() for a, b in zip(corners, corners[1:])]
+    assert min(side) > -1e-7
+
+
+def test_hulls_of_few_points(spark):
+    rows = [("a", 1.0, 2.0), ("a", 1.0, 2.0), ("b", 0.0, 0.0), ("b", 4.0, 4.0), ("b", 2.0, 2.0), (None, 0.0, 0.0), (None, 2.0, 0.0), (None, 0.0, 2.0),
+            (None, None, 5.0)]
+    got = {r["k"]: [(p["x"], p["y"]) for p in r["rings"][0]] for r in cluster.hulls(spark.createDataFrame(rows, "k string, x double, y double"), "k").collect()}
+    assert got == {"a": [(1, 2), (1, 2)], "b": [(0, 0), (4, 4), (0, 0)], None: [(0, 0), (2, 0), (0, 2), (0, 0)]}
+
+
 def test_overlap(spark):
     ring = lambda x, y, s: [[(x, y), (x + s, y), (x + s, y + s), (x, y + s), (x, y)]]
     rows = [(ring(0., 0., 2.), ring(1., 1., 2.)), (ring(0., 0., 4.), ring(1., 1., 2.)), (ring(0., 0., 1.), ring(1., 0., 1.)),

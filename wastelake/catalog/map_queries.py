@@ -109,6 +109,30 @@ def _(t: Tables) -> DataFrame:
     return shapes.select("site_id", *[c.alias(n) for n, c in geo.bounds("rings").items()])
 
 
+# Edges of convex hulls: pairs of places of a key with no place to the right of them, and those on their line between them.
+HULL_EDGES = """he AS (SELECT a.k, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_ FROM pt a JOIN pt b ON b.k = a.k AND (a.x <> b.x OR a.y <> b.y)
+        JOIN pt c ON c.k = a.k GROUP BY 1, 2, 3, 4, 5
+        HAVING min((b.x - a.x) * (c.y - a.y) - (c.x - a.x) * (b.y - a.y)) >= 0
+           AND bool_and((b.x - a.x) * (c.y - a.y) - (c.x - a.x) * (b.y - a.y) <> 0
+                        OR ((c.x - a.x) * (c.x - b.x) + (c.y - a.y) * (c.y - b.y)) <= 0)),
+    ho AS (SELECT k, min(x) AS x0, min(y) AS y0 FROM pt GROUP BY 1),
+    ht AS (SELECT he.k, (ax - x0) * (by_ - y0) - (bx - x0) * (ay - y0) AS turn, ax + bx - 2 * x0 AS sx, ay + by_ - 2 * y0 AS sy, x0, y0,
+                 sqrt((bx - ax) * (bx - ax) + (by_ - ay) * (by_ - ay)) AS length, atan2(-(bx - ax), by_ - ay) / (pi() / 16) AS heading FROM he JOIN ho ON ho.k = he.k)"""
+
+
+@query("geo_06_hulls", f"""WITH pt AS (SELECT DISTINCT site_id AS k, x, y FROM {{wells}} WHERE site_id IS NOT NULL), {HULL_EDGES}
+    SELECT ho.k AS site_id, CAST(greatest(count(ht.k), 1) AS BIGINT) AS corners, round(coalesce(sum(turn) / 2, 0), 3) AS area,
+           CASE WHEN sum(turn) > 0 THEN round(ho.x0 + sum(sx * turn) / (3 * sum(turn)), 3) END AS cx,
+           CASE WHEN sum(turn) > 0 THEN round(ho.y0 + sum(sy * turn) / (3 * sum(turn)), 3) END AS cy
+    FROM ho LEFT JOIN ht ON ht.k = ho.k GROUP BY ho.k, ho.x0, ho.y0""")
+def _(t: Tables) -> DataFrame:
+    """Corners, area and centroid of the hulls themselves."""
+    shapes = cluster.hulls(t.wells.filter("site_id is not null").select("site_id", "x", "y"), "site_id")
+    measured = shapes.select("site_id", (F.size(F.col("rings")[0]) - 1).cast("bigint").alias("corners"), _outline("rings")["area"].alias("area"),
+                             *[c.alias(n) for n, c in geo.centroid("rings").items()])
+    return measured.withColumns({c: F.when(F.col("area") > 0, F.round(c, 3)) for c in ("cx", "cy")})
+
+
 @query("geo_07_buffer_bounds", "SELECT id, x - 6 AS minx, y - 6 AS miny, x + 6 AS maxx, y + 6 AS maxy FROM {wells}")
 def _(t: Tables) -> DataFrame:
     rings = t.wells.select("id", geo.buffer("x", "y", 6.0).alias("rings"))
@@ -539,6 +563,28 @@ def _(t: Tables) -> DataFrame:
     return shapes.select("cluster", *[F.round(c, 6).alias(n) for n, c in geo.bounds("rings").items()])
 
 
+def _grown_hulls_sql(clusters: str, radius: float) -> str:
+    """Area of the hull of 32-cornered circles: that of the hull, of a strip along each edge, and of one circle."""
+    return clusters.replace("SELECT id, min(other) AS cluster FROM r GROUP BY 1", f""",
+    c AS (SELECT id, min(other) AS cluster FROM r GROUP BY 1), pt AS (SELECT DISTINCT cluster AS k, x, y FROM c JOIN p USING (id)), {HULL_EDGES}
+    SELECT ho.k AS cluster, round(coalesce(sum(turn) / 2 + sum(length * {radius} * cos((heading - round(heading)) * pi() / 16)), 0)
+        + 16 * {radius * radius} * sin(pi() / 16), 3) AS area FROM ho LEFT JOIN ht ON ht.k = ho.k GROUP BY ho.k""")
+
+
+@query("ag_07_cluster_hulls", _grown_hulls_sql(_cluster_sql(f"""SELECT p.id, p.x, p.y FROM {{bins}} p WHERE EXISTS (
+    SELECT 1 FROM {{districts}} b WHERE {STRICT})""", 7), 3.5))
+def _(t: Tables) -> DataFrame:
+    shapes = cluster.hulls(st.bin_clusters(t.bins, t.districts), "cluster", 3.5)
+    return shapes.select("cluster", _outline("rings")["area"].alias("area"))
+
+
+@query("ag_08_cluster_hulls", _grown_hulls_sql(_cluster_sql("""SELECT id, x, y FROM {wells} w WHERE site_id IS NULL AND active = 1
+    AND id IN (SELECT well_id FROM {containers})""", 12), 6.0))
+def _(t: Tables) -> DataFrame:
+    shapes = cluster.hulls(st.well_clusters(t.wells, t.containers), "cluster", st.WELL_REACH / 2)
+    return shapes.select("cluster", _outline("rings")["area"].alias("area"))
+
+
 @query("components_of_orders", """WITH RECURSIVE e AS (SELECT DISTINCT c_nationkey AS u, 100 + floor(c_acctbal / 500) AS v FROM {customer}
         WHERE c_mktsegment = 'BUILDING'),
     b AS (SELECT u, v FROM e UNION SELECT v, u FROM e),

@@ -9,17 +9,19 @@ parts of the cells that leave it open, and so on. The components are those of th
 import math
 import sys
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
 
 from ..functions import geo
 from ..session import cut
 from .skew import salted_join
 
-HULL_STRIPE = 100.0
+#: Corners of one key that a task may list, and corners of all keys that a task may hold before it passes them on.
+LISTED, HELD = 20_000, 200_000
+_WAYS = np.stack([np.cos(np.arange(16) * math.pi / 8), np.sin(np.arange(16) * math.pi / 8)])
 
 # Workers need not have the package installed: its functions travel with the job.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -137,11 +139,20 @@ def clusters(points: DataFrame, reach: float) -> DataFrame:
     )
 
 
-def _hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
-    """Convex hull, anticlockwise from the lowest x, without the closing point."""
-    ordered = sorted(set(points))
-    if len(ordered) < 3:
-        return ordered
+def _hull(points: np.ndarray) -> np.ndarray:
+    """Convex hull (n, 2), anticlockwise from the lowest x, without the closing point."""
+    points = np.unique(points, axis=0)
+    if len(points) < 3:
+        return points
+    # Nothing inside the polygon of the outermost points in some directions is a corner.
+    far = points[np.unique(np.argmax(points @ _WAYS, axis=0))]
+    if len(points) > 64 and len(far) > 2:
+        centre = far.mean(axis=0)
+        far = far[np.argsort(np.arctan2(*(far - centre).T[::-1]))]
+        after = np.roll(far, -1, axis=0)
+        side = np.stack([(b[0] - a[0]) * (points[:, 1] - a[1]) - (points[:, 0] - a[0]) * (b[1] - a[1]) for a, b in zip(far, after)])
+        points = points[(side <= 0).any(axis=0)]
+
     def half(run) -> list[tuple[float, float]]:
         out: list[tuple[float, float]] = []
         for p in run:
@@ -150,45 +161,101 @@ def _hull(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
                 out.pop()
             out.append(p)
         return out[:-1]
-    return half(ordered) + half(reversed(ordered))
-
-
-def _hull_udf(radius: float | None):
-    """Hull of the points in two arrays, as x and y in turn; of circles around them with a radius."""
-    turn = [2 * math.pi * i / 32 for i in range(32)] if radius is not None else []
-
-    def of_row(xs, ys) -> list[float]:
-        hull = _hull(list(zip(xs, ys)))
-        if turn:
-            hull = _hull([(x + radius * math.cos(t), y + radius * math.sin(t)) for x, y in hull for t in turn])
-        return [c for point in hull for c in point]
-
-    @F.pandas_udf(ArrayType(DoubleType()))
-    def of_batch(xs: pd.Series, ys: pd.Series) -> pd.Series:
-        return pd.Series([of_row(x, y) for x, y in zip(xs, ys)], dtype="object")
-
-    return of_batch
-
-
-def _hull_points(points: DataFrame, keys: list[str], radius: float | None) -> DataFrame:
-    """Hull corners of each key as `hull`, an array of x, y structs."""
-    listed = points.groupBy(*keys).agg(F.collect_list(F.struct("x", "y")).alias("p"))
-    flat = listed.select(*keys, _hull_udf(radius)(F.col("p.x"), F.col("p.y")).alias("h"))
-    return flat.select(*keys, F.expr(
-        "transform(sequence(1, size(h) - 1, 2), i -> named_struct('x', h[i - 1], 'y', h[i]))").alias("hull"))
+    ordered = [tuple(p) for p in points.tolist()]
+    return np.array(half(ordered) + half(ordered[::-1]))
+
+
+def _corners(points: DataFrame, key: str) -> DataFrame:
+    """The corners of the hulls of what each task reads, key by key: the map side of the aggregate."""
+    def run(batches):
+        held: dict[object, list[np.ndarray]] = {}
+        since = 0
+
+        def reduced() -> None:
+            for k, parts in held.items():
+                if len(parts) > 1:
+                    held[k] = [_hull(np.vstack(parts))]
+
+        def out() -> pa.RecordBatch:
+            reduced()
+            hulls_ = [p[0] for p in held.values()]
+            owner = np.repeat(np.arange(len(hulls_)), [len(h) for h in hulls_])
+            flat = np.vstack(hulls_) if hulls_ else np.zeros((0, 2))
+            made = pa.RecordBatch.from_arrays([pa.array(list(held), kind).take(pa.array(owner)), pa.array(flat[:, 0]), pa.array(flat[:, 1])], [key, "x", "y"])
+            held.clear()
+            return made
+
+        kind = None
+        for batch in batches:
+            kind = batch.column(0).type
+            keys = batch.column(0).dictionary_encode()
+            codes = keys.indices.fill_null(len(keys.dictionary)).to_numpy(zero_copy_only=False)
+            xy = np.stack([batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)], 1)
+            order = np.argsort(codes, kind="stable")
+            names = [*keys.dictionary.to_pylist(), None]
+            cuts = np.flatnonzero(np.diff(codes[order])) + 1
+            for rows in np.split(order, cuts):
+                if len(rows):
+                    held.setdefault(names[codes[rows[0]]], []).append(_hull(xy[rows]))
+            since += len(order)
+            if since >= HELD:
+                since = 0
+                reduced()
+                if sum(len(p[0]) for p in held.values()) >= HELD:
+                    yield out()
+        if held:
+            yield out()
+
+    kind = points.schema[key].dataType.simpleString()
+    return points.select(key, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y")).filter(
+        "x is not null and y is not null").mapInArrow(run, f"`{key}` {kind}, x double, y double")
 
 
 def hulls(points: DataFrame, key: str, radius: float | None = None) -> DataFrame:
     """`(key, rings)`: convex hull of the points (x, y) of each key, of circles around
     them when `radius` is given.
 
-    A key may own any number of points: only the lowest and highest point per x are kept
-    (combined before the shuffle), then a hull is made per stripe of x and one of these
-    hulls. What a task lists is bounded by the extent and the precision of the places.
+    A key may own any number of points. Tasks reduce what they read to the corners of hulls before the
+    shuffle; while a key has more than LISTED corners they are dealt to groups that are reduced again,
+    as the hull of hulls is that of all points. No task lists more than LISTED places but for the spread
+    of a hash.
     """
-    ends = points.groupBy(key, "x").agg(F.min("y").alias("lo"), F.max("y").alias("hi"))
-    corners = ends.select(key, "x", F.explode(F.array("lo", "hi")).alias("y"),
-                          F.floor(F.col("x") / HULL_STRIPE).cast("bigint").alias("stripe"))
-    striped = _hull_points(corners, [key, "stripe"], None).select(key, F.explode("hull").alias("c"))
-    whole = _hull_points(striped.select(key, "c.x", "c.y"), [key], radius)
-    return whole.select(key, F.array(F.concat("hull", F.slice("hull", 1, 1))).alias("rings"))
+    corners = cut(_corners(points, key))
+    kind = corners.schema[key].dataType.simpleString()
+    while True:
+        crowds = cut(corners.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > LISTED))
+        if crowds.isEmpty():
+            break
+        named = crowds.select(F.col(key).alias("_key"), "_n")
+        dealt = corners.join(named, F.col(key).eqNullSafe(F.col("_key")), "left").withColumn(
+            "_salt", F.when(F.col("_n").isNotNull(), F.pmod(F.xxhash64("x", "y"), F.ceil(F.col("_n") * 2 / LISTED))))
+
+        def reduce(table: pa.Table) -> pa.Table:
+            hull = _hull(np.stack([table["x"].to_numpy(), table["y"].to_numpy()], 1))
+            owner = table[key].take(pa.array(np.zeros(len(hull), np.int64)))
+            return pa.table([owner, pa.array(hull[:, 0]), pa.array(hull[:, 1])], names=[key, "x", "y"])
+
+        fewer = dealt.filter("_salt is not null").select(key, "x", "y", "_salt").groupBy(key, "_salt").applyInArrow(
+            reduce, f"`{key}` {kind}, x double, y double")
+        before = corners.count()
+        corners = cut(fewer.unionByName(dealt.filter("_salt is null").select(key, "x", "y")))
+        if corners.count() == before:  # all of them are corners of one hull, which is the result
+            break
+    turn = np.arange(32) * 2 * math.pi / 32
+
+    def finish(batches):
+        for batch in batches:
+            rings = []
+            for xs, ys in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                hull = _hull(np.stack([xs, ys], 1))
+                if radius is not None:
+                    hull = _hull((hull[:, None] + (np.stack([np.cos(turn), np.sin(turn)], 1) * radius)[None]).reshape(-1, 2))
+                rings.append(np.vstack([hull, hull[:1]]))
+            flat = np.vstack(rings) if rings else np.zeros((0, 2))
+            points_ = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["x", "y"])
+            each = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, rings)]), pa.int32()), points_)
+            whole = pa.ListArray.from_arrays(pa.array(np.arange(len(rings) + 1), pa.int32()), each)
+            yield pa.RecordBatch.from_arrays([batch.column(0), whole], [key, "rings"])
+
+    listed = corners.groupBy(key).agg(F.collect_list(F.struct("x", "y")).alias("p"))  # LISTED places at most
+    return listed.select(key, "p.x", "p.y").mapInArrow(finish, f"`{key}` {kind}, rings {geo.RINGS}")
