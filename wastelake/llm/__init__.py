@@ -4,5 +4,6 @@ import sys
 
 from pyspark import cloudpickle
 
-# Workers need not have the package installed: its functions travel with the job.
+# Workers need not have the package installed: its functions, and those of the library that they use, travel with the job.
+cloudpickle.register_pickle_by_value(sys.modules[__package__.rpartition(".")[0]])
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
