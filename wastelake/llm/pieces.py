@@ -71,10 +71,10 @@ def fields(message: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += size
 
 
-def without_normalisation(model: bytes) -> bytes:
-    """The model with a normaliser that changes nothing: later values replace earlier ones."""
-    off = b"".join(bytes([number << 3]) + b"\0" for number in (3, 4, 5))  # prefix, extra blanks, escaped blanks
-    rules = b"\x12\0" + off + b"\x32\0"  # no character map, no rules
+def without_normalisation(model: bytes, escape: bool = False) -> bytes:
+    """The model with a normaliser that changes nothing, or blanks only: later values replace earlier ones."""
+    flags = bytes([3 << 3, 0, 4 << 3, 0, 5 << 3, escape])  # prefix, extra blanks, escaped blanks
+    rules = b"\x12\0" + flags + b"\x32\0"  # no character map, no rules
     return model + bytes([NORMALIZER << 3 | 2, len(rules)]) + rules
 
 
@@ -159,6 +159,7 @@ class Pieces:
         reached = [c for c in map(chr, range(0x3001)) if c.isspace() and c != " " and c not in self.alone]
         #: White space before which a piece may go on.
         self.reached = re.compile("[" + "".join(map(re.escape, reached)) + "]") if reached else None
+        self.blanks_only = not self.map.units and not own and not self.squeeze and not self.as_suffix
         self.in_parts = (
             trainer.get(3, 1) == BYTE_PAIRS and not own and not self.as_suffix and self.guard is not None
             and not any(blank in p.lstrip(blank) for p in texts)
@@ -166,8 +167,25 @@ class Pieces:
         self.part = common.Memo(lambda text: self.made(text, False), MEMO)
         self.first = common.Memo(lambda text: self.made(text, True), MEMO)
 
+    def marked(self, data: bytes, first: bool) -> tuple[bytes, list[int], list[int]]:
+        """As `normalised`, for a model whose rules leave all but blanks as they are."""
+        if not data:
+            return b"", [], []
+        wide = len(MARK) if self.escape else 1
+        run = len(data) - len(data.lstrip(BLANK))
+        if data.find(BLANK, run) < 0:
+            begins = [i for i in range(run) for _ in range(wide)] + list(range(run, len(data)))
+        else:
+            begins = [i for i, byte in enumerate(data) for _ in range(wide if byte == 0x20 else 1)]
+        ends = [i + 1 for i in begins]
+        if first and self.prefix:
+            data, begins, ends = BLANK + data, [0] * wide + begins, [0] * wide + ends
+        return (data.replace(BLANK, MARK) if self.escape else data), begins, ends
+
     def normalised(self, data: bytes, first: bool = True, last: bool = True) -> tuple[bytes, list[int], list[int]]:
         """The normal form and, for each of its bytes, where its source begins and ends."""
+        if self.blanks_only:
+            return self.marked(data, first)
         out, begins, ends = bytearray(), [], []
         mark = MARK if self.escape else BLANK
 
@@ -178,12 +196,7 @@ class Pieces:
 
         found = []  # (source begin, source end, replacement or None where the source stays)
         at = 0
-        plain = not self.map.units and not self.own
         while at < len(data):
-            if plain and data[at] < 128:
-                found.append((at, at + 1, None))
-                at += 1
-                continue
             own = self.own.match(data, at) if self.own else None
             if own:
                 found.append((at, own.end(), None))
