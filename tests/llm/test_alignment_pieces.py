@@ -136,6 +136,19 @@ def test_coarse_cuts_must_agree_with_the_bytes():
     assert alignment.refined([3, 4, 5], [1, 2, 2]) is None
 
 
+@pytest.mark.parametrize("kind", [np.uint32, np.int64])
+def test_sums_and_numbers_by_key(kind):
+    r = np.random.default_rng(1)
+    keys, amounts = r.integers(0, 1 << 31, 50).astype(kind)[r.integers(0, 50, 400)], r.integers(1, 9, 400)
+    distinct, sums = alignment.summed(keys, amounts)
+    assert dict(zip(distinct.tolist(), sums.tolist())) == {int(k): int(amounts[keys == k].sum()) for k in set(keys.tolist())}
+    assert distinct.tolist() == sorted(distinct.tolist())
+    again, places = alignment.numbered(keys.astype(np.int64))
+    assert again.tolist() == distinct.tolist() and (again[places] == keys).all()
+    for empty in (alignment.summed(keys[:0], amounts[:0]), alignment.numbered(keys[:0].astype(np.int64))):
+        assert len(empty[0]) == len(empty[1]) == 0
+
+
 @pytest.mark.parametrize("values", [[], [0, 255], [256], [1 << 16], [1 << 40]])
 def test_numbers_in_few_bytes(values):
     assert alignment.widened(alignment.narrow(np.array(values, np.int64))).tolist() == values

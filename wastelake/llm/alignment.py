@@ -30,41 +30,70 @@ import hashlib
 import re
 from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
+from operator import add
 
 import numpy as np
 import pyarrow as pa
+import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ..session import work_path
 from . import common
-from .pieces import MARK, Pieces
+from .pieces import MARK, Pieces, without_normalisation
 from .tokens import byte_characters
 
-MEMO = 300_000
+MEMO = 280_000
 #: Longer parts are not kept between texts.
 LONGEST_KEPT = 200
-#: A block ends after so many documents, entries or distinct pairs.
-BLOCK_DOCS, BLOCK_ENTRIES, BLOCK_PAIRS = 4096, 2_000_000, 60_000
+#: A block ends after so many documents or entries.
+BLOCK_DOCS, BLOCK_ENTRIES = 4096, 500_000
+#: Marks that A never joins to a letter before them.
+MARKS = ".,;:!?'\")]}"
 BYTE = re.compile(rb"<0x([0-9A-F]{2})>")
 
 
-def refined(coarse: list[int], widths: list[int]) -> list[int] | None:
+def refined(coarse: list[int], widths: Iterable[int]) -> list[int] | None:
     """Ends of tokens from coarse ends and the bytes that each token decodes to.
 
     A coarse end holds where the next token has another one; tokens that share an end lie
     side by side before it, each as wide as its bytes. None if the two disagree.
     """
     ends = list(accumulate(widths))
-    for i, (end, rough) in enumerate(zip(ends, coarse)):
-        if end != rough and (i + 1 == len(ends) or coarse[i + 1] != rough):
-            return None
+    if ends != coarse and not all(
+            end == rough or i + 1 < len(ends) and coarse[i + 1] == rough for i, (end, rough) in enumerate(zip(ends, coarse))):
+        return None
     return ends
 
 
+def summed(keys: np.ndarray, amounts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sum of the amounts of each."""
+    if len(keys) and keys[0:1].dtype.itemsize == 4 and int(amounts.max()) < 1 << 32:
+        both = np.sort(keys.astype(np.uint64) << np.uint64(32) | amounts.astype(np.uint64))  # one sort, without an index
+        keys, amounts = both >> np.uint64(32), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys, amounts = keys[order], amounts[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first].astype(np.int64), np.add.reduceat(amounts, first) if len(first) else np.zeros(0, np.int64)
+
+
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the place of each key among them."""
+    if len(keys) and len(keys) < 1 << 32 and int(keys.max()) < 1 << 32:
+        both = np.sort(keys.astype(np.uint64) << np.uint64(32) | np.arange(len(keys), dtype=np.uint64))
+        ordered, at = (both >> np.uint64(32)).astype(np.int64), both & np.uint64(0xFFFFFFFF)
+        new = np.append(True, ordered[1:] != ordered[:-1])
+        places = np.empty(len(keys), np.int64)
+        places[at] = np.cumsum(new) - 1
+        return ordered[new], places
+    distinct, places = np.unique(keys, return_inverse=True)
+    return distinct, places
+
+
 class Aligner:
     """Tokens, links and groups of texts for two vocabularies."""
 
@@ -77,7 +106,8 @@ class Aligner:
         self.a_bytes = {i: bytes(to_byte[c] for c in t) if all(c in to_byte for c in t) else t.encode()
                         for t, i in self.a.get_vocab().items()}
         own = Pieces(pieces_file)
-        self.b = own.plain
+        with open(pieces_file, "rb") as f:
+            self.b = sentencepiece.SentencePieceProcessor(model_proto=without_normalisation(f.read(), True))
         self.kept = own
         self.in_parts = own.in_parts and not own.map.units and not own.squeeze and own.prefix and own.escape
         self.b_bytes = []
@@ -86,45 +116,53 @@ class Aligner:
             byte = BYTE.fullmatch(piece) if self.b.is_byte(i) else None
             self.b_bytes.append(bytes([int(byte[1], 16)]) if byte else piece.replace(MARK, b" "))
         self.span = len(self.b_bytes)
-        self.part = common.Memo(self.made, MEMO)
+        #: Links as numbers of four bytes where the vocabularies allow it.
+        self.code = "I" if (max(self.a_bytes) + 1) * self.span <= 1 << 32 else "q"
+        #: Characters that stand side by side in some piece of B.
+        self.beside = {two for p in map(self.b.id_to_piece, range(self.b.get_piece_size())) for two in map("".join, zip(p, p[1:]))}
+        self.part = common.Memo(self.new, MEMO)
+
+    def new(self, text: str) -> tuple[bytes, bytes, bytes, bool]:
+        """What is known of a part; of a word and the marks behind it, from both, where no piece of B reaches over."""
+        word = text.rstrip(MARKS)
+        marks = text[len(word):]
+        if not (self.in_parts and marks and word and word[-1].isalpha() and word[-1] + marks[0] not in self.beside):
+            return self.made(text)
+        (n, links, groups, good), (m, more, others, well) = self.part[word], self.part[marks]
+        if not (good and well):
+            return b"", b"", b"", False
+        return array("q", map(add, array("q", n), array("q", m))).tobytes(), links + more, groups + b";" + others, True
 
     def a_ends(self, text: str, data: bytes) -> tuple[list[int], list[int] | None]:
         """Ids of A and the byte ends of its tokens."""
         found = self.a.encode(text, add_special_tokens=False)
-        tokens = [self.a_bytes[i] for i in found.ids]
+        ids = found.ids
+        tokens = [self.a_bytes[i] for i in ids]
         if b"".join(tokens) != data:
-            return found.ids, None
+            return ids, None
         coarse = [e for _, e in found.offsets]
         if len(text) < len(data):  # from characters to bytes
             after = [0, *accumulate(len(c.encode()) for c in text)]
             coarse = [after[e] for e in coarse]
-        return found.ids, refined(coarse, [len(t) for t in tokens])
+        return ids, refined(coarse, map(len, tokens))
 
     def b_ends(self, text: str, data: bytes) -> tuple[list[int], list[int] | None]:
         """Ids of B and the byte ends of its tokens; the text begins with the blank that B adds."""
-        if self.in_parts:
-            found = self.b.encode(text.replace(" ", MARK.decode()), return_type="proto").pieces
-        else:
-            found = self.kept.library.encode(text[1:], return_type="proto").pieces
+        found = (self.b.encode(text, return_type="proto") if self.in_parts
+                 else self.kept.library.encode(text[1:], return_type="proto")).pieces
         ids = [p.id for p in found]
         tokens = [self.b_bytes[i] for i in ids]
         if b"".join(tokens) != data:
             return ids, None
-        # A byte token but the last of its character has an empty span; it shares the end of the next.
         coarse = [p.end for p in found]
-        for i in range(len(found) - 2, -1, -1):
-            if found[i].begin == coarse[i]:
-                coarse[i] = coarse[i + 1]
+        if len(text) < len(data) or not text.isprintable():
+            # A byte token but the last of its character has an empty span; it shares the end of the next.
+            for i in range(len(found) - 2, -1, -1):
+                if found[i].begin == coarse[i]:
+                    coarse[i] = coarse[i + 1]
         if not self.in_parts:
             coarse = [e + 1 for e in coarse]
-        elif b" " in data:  # a blank was encoded as three bytes
-            after = [0]
-            for byte in data:
-                after += [after[-1] + (2 if byte == 0x20 else 0)]
-            wide = [at + extra for at, extra in enumerate(after)]
-            at_wide = dict(zip(wide, range(len(wide))))
-            coarse = [at_wide[e] for e in coarse]
-        return ids, refined(coarse, [len(t) for t in tokens])
+        return ids, refined(coarse, map(len, tokens))
 
     def made(self, text: str) -> tuple[bytes, bytes, bytes, bool]:
         """Numbers of tokens, groups and links; the links as A id * size of B + B id; the groups; whether the bytes agree."""
@@ -133,21 +171,24 @@ class Aligner:
         b_ids, b_ends = self.b_ends(text, data)
         if a_ends is None or b_ends is None:
             return b"", b"", b"", False
-        links, groups = [], []
-        i = j = group_i = group_j = 0
+        links, groups, span = [], [], self.span
+        i = j = 0
+        group_a, group_b = "", ""
         while i < len(a_ids):
             # The next tokens of both sides overlap; the one that ends first is done.
-            links.append(a_ids[i] * self.span + b_ids[j])
-            a_end, b_end = a_ends[i], b_ends[j]
+            a, b, a_end, b_end = a_ids[i], b_ids[j], a_ends[i], b_ends[j]
+            links.append(a * span + b)
             if a_end <= b_end:
+                group_a += f",{a}"
                 i += 1
             if b_end <= a_end:
+                group_b += f",{b}"
                 j += 1
             if a_end == b_end:
-                groups.append(",".join(map(str, a_ids[group_i:i])) + "|" + ",".join(map(str, b_ids[group_j:j])))
-                group_i, group_j = i, j
-        numbers = array("q", (len(a_ids), len(b_ids), len(groups), len(links)))
-        return numbers.tobytes(), array("q", links).tobytes(), ";".join(groups).encode(), True
+                groups.append(f"{group_a[1:]}|{group_b[1:]}")
+                group_a = group_b = ""
+        numbers = array("q", (i, j, len(groups), len(links)))
+        return numbers.tobytes(), array(self.code, links).tobytes(), ";".join(groups).encode(), True
 
     def parts(self, text: str) -> list[str]:
         """The text, after its blank, as parts that both sides encode alone."""
@@ -166,8 +207,7 @@ class Aligner:
             return nothing
         times = np.fromiter(often.values(), np.int64, len(often))
         numbers = np.frombuffer(b"".join(numbers), np.int64).reshape(-1, 4)
-        codes, at = np.unique(np.frombuffer(b"".join(links), np.int64), return_inverse=True)
-        counts = np.bincount(at, np.repeat(times, numbers[:, 3]), len(codes)).astype(np.int64)
+        codes, counts = summed(np.frombuffer(b"".join(links), np.dtype(self.code)), np.repeat(times, numbers[:, 3]))
         of = dict(zip(known, groups))
         return times @ numbers, codes, counts, b";".join(map(of.__getitem__, parts))
 
@@ -200,13 +240,13 @@ def written(docs: DataFrame, bytes_file: str, pieces_file: str, digests: bool, d
         own = aligner(bytes_file, pieces_file)
         task, number = TaskContext.get().partitionId(), 0
         rows: list[tuple] = []
-        entries = seen = 0
+        entries = 0
 
         def closed() -> pa.RecordBatch:
-            nonlocal rows, entries, seen, number
-            pairs = np.unique(np.concatenate([r[2] for r in rows]))
-            numbers_of = [np.searchsorted(pairs, r[2]) for r in rows]
-            pair_docs = np.bincount(np.concatenate(numbers_of), minlength=len(pairs)).astype(np.int64) if len(pairs) else pairs
+            nonlocal rows, entries, number
+            pairs, places = numbered(np.concatenate([r[2] for r in rows]))
+            numbers_of = np.split(places, np.cumsum([len(r[2]) for r in rows])[:-1])
+            pair_docs = np.bincount(places, minlength=len(pairs)).astype(np.int64)
             n, counts = len(rows), np.array([r[1] for r in rows])
             last = [None] * (n - 1)
             out = pa.RecordBatch.from_arrays([
@@ -214,19 +254,16 @@ def written(docs: DataFrame, bytes_file: str, pieces_file: str, digests: bool, d
                 pa.array([r[4] for r in rows], pa.string()), pa.array([f"{task}-{number}"] * n, pa.string()),
                 pa.array([narrow(x) for x in numbers_of], pa.binary()), pa.array([narrow(r[3]) for r in rows], pa.binary()),
                 pa.array([*last, pairs.tobytes()], pa.binary()), pa.array([*last, pair_docs.tobytes()], pa.binary())], names)
-            rows, entries, seen, number = [], 0, 0, number + 1
+            rows, entries, number = [], 0, number + 1
             return out
 
-        known: set[int] = set()
         for batch in batches:
             for i, t in enumerate(common.texts_of(batch.column(1))):
                 numbers, codes, counts, groups = own.aligned(t)
                 shown = hashlib.sha256(groups).hexdigest() if digests and numbers[0] else groups.decode()
                 rows.append((batch.column(0).slice(i, 1), numbers, codes, counts, shown))
                 entries += len(codes)
-                known.update(codes.tolist())
-                if len(rows) >= BLOCK_DOCS or entries >= BLOCK_ENTRIES or len(known) >= BLOCK_PAIRS:
-                    known = set()
+                if len(rows) >= BLOCK_DOCS or entries >= BLOCK_ENTRIES:
                     yield closed()
         if rows:
             yield closed()
