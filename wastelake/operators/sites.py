@@ -150,17 +150,18 @@ def merge_overlapping(sites: DataFrame) -> DataFrame:
     sites = cut(sites)
     pairs = cut(overlapping_pairs(sites).select("id", "b_id", "b_bgt_based", "b_rings"))
     taken = pairs.select("id", F.col("b_rings").alias("rings")).distinct()
-    grown = taken.groupBy("id").agg((F.count("*") + 1).alias("parts"))
+    grown = taken.groupBy("id").agg((F.count("*") + 1).alias("_parts"))
     own = sites.select("id", "rings").join(grown.select("id"), "id", "left_semi")
     unions = dissolve(own.unionByName(taken), ["id"]).withColumnsRenamed({"rings": "_rings"})
     gone = pairs.filter("not b_bgt_based").select(F.col("b_id").alias("id")).distinct()
     merged = F.col("_rings").isNotNull()
+    before = F.col("parts") if "parts" in sites.columns else F.lit(1)
     return (
         sites.join(unions, "id", "left").join(grown, "id", "left")
         .withColumn("active", F.when(merged, F.lit(4)).otherwise(F.col("active")))
         .withColumns({c: F.when(merged, centre).otherwise(F.col(c)) for c, centre in zip(("x", "y"), geo.centroid("_rings").values())})
-        .withColumns({"rings": F.coalesce("_rings", "rings"), "parts": F.coalesce("parts", F.lit(1))})
-        .drop("_rings").join(gone, "id", "left_anti")
+        .withColumns({"rings": F.coalesce("_rings", "rings"), "parts": F.coalesce("_parts", before)})
+        .drop("_rings", "_parts").join(gone, "id", "left_anti")
     )
 
 
