@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import clean, geo
 from ..operators import checks, links, shape
 from ..plans import feeds
+from ..session import cut
 from ..sources import incremental, pages as pg
 from . import landed
 from .registry import Tables, query
@@ -97,6 +99,39 @@ def _(t: Tables) -> DataFrame:
     return pg.known_container_ids(landed.known_id_pages(t))
 
 
+# Pages of each list source: raw pages and the SQL of their ids.
+LISTED = {
+    "src_02_list_errors": ("ids", landed.list_pages, "SELECT DISTINCT CAST(floor(id / 100) AS BIGINT) AS id FROM {wells}"),
+    "src_05_sensor_errors": ("sensors", landed.sensor_snapshots, """SELECT DISTINCT
+        CAST(epoch(date_trunc('minute', ts)) * 1000 + user_id AS BIGINT) AS id FROM {events}"""),
+    "src_06_collection_errors": ("alerts", lambda t: landed.collection_pages(t, "alerts"),
+                                 "SELECT DISTINCT CAST(floor(event_id / 100) AS BIGINT) AS id FROM {events}"),
+    "src_08_population_errors": ("population", landed.population_pages,
+                                 "SELECT DISTINCT CAST(floor(year / 100) AS BIGINT) AS id FROM {population}"),
+    "src_09_known_errors": ("known", landed.known_id_pages,
+                            "SELECT DISTINCT CAST(floor(user_id / 100) AS BIGINT) AS id FROM {events}"),
+}
+
+
+def _listed_errors(source: str, pages) -> Callable[[Tables], DataFrame]:
+    """All pages of a source three times: whole, without the last character, and emptied of their
+    list. Each gives its rows or an error; the rows are counted, too."""
+    none = "[{}]" if source == "sensors" else "{}"
+
+    def errors(t: Tables) -> DataFrame:
+        whole = cut(pages(t))
+        cut_off = whole.withColumn("data", F.expr("left(data, length(data) - 1)"))
+        read = cut(pg.listed(whole.unionByName(cut_off).unionByName(whole.withColumn("data", F.lit(none))), source))
+        found = read.filter("reason is null").select("id", F.lit("read").alias("reason"))
+        return found.unionByName(pg.listed_errors(read, source).select("id", "reason"))
+    return errors
+
+
+for _name, (_source, _pages, _ids) in LISTED.items():
+    query(_name, f"""SELECT id, reason FROM ({_ids}) CROSS JOIN
+        (SELECT unnest(['read', 'malformed', 'no list']) AS reason)""")(_listed_errors(_source, _pages))
+
+
 @query("src_10_geo_layer", """SELECT 'pand.' || id AS fid, brand, minx, miny, maxx, maxy FROM {buildings}""")
 def _(t: Tables) -> DataFrame:
     layer = pg.geo_layer(landed.geojson_pages(t))
@@ -308,6 +343,18 @@ def _(t: Tables) -> DataFrame:
     return checks.load_errors(shape.weighings(landed.weigh_pages(t), keep_undated=True))
 
 
+@query("fn_14_errors_of_the_load", """SELECT count(*) AS rows,
+    count(*) FILTER (l_tax = 0 OR l_quantity > 45 OR floor(l_quantity) = 3) AS errors,
+    count(*) FILTER (l_tax <> 0) AS stored FROM {lineitem}""")
+def _(t: Tables) -> DataFrame:
+    """The same numbers, counted by the job that writes the dated records."""
+    rules = checks.few_load_errors(2 ** 62)
+    watched = checks.Watched(shape.weighings(landed.weigh_pages(t), keep_undated=True), rules)
+    stored = cut(watched.df.filter("weigh_at is not null"))
+    counts = watched.stop_unless_held("weighings")
+    return stored.agg(*[F.lit(counts[r.name]).alias(r.name) for r in rules], F.count("*").alias("stored"))
+
+
 STATES = f"""SELECT e.event_id AS _id, 'REK' || e.user_id AS description, k.id_number IS NOT NULL AS valid, k.short_id,
     CAST(floor(e.value) AS INT) AS filling, CASE WHEN e.value >= 50 THEN 12 END AS house_number,
     CASE WHEN e.value >= 10 THEN 4.9 END AS geo_lon,

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from .. import sinks
 from ..functions import geo
-from ..operators import filters as fl, links, service, sites as st, spatial
+from ..operators import checks, filters as fl, links, service, sites as st, spatial
 from ..session import work_path
 from ..sources import pages as pg
-from ..streaming import live
+from ..streaming import latest, live
 from . import landed
 from .feed_queries import FIRST_LOAD, KNOWN, LEVELS, STATES, _state_columns, _text
 from .map_queries import SUPPLIER
@@ -268,9 +268,25 @@ def _(t: Tables) -> DataFrame:
 
 @query("snk_01_full_refresh", "SELECT id, waste_name FROM {containers}")
 def _(t: Tables) -> DataFrame:
+    """Three loads; the last reads the table that it replaces."""
     path = work_path(t.spark, "refresh")
-    sinks.full_refresh(t.containers.filter("active = 0").select("id", "waste_name"), path)
-    return sinks.full_refresh(t.containers.select("id", "waste_name"), path)
+    closed = F.col("active") == 0
+    sinks.full_refresh(t.containers.filter(closed).select("id", "waste_name"), path)
+    sinks.full_refresh(t.containers.filter(~closed).select("id", "waste_name"), path)
+    kept = sinks.published(t.spark, path)
+    sinks.full_refresh(kept.unionByName(t.containers.filter(F.coalesce(closed, F.lit(True))).select("id", "waste_name")), path)
+    return sinks.published(t.spark, path)
+
+
+@query("snk_01_several_tables", """SELECT 'containers' AS name, count(*) AS n FROM {containers} UNION ALL
+    SELECT 'wells', count(*) FROM {wells}""")
+def _(t: Tables) -> DataFrame:
+    """Two tables published together, their counts checked while they are written."""
+    path = work_path(t.spark, "refresh")
+    tables = {name: getattr(t, name).select("id") for name in ("containers", "wells")}
+    done = sinks.publish(t.spark, path, tables, {name: [checks.at_least(1)] for name in tables})
+    counts = [df.agg(F.lit(name).alias("name"), F.count("*").alias("n")) for name, df in done.items()]
+    return counts[0].unionByName(counts[1])
 
 
 @query("snk_02_append_history", "SELECT id FROM {states} UNION ALL SELECT id FROM {states}")
@@ -370,23 +386,29 @@ def _(t: Tables) -> DataFrame:
     return t.spark.read.parquet(out).select("seq_id", "system_id", "site_id")
 
 
+LATEST = ("scraped_at", ["id"])
+
+
 @query("str_04_latest_per_container", """SELECT strftime(max(scraped_at), '%Y-%m-%d %H:%M:%S') AS scraped_at, description,
     arg_max(id, (scraped_at, id)) AS id FROM {states} GROUP BY description""")
 def _(t: Tables) -> DataFrame:
-    """The states come in several batches; the last table of the stream has the latest of each container."""
-    return _latest_states(t).select(_text("scraped_at"), "description", "id")
+    """The states come in several batches and in any order; each container has one row of state."""
+    path = _latest_states(t, t.states.repartition(4, "id"), None)
+    return latest.stored_states(t.spark, path, *LATEST).select(_text("scraped_at"), "description", "id")
 
 
 @query("str_04_last_hour", """SELECT description, arg_max(id, (scraped_at, id)) AS id FROM {states}
     WHERE scraped_at > (SELECT max(scraped_at) - INTERVAL 1 HOUR FROM {states}) GROUP BY description""")
 def _(t: Tables) -> DataFrame:
+    """Containers not seen for an hour leave the state; states that come later than that are dropped."""
     now = t.states.agg(F.max("scraped_at")).first()[0]
-    return live.within_last_hour(_latest_states(t), F.lit(now)).select("description", "id")
+    path = _latest_states(t, t.states.repartition(4, "id"), "1 hour")
+    return latest.within_last_hour(t.spark, path, F.lit(now), *LATEST).select("description", "id")
 
 
-def _latest_states(t: Tables) -> DataFrame:
+def _latest_states(t: Tables, rows: DataFrame, reach: str | None) -> str:
     source, out, marks = (work_path(t.spark, n) for n in ("states-in", "states-out", "marks"))
-    t.states.repartition(4, "id").write.parquet(source)
-    stream = t.spark.readStream.schema(t.states.schema).option("maxFilesPerTrigger", 2).parquet(source)
-    live.latest_states(stream, ["scraped_at", "id"], out, marks).awaitTermination()
-    return live.stored_states(t.spark, out)
+    rows.write.parquet(source)
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    latest.latest_states(stream, *LATEST, out, marks, reach=reach).awaitTermination()
+    return out

@@ -2,6 +2,10 @@
 
 A raw page is a row `(id, scraped_at, data)` with the page text in `data`. A page
 that breaks its contract goes to an error frame, never to an exception on the driver.
+
+Pages that hold a list are parsed once by `listed`: `listed_errors` of that table has the pages
+without a readable list, and the functions that give rows take the table (or raw pages) and read
+all others. So each page is either read, if only as an empty list, or an error.
 """
 
 from __future__ import annotations
@@ -46,10 +50,55 @@ def detail_items(pages: DataFrame) -> DataFrame:
         F.get_json_object("data", "$.id").try_cast("bigint").alias("id"), "scraped_at", "data")
 
 
+CORRUPT = "_corrupt"
+LIST_SOURCES = ("ids", "sensors", "known", "population", *COLLECTION_KEYS)
+
+
+def _list_shape(source: str) -> tuple[str, Column]:
+    """The type of a source's page, and the list of items in a column `page` of that type; NULL for none."""
+    if source == "ids":
+        texts = F.filter(F.map_values("page"), lambda text: text.startswith("["))  # an object would read as a list of one
+        lists = F.filter(F.transform(texts, lambda t: F.from_json(t, "array<struct<id:bigint>>")), lambda items: items.isNotNull())
+        return "map<string,string>", F.when(F.size(lists) > 0, F.flatten(lists))
+    if source == "sensors":
+        state = ", ".join(f"{name}: {dtype}" for name, dtype in SENSOR_FIELDS.items())
+        data = F.filter(F.transform("page", lambda response: response["result"]["data"]), lambda items: items.isNotNull())
+        return f"array<struct<result: struct<data: array<struct<{state}>>>>>", F.when(F.size(data) > 0, F.flatten(data))
+    if source == "known":
+        item = "struct<id_number: string, well: struct<id: bigint, site: map<string,string>>>"
+        return f"results array<{item}>, {CORRUPT} string", F.col("page.results")
+    if source == "population":
+        item = "struct<jaar: string, gebiedcode15: string, waarde: bigint>"
+        return f"results array<{item}>, {CORRUPT} string", F.col("page.results")
+    key = COLLECTION_KEYS[source]
+    return f"`{key}` array<string>, {CORRUPT} string", F.col(f"page.`{key}`")
+
+
+def listed(pages: DataFrame, source: str) -> DataFrame:
+    """Pages with their list in `items`, or with the `reason` why there is none.
+
+    The reasons are 'no text', 'malformed' (no JSON, or JSON of another form) and 'no list'.
+    Where rows and errors are both wanted, write this table once and take both from it.
+    """
+    if "reason" in pages.columns and "items" in pages.columns:
+        return pages
+    shape, items = _list_shape(source)
+    page = F.explode(F.array(F.from_json("data", shape, {"columnNameOfCorruptRecord": CORRUPT}))).alias("page")
+    broken = F.col(f"page.{CORRUPT}").isNotNull() if CORRUPT in shape else F.col("page").isNull()
+    reason = (
+        F.when(F.col("items").isNotNull(), F.lit(None).cast("string")).when(F.trim(F.coalesce("data", F.lit(""))) == "", "no text")
+        .when(broken, "malformed").otherwise("no list"))
+    return pages.select("*", page).withColumn("items", items).withColumn("reason", reason).drop("page")
+
+
+def listed_errors(pages: DataFrame, source: str) -> DataFrame:
+    """Pages without a readable list: `(id, scraped_at, reason, data)`."""
+    return listed(pages, source).filter("reason is not null").select("id", "scraped_at", "reason", "data")
+
+
 def list_ids(pages: DataFrame) -> DataFrame:
     """Ids of the list pages `{"wells": [{"id": 1}, ...]}`, whatever the key."""
-    lists = F.from_json("data", "map<string,array<struct<id:bigint>>>")
-    return pages.select(F.explode(F.flatten(F.map_values(lists))).alias("item")).select("item.id")
+    return listed(pages, "ids").select(F.explode("items").alias("item")).select("item.id")
 
 
 def field_of(fields: Column, record: Column, name: str) -> Column:
@@ -149,11 +198,8 @@ SENSOR_FIELDS = {
 
 def sensor_items(snapshots: DataFrame) -> DataFrame:
     """States of RPC snapshots; a response without `result.data` gives no rows."""
-    state = ", ".join(f"{name}: {dtype}" for name, dtype in SENSOR_FIELDS.items())
-    shape = f"array<struct<result: struct<data: array<struct<{state}>>>>>"
     return (
-        snapshots.select("scraped_at", F.explode(F.from_json("data", shape)).alias("response"))
-        .select("scraped_at", F.explode("response.result.data").alias("state"))
+        listed(snapshots, "sensors").select("scraped_at", F.explode("items").alias("state"))
         .select("scraped_at", "state.*")
     )
 
@@ -163,8 +209,7 @@ def known_container_ids(pages: DataFrame) -> DataFrame:
 
     Rows without an id, a well or a site are left out; the last one of equal ids counts.
     """
-    shape = "results array<struct<id_number: string, well: struct<id: bigint, site: map<string,string>>>>"
-    rows = pages.select("id", F.posexplode(F.from_json("data", shape)["results"]).alias("pos", "item"))
+    rows = listed(pages, "known").select("id", F.posexplode("items").alias("pos", "item"))
     return (
         rows.filter("item.id_number is not null and item.well is not null and size(item.well.site) > 0")
         .select(strip_whitespace("item.id_number").alias("id_number"),
@@ -176,9 +221,8 @@ def known_container_ids(pages: DataFrame) -> DataFrame:
 
 def collection_items(pages: DataFrame, endpoint: str) -> DataFrame:
     """Items of one endpoint of the second supplier as `(id, scraped_at, data)`."""
-    key = COLLECTION_KEYS[endpoint]
     return (
-        pages.select("scraped_at", F.explode(F.from_json("data", f"`{key}` array<string>")[key]).alias("data"))
+        listed(pages, endpoint).select("scraped_at", F.explode("items").alias("data"))
         .select(F.get_json_object("data", "$.id").try_cast("bigint").alias("id"), "scraped_at", "data")
     )
 
@@ -195,9 +239,8 @@ def timed_pages(pages: DataFrame, endpoint: str = "fill_levels") -> tuple[DataFr
 
 def population(pages: DataFrame, this_year: int, years: int = 6) -> DataFrame:
     """Inhabitants per neighbourhood for this year and the ones before."""
-    shape = "results array<struct<jaar: string, gebiedcode15: string, waarde: bigint>>"
     return (
-        pages.select(F.explode(F.from_json("data", shape)["results"]).alias("r"))
+        listed(pages, "population").select(F.explode("items").alias("r"))
         .select(F.col("r.jaar").try_cast("int").alias("year"), F.col("r.gebiedcode15").alias("buurt_code"),
                 F.col("r.waarde").alias("inhabitants"))
         .filter((F.col("year") > this_year - years) & (F.col("year") <= this_year))

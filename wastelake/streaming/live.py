@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import shape
 from ..plans.feeds import weighed
+from ..sinks import remove
 from ..sources import incremental, pages as pg
 
 PAGE = "id bigint, scraped_at timestamp, data string"
@@ -43,19 +44,25 @@ def weighings(
 ) -> StreamingQuery:
     """Weigh pages → measurements; per system only pages later than what is stored.
 
-    A batch writes to a folder of its own number, and its latest times per system to a
-    marks table beside it, so the marks are read without the measurements. A batch that is
-    run again after a failure replaces its earlier output and does not see its own marks.
+    A batch writes to a folder of its own number, and the latest times of all systems so far
+    to a marks table beside it. A batch that is run again after a failure replaces its earlier
+    output and sees the marks of the batch before. Only the marks of the last two batches are
+    kept: two rows per system, however many batches there were. Pages at the mark
+    or before it are late or were sent twice, and are skipped. The marks are joined with the
+    pages, so a system with many pages is not confined to one task.
     """
     marks = f"{path}-marks"
 
     def load(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         done = f"{path}/batch={number}"
-        fresh = incremental.new_weigh_pages(pg.weigh_raw(batch), _marks(spark, marks, number))
+        before = _marks(spark, marks, number - 1)
+        fresh = incremental.new_weigh_pages(pg.weigh_raw(batch), before)
         weighed(fresh, districts, areas).write.mode("overwrite").parquet(done)
-        latest = spark.read.parquet(done).groupBy("system_id").agg(F.max("weigh_at").alias("weigh_at"))
+        seen = spark.read.parquet(done).select(F.col("system_id").cast("bigint").alias("system_id"), "weigh_at")
+        latest = before.unionByName(seen).groupBy("system_id").agg(F.max("weigh_at").alias("weigh_at"))
         latest.write.mode("overwrite").parquet(f"{marks}/batch={number}")
+        remove(spark, f"{marks}/batch={number - 2}")
 
     return (
         pages.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
@@ -63,40 +70,7 @@ def weighings(
     )
 
 
-def _marks(spark: SparkSession, path: str, before: int) -> DataFrame:
-    """Latest time per system in earlier batches."""
-    if before == 0:
-        return spark.createDataFrame([], "system_id bigint, weigh_at timestamp")
-    rows = spark.read.schema("system_id int, weigh_at timestamp, batch int").parquet(path).filter(F.col("batch") < before)
-    return rows.select(F.col("system_id").cast("bigint").alias("system_id"), "weigh_at")
-
-
-def latest_states(states: DataFrame, order: list[str], path: str, checkpoint: str, key: str = "description") -> StreamingQuery:
-    """Latest state of each container so far, as one table per batch.
-
-    Of a container's states the greatest by `order` stays. A batch adds to the table of the
-    batch before; a batch that is run again after a failure replaces its own. A table has one
-    row per container.
-    """
-    def load(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = batch if number == 0 else batch.unionByName(spark.read.schema(batch.schema).parquet(f"{path}/batch={number - 1}"))
-        latest = rows.groupBy(key).agg(F.max_by(F.struct(*rows.columns), F.struct(*order)).alias("row")).select("row.*")
-        latest.write.mode("overwrite").parquet(f"{path}/batch={number}")
-
-    return (
-        states.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-
-
-def stored_states(spark: SparkSession, path: str) -> DataFrame:
-    """The table that `latest_states` wrote last."""
-    tables = spark.read.parquet(path)
-    last = tables.agg(F.max("batch")).first()[0]
-    return tables.filter(F.col("batch") == last).drop("batch")
-
-
-def within_last_hour(latest: DataFrame, now: Column) -> DataFrame:
-    """Containers seen in the hour up to `now`."""
-    return latest.filter(F.col("scraped_at") > now - F.expr("interval 1 hour"))
+def _marks(spark: SparkSession, path: str, batch: int) -> DataFrame:
+    """Latest time per system up to a batch; none before the first."""
+    schema = "system_id bigint, weigh_at timestamp"
+    return spark.createDataFrame([], schema) if batch < 0 else spark.read.schema(schema).parquet(f"{path}/batch={batch}")
