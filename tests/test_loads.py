@@ -1,14 +1,15 @@
 """Publication of tables, checks of the writing job, errors of list pages and stream state."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from wastelake import sinks
-from wastelake.operators import checks
+from wastelake.operators import checks, paging
 from wastelake.session import cut, work_path
-from wastelake.sources import pages as pg
+from wastelake.sources import incremental, pages as pg
 from wastelake.streaming import latest
 
 
@@ -128,3 +129,46 @@ def test_many_states_of_one_container_are_reduced_before_the_shuffle(spark):
     batch = pa.record_batch({"k": ["x", None, "x", None, "y"], "t": [3, 1, None, None, 2], "i": [1, 2, 3, 4, 5]})
     got = pa.Table.from_batches(latest._greatest("k", ["t", "i"])([batch])).to_pylist()
     assert sorted(r["i"] for r in got) == [1, 2, 5]
+
+
+def test_only_folders_from_the_marks_on_are_read(spark):
+    path = work_path(spark, "raw")
+    days = [f"2020-01-{d:02d} 10:00:00" for d in range(1, 21)]
+    raw = spark.createDataFrame([(s * 100 + i, s, d) for s in (1, 2) for i, d in enumerate(days)], "id bigint, system_id bigint, day string")
+    raw = raw.select("id", "system_id", F.col("day").cast("timestamp").alias("weigh_at"))
+    incremental.store_weigh_pages(raw, path, "a")
+    incremental.store_weigh_pages(raw, path, "a")  # a repeated load replaces itself
+    late = raw.filter("id = 119").withColumns({"id": F.lit(7).cast("bigint"), "system_id": F.lit(3).cast("bigint")})
+    incremental.store_weigh_pages(late, path, "b", files=3)
+    schema = "id bigint, system_id bigint, weigh_at timestamp"
+    marks = raw.filter("id = 117 or id = 203")
+    fresh = incremental.new_stored_weigh_pages(spark, path, schema, marks)
+    assert [r[0] for r in ids(fresh)] == [7, 118, 119, *range(204, 220)]
+    assert [r[0] for r in ids(incremental.new_stored_weigh_pages(spark, path, schema, marks, inclusive=True))] == [
+        7, 117, 118, 119, *range(203, 220)]
+    plan = fresh._jdf.queryExecution().executedPlan()
+    assert "dynamicpruning" in plan.toString()
+    # The pages are all of the folders that are due: three of system 1, 17 of system 2, one of 3.
+    due = incremental.due_slots(spark, path, marks).filter("start >= oldest")
+    assert due.count() == 3 + 17 + 1
+
+
+def test_deep_pages_read_the_parts_that_hold_them(spark):
+    path = work_path(spark, "pages")
+    rows = spark.range(10_000).select("id", (F.col("id") % 7).alias("k")).withColumn("k", F.when(F.col("k") > 0, F.col("k")))
+    order, schema = "-k,id", "id bigint, k bigint"
+    paging.store_pages(rows, order, path, 500)
+    expected = [r[0] for r in paging.ordered(rows, order).select("id").collect()]
+    for number in (1, 2, 77, 250, 500):
+        got = paging.stored_page(spark, path, schema, order, number, 20)
+        assert [r["id"] for r in got.collect()] == expected[(number - 1) * 20:number * 20]
+        assert got.first()["total"] == 10_000
+    plan = paging.stored_page(spark, path, schema, order, 300, 20)._jdf.queryExecution().executedPlan().toString()
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", plan).group(1)
+    assert len(re.findall(r"\d+", filters.partition(" IN ")[2] or filters.rpartition("=")[2])) <= 2, filters
+    assert paging.stored_page(spark, path, schema, order, 501, 20).count() == 0
+    with pytest.raises(ValueError):
+        paging.stored_page(spark, path, schema, order, 1, 10 ** 6)
+    empty = work_path(spark, "pages")
+    paging.store_pages(rows.filter("id < 0"), order, empty)
+    assert paging.stored_page(spark, empty, schema, order).count() == 0

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import clean, geo
 from ..operators import checks, links, shape
 from ..plans import feeds
-from ..session import cut
+from ..session import cut, work_path
 from ..sources import incremental, pages as pg
 from . import landed
 from .registry import Tables, query
@@ -177,15 +177,33 @@ def _raw_weighings(t: Tables) -> DataFrame:
 OLD = "SELECT l_linenumber AS system_id, max(l_shipdate) AS mark FROM {lineitem} WHERE l_linestatus = 'O' AND l_linenumber <= 5 GROUP BY 1"
 
 
-@query("inc_01_new_weigh_pages", f"""WITH m AS ({OLD})
+NEW_PAGES = f"""WITH m AS ({OLD})
     SELECT l_linenumber AS system_id, strftime(l_shipdate, '%Y-%m-%d') AS day, min(l_orderkey) AS id
-    FROM {{lineitem}} LEFT JOIN m ON m.system_id = l_linenumber WHERE mark IS NULL OR l_shipdate > mark GROUP BY 1, 2""")
+    FROM {{lineitem}} LEFT JOIN m ON m.system_id = l_linenumber WHERE mark IS NULL OR l_shipdate > mark GROUP BY 1, 2"""
+
+
+def _stored_weighings(t: Tables) -> DataFrame:
+    """Loaded measurements: all up to the mark of each system that has one."""
+    marked = t.lineitem.filter("l_linestatus = 'O' and l_linenumber <= 5").select(
+        F.col("l_linenumber").cast("bigint").alias("system_id"), F.col("l_shipdate").alias("weigh_at"))
+    return _raw_weighings(t).join(marked.distinct(), ["system_id", "weigh_at"], "left_semi")
+
+
+@query("inc_01_new_weigh_pages", NEW_PAGES)
+def _(t: Tables) -> DataFrame:
+    fresh = incremental.new_weigh_pages(_raw_weighings(t), _stored_weighings(t))
+    return fresh.select("system_id", F.date_format("weigh_at", "yyyy-MM-dd").alias("day"), "id")
+
+
+@query("inc_01_stored_pages", NEW_PAGES)
 def _(t: Tables) -> DataFrame:
-    stored = _raw_weighings(t).join(
-        t.lineitem.filter("l_linestatus = 'O' and l_linenumber <= 5").select(
-            F.col("l_linenumber").cast("bigint").alias("system_id"), F.col("l_shipdate").alias("weigh_at")).distinct(),
-        ["system_id", "weigh_at"], "left_semi")
-    fresh = incremental.new_weigh_pages(_raw_weighings(t), stored)
+    """The same from pages in folders by system and year, stored in two loads, one of them twice."""
+    path = work_path(t.spark, "raw")
+    raw = _raw_weighings(t).withColumn("weigh_at", F.col("weigh_at").cast("timestamp"))
+    for load in ("0", "1", "1"):
+        incremental.store_weigh_pages(raw.filter(F.col("id") % 2 == int(load)), path, load, "year")
+    fresh = incremental.new_stored_weigh_pages(
+        t.spark, path, "id bigint, system_id bigint, weigh_at timestamp", _stored_weighings(t))
     return fresh.select("system_id", F.date_format("weigh_at", "yyyy-MM-dd").alias("day"), "id")
 
 

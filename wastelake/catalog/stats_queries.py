@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import corrected_press_weights
 from ..operators import checks, links, merge, paging, skew, states as st, stats
 from ..plans import feeds
+from ..session import work_path
 from .registry import Tables, query
 
 EXACT_SPREAD = """
@@ -240,6 +241,17 @@ def _(t: Tables) -> DataFrame:
     return paging.page(t.sites.select("id", "short_id"), "id", 3, paging.SITE_PAGE_SIZE)
 
 
+@query("so_02_deep_page", """SELECT id, waste_name, (SELECT count(*) FROM {containers}) AS total
+    FROM {containers} ORDER BY waste_name DESC, id LIMIT 50 OFFSET (SELECT count(*) // 100 * 50 FROM {containers})""")
+def _(t: Tables) -> DataFrame:
+    """A page from the middle of a list that is stored in parts; reads the parts that hold it."""
+    path = work_path(t.spark, "pages")
+    rows, order = t.containers.select("id", "waste_name"), "-waste_name,id"
+    paging.store_pages(rows, order, path, 1000)
+    middle = rows.count() // 100 + 1
+    return paging.stored_page(t.spark, path, "id bigint, waste_name string", order, middle, 50)
+
+
 @query("so_03_cursor_page", """SELECT id, filling FROM {states} ORDER BY id DESC LIMIT 100""")
 def _(t: Tables) -> DataFrame:
     return paging.cursor_page(t.states.select("id", "filling"), "id", 100, None, "id", 5000)

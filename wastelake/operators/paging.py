@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
 from . import filters as fl
 from .shape import sparse
 
 # Page sizes and default orders of the lists.
 PAGE_SIZE, SITE_PAGE_SIZE, MAX_PAGE = 20, 10, 9000
 PAGE_SIZES = {"sites": SITE_PAGE_SIZE}
+PART, PART_ROWS = "_part", 1_000_000
 CURSOR_SIZES = {"measurements": (100, 9000), "sensor_states": (100, 5000), "fill_levels": (100, 9000)}
 DEFAULT_ORDER = {
     "containers": "id", "wells": "id", "container_types": "id", "sites": "id", "supplier_sites": "id",
@@ -55,6 +57,46 @@ def page(df: DataFrame, order: str, number: int = 1, size: int = PAGE_SIZE, larg
     return numbered_rows(df, order, number, size, largest).crossJoin(F.broadcast(total))  # one row
 
 
+def store_pages(df: DataFrame, order: str, path: str, part_rows: int = PART_ROWS) -> None:
+    """Write a list in parts of about `part_rows` rows, in the order of its pages; `order` should be unique.
+
+    A small table beside the parts has the number of rows in and before each.
+    """
+    spark, columns = df.sparkSession, order_columns(order)
+    rows = cut(df)
+    parts = max(1, -(-rows.count() // part_rows))
+    (
+        rows.repartitionByRange(parts, *columns).withColumn(PART, F.spark_partition_id())
+        .write.mode("overwrite").partitionBy(PART).parquet(f"{path}/rows")
+    )
+    if not rows.isEmpty():
+        counts = spark.read.parquet(f"{path}/rows").groupBy(F.col(PART).alias("part")).agg(F.count("*").alias("n"))
+    else:
+        counts = spark.createDataFrame([], "part int, n bigint")
+    everything = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = F.sum("n").over(Window.orderBy("part")) - F.col("n")  # one row per part
+    counts.select("part", "n", before.alias("first"), F.sum("n").over(everything).alias("total")).coalesce(1).write.mode(
+        "overwrite").parquet(f"{path}/parts")
+
+
+def stored_page(
+    spark: SparkSession, path: str, schema: str, order: str, number: int = 1, size: int = PAGE_SIZE, largest: int = MAX_PAGE,
+) -> DataFrame:
+    """A page of the list that `store_pages` wrote, with the total count.
+
+    Reads the parts that the page overlaps, which its number tells, one or two as a rule;
+    a page at any depth costs the same. Their numbers are few: each has a row of the page.
+    """
+    start = (number - 1) * _allowed(size, largest)
+    parts = spark.read.schema("part int, n bigint, first bigint, total bigint").parquet(f"{path}/parts")
+    total = parts.agg(F.max("total").alias("total")).first()["total"] or 0
+    held = parts.filter((F.col("first") < start + size) & (F.col("first") + F.col("n") > start)).orderBy("part").collect()
+    rows = spark.read.schema(f"{schema}, {PART} int").parquet(f"{path}/rows")
+    rows = rows.filter(F.col(PART).isin([p["part"] for p in held])).drop(PART)
+    skipped = start - held[0]["first"] if held else 0
+    return ordered(rows, order).offset(skipped).limit(size).withColumn("total", F.lit(total).cast("bigint"))
+
+
 def cursor_page(df: DataFrame, key: str, size: int, cursor: tuple | None = None, tie: str = "id", largest: int = 9000) -> DataFrame:
     """Newest rows after a cursor, the pair of `key` and `tie` of the last row seen.
 

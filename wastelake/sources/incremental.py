@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 FIRST_FILL_LEVEL = "2014-01-01 00:00:00"
 FIRST_HISTORY_DAY = "2018-10-01 00:00:00"
 
@@ -26,6 +28,57 @@ def new_weigh_pages(raw: DataFrame, measurements: DataFrame, inclusive: bool = F
     )
 
 
+def _slot(system: Column, start: Column) -> Column:
+    return F.concat_ws("_", system.cast("string"), F.date_format(start, "yyyy-MM-dd"))
+
+
+def store_weigh_pages(raw: DataFrame, path: str, load: str, period: str = "day", files: int = 1) -> None:
+    """Add keyed weigh pages to a table in folders by system and period (`day`, `month` or `year`).
+
+    The pages of a load lie below its name, so a load that is repeated replaces itself. Each
+    folder gets up to `files` files, written by as many tasks, for systems with many pages.
+    A small table beside the pages lists the folders of each load.
+    """
+    spark = raw.sparkSession
+    slot = _slot(F.col("system_id"), F.date_trunc(period, "weigh_at"))
+    (
+        raw.withColumn("slot", slot).repartition("slot", F.pmod(F.xxhash64("id"), F.lit(files)))
+        .write.mode("overwrite").partitionBy("slot").parquet(f"{path}/pages/load={load}")
+    )
+    written = spark.read.schema(f"{_schema_text(raw)}, slot string").parquet(f"{path}/pages/load={load}")
+    key = F.split("slot", "_")
+    written.select("slot").distinct().select(
+        "slot", key[0].cast("bigint").alias("system_id"), key[1].cast("date").alias("start"), F.lit(period).alias("period"),
+    ).coalesce(1).write.mode("overwrite").parquet(f"{path}/slots/load={load}")  # one row per folder
+
+
+def _schema_text(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
+def due_slots(spark: SparkSession, path: str, measurements: DataFrame) -> DataFrame:
+    """Folders of `store_weigh_pages` that may hold pages later than the mark of their system."""
+    marks = measurements.groupBy("system_id").agg(F.max("weigh_at").alias("mark"))
+    slots = spark.read.parquet(f"{path}/slots").select("slot", "system_id", "start", "period").distinct()
+    oldest = F.coalesce(F.expr("date_trunc(period, mark)").cast("date"), "start")
+    return slots.join(marks, "system_id", "left").select("slot", "start", oldest.alias("oldest"))
+
+
+def new_stored_weigh_pages(
+    spark: SparkSession, path: str, raw_schema: str, measurements: DataFrame, inclusive: bool = False,
+) -> DataFrame:
+    """`new_weigh_pages` of a table of `store_weigh_pages`; reads the folders from the marks on.
+
+    The list of folders that are due is written and joined with the pages' folder names. Where
+    it is small enough to broadcast, the scan waits for it and skips all other folders. It
+    is larger only if so many are due that they are most of the table.
+    """
+    due = cut(due_slots(spark, path, measurements)).filter(F.col("start") >= F.col("oldest")).select("slot")
+    pages = spark.read.schema(f"{raw_schema}, load string, slot string").parquet(f"{path}/pages")
+    fresh = pages.join(due, "slot", "left_semi").drop("slot", "load")
+    return new_weigh_pages(fresh, measurements, inclusive)
+
+
 def _mark(df: DataFrame, column: str) -> Column | None:
     """The latest time of a table as a literal, so that a scan can skip what is older; None without any.
 
