@@ -646,6 +646,14 @@ def _(t: Tables) -> DataFrame:
 
 # Feeds as whole plans.
 
+def _register_tables(t: Tables) -> dict[str, DataFrame]:
+    """The layers are grown by a centimetre: places come back from degrees to the millimetre."""
+    grown = lambda df: df.withColumn("rings", geo.box(F.col("minx") - 0.01, F.col("miny") - 0.01,
+                                                      F.col("maxx") + 0.01, F.col("maxy") + 0.01))
+    return feeds.register(landed.well_pages(t), landed.container_pages(t), landed.type_pages(t),
+                          grown(t.districts), grown(t.areas))
+
+
 @query("pl_01_register_clean", """SELECT c.id, w.stadsdeel, w.buurt_code, w.summary,
     CASE c.active WHEN 1 THEN c.waste_name WHEN 0 THEN 'Unknown' ELSE 'Unkown' END AS waste_name
     FROM {containers} c JOIN (
@@ -654,12 +662,25 @@ def _(t: Tables) -> DataFrame:
         LEFT JOIN {areas} a ON w.x BETWEEN a.minx - 0.01 AND a.maxx + 0.01 AND w.y BETWEEN a.miny - 0.01 AND a.maxy + 0.01
         GROUP BY 1, 2) w ON w.id = c.well_id""")
 def _(t: Tables) -> DataFrame:
-    """The layers are grown by a centimetre: places come back from degrees to the millimetre."""
-    grown = lambda df: df.withColumn("rings", geo.box(F.col("minx") - 0.01, F.col("miny") - 0.01,
-                                                      F.col("maxx") + 0.01, F.col("maxy") + 0.01))
-    tables = feeds.register(landed.well_pages(t), landed.container_pages(t), landed.type_pages(t),
-                            grown(t.districts), grown(t.areas))
-    return tables["container_locations"].select("id", "stadsdeel", "buurt_code", "summary", "waste_name")
+    return _register_tables(t)["container_locations"].select("id", "stadsdeel", "buurt_code", "summary", "waste_name")
+
+
+@query("pl_01_register_tables", """SELECT 'wells' AS name, w.id, concat_ws('/', w.summary, min(d.code), min(a.vollcode)) AS fields FROM {wells} w
+    LEFT JOIN {districts} d ON w.x BETWEEN d.minx - 0.01 AND d.maxx + 0.01 AND w.y BETWEEN d.miny AND d.maxy
+    LEFT JOIN {areas} a ON w.x BETWEEN a.minx - 0.01 AND a.maxx + 0.01 AND w.y BETWEEN a.miny - 0.01 AND a.maxy + 0.01
+    GROUP BY w.id, w.summary
+    UNION ALL SELECT 'containers', c.id, concat_ws('/', w.id, c.container_type_id,
+        CASE c.active WHEN 1 THEN c.waste_name WHEN 0 THEN 'Unknown' ELSE 'Unkown' END)
+        FROM {containers} c LEFT JOIN {wells} w ON w.id = c.well_id
+    UNION ALL SELECT 'container_types', id, concat_ws('/', name, volume, weight) FROM {container_types}""")
+def _(t: Tables) -> DataFrame:
+    """The other three tables of one load."""
+    tables = _register_tables(t)
+    fields = {"wells": ("summary", "stadsdeel", "buurt_code"), "containers": ("well_id", "container_type_id", "waste_name"),
+              "container_types": ("name", "volume", "weight")}
+    rows = [tables[name].select(F.lit(name).alias("name"), "id", F.concat_ws("/", *[F.col(c).cast("string") for c in columns]).alias("fields"))
+            for name, columns in fields.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 FIRST_LOAD = """WITH p AS (SELECT l_orderkey, l_linenumber, max(l_shipdate) AS last FROM {lineitem} WHERE l_tax <> 0 GROUP BY 1, 2),

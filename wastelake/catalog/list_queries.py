@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import sinks
 from ..functions import geo
-from ..operators import checks, filters as fl, links, service, sites as st, spatial
+from ..operators import checks, filters as fl, links, lists, service, sites as st, spatial
 from ..session import work_path
 from ..sources import pages as pg
 from ..streaming import latest, live
@@ -221,6 +221,57 @@ def _(t: Tables) -> DataFrame:
     return fl.sites_by_type(t.sites, t.wells, t.containers, t.container_types, "weight", "lt", 10).select("id")
 
 
+def _register(t: Tables) -> lists.Register:
+    return lists.Register(t.containers, t.wells, t.container_types, t.site_boxes)
+
+
+@query("fil_11_sites_with_type", """SELECT id FROM {site_boxes} WHERE id IN (SELECT w.site_id FROM {wells} w JOIN {containers} c
+    ON c.well_id = w.id JOIN {container_types} k ON k.id = c.container_type_id WHERE k.name = (SELECT min(name) FROM {container_types}))""")
+def _(t: Tables) -> DataFrame:
+    name = t.container_types.agg(F.min("name")).first()[0]
+    return lists.related("sites", _register(t), {"container_type": name}).select("id")
+
+
+@query("fil_01_container_list", f"""SELECT id, waste_name FROM {{containers}} WHERE active < 2
+    AND well_id IN (SELECT id FROM {{wells}} WHERE stadsdeel = 'A' AND site_id IS NULL)
+    AND well_id IN (SELECT id FROM {{wells}} WHERE {IN_BOX})
+    AND container_type_id IN (SELECT id FROM {{container_types}} WHERE volume > 0.5)""")
+def _(t: Tables) -> DataFrame:
+    """Filters on the container, its well, the well's place and site, and its type, in one list."""
+    params = {"active__lt": 2, "well__stadsdeel": "A", "no_site": True, "in_bbox": BOX, "container_type__volume__gt": 0.5}
+    return lists.related("containers", _register(t), params).select("id", "waste_name")
+
+
+@query("fil_01_container_page", """SELECT id, waste_name FROM {containers} WHERE waste_name = 'Glas'
+    AND well_id IN (SELECT id FROM {wells} WHERE stadsdeel = 'A') ORDER BY id DESC LIMIT 30 OFFSET 30""")
+def _(t: Tables) -> DataFrame:
+    return lists.related_page("containers", _register(t), {"waste_name": "Glas", "well__stadsdeel": "A", "detailed": True},
+                              "id,waste_name", None, "-id", 2, 30)
+
+
+@query("fil_01_well_list", f"""SELECT id FROM {{wells}} WHERE {IN_BOX} AND stadsdeel = 'A'""")
+def _(t: Tables) -> DataFrame:
+    return lists.related("wells", _register(t), {"in_bbox": BOX, "stadsdeel": "A"}).select("id")
+
+
+@query("fil_01_site_list", """SELECT s.id, count(*) AS n FROM {site_boxes} s JOIN {wells} w ON w.site_id = s.id
+    JOIN {containers} c ON c.well_id = w.id JOIN {container_types} t ON t.id = c.container_type_id
+    WHERE t.volume > 1 AND minx <= 118500 AND maxx >= 116000 AND miny <= 483000 AND maxy >= 481000 GROUP BY 1""")
+def _(t: Tables) -> DataFrame:
+    """A site is listed once per container whose type meets the filter."""
+    params = {"in_bbox": "481000,116000,483000,118500", "wells__containers__container_type__volume__gt": 1}
+    return lists.related("sites", _register(t), params).groupBy("id").agg(F.count("*").alias("n"))
+
+
+@query("fil_01_site_list_once", """SELECT id, 1 AS n FROM {site_boxes} WHERE id IN (SELECT w.site_id FROM {wells} w
+    JOIN {containers} c ON c.well_id = w.id WHERE c.waste_name = 'Glas') AND id IN (SELECT w.site_id FROM {wells} w
+    JOIN {containers} c ON c.well_id = w.id JOIN {container_types} t ON t.id = c.container_type_id WHERE t.weight < 30)""")
+def _(t: Tables) -> DataFrame:
+    """With a filter on the fraction, a site is listed once."""
+    params = {"fractie": "Glas", "wells__containers__container_type__weight__lt": 30}
+    return lists.related("sites", _register(t), params).groupBy("id").agg(F.count("*").alias("n"))
+
+
 @query("fil_13_search_names", "SELECT id FROM {container_types} WHERE lower(name) LIKE '%re%' AND lower(name) LIKE '%ring%'")
 def _(t: Tables) -> DataFrame:
     return fl.search_names(t.container_types, "RE ring").select("id")

@@ -196,10 +196,25 @@ def _(t: Tables) -> DataFrame:
     return shapes.select("brand", *[c.alias(n) for n, c in _outline("rings").items()])
 
 
-@query("geo_09_parts", "SELECT id, 1 AS part FROM {buildings} UNION ALL SELECT id, 2 FROM {buildings}")
+@query("geo_09_parts", """SELECT id, 1 AS part, minx, maxy FROM {buildings} UNION ALL SELECT id, 2, minx + 100, maxy FROM {buildings}""")
 def _(t: Tables) -> DataFrame:
-    many = t.buildings.select("id", F.array("rings", "rings").alias("many"))
-    return many.select("id", F.posexplode("many").alias("part", "rings")).select("id", (F.col("part") + 1).alias("part"))
+    """Two polygons of each building, as one geometry and as rows again; the second lies further east."""
+    second = geo.box(F.col("minx") + 100, F.col("miny"), F.col("maxx") + 100, F.col("maxy"))
+    many = t.buildings.select("id", F.col("minx").alias("at"), F.array("rings", second).alias("many"))
+    rows = many.select("id", "at", geo.parts("many").alias("rings")).select("id", "at", *[c.alias(n) for n, c in geo.bounds("rings").items()])
+    return rows.select("id", F.when(F.col("minx") > F.col("at"), 2).otherwise(1).alias("part"), "minx", "maxy")
+
+
+@query("geo_09_polygons_only", """SELECT id, minx + 100 * part AS minx, maxy FROM {buildings},
+    (SELECT unnest([0, 1]) AS part) WHERE id % 3 <> 0""")
+def _(t: Tables) -> DataFrame:
+    """Texts of many polygons, and points among them, which are no polygons and have no parts."""
+    second = geo.box(F.col("minx") + 100, F.col("miny"), F.col("maxx") + 100, F.col("maxy"))
+    ring = lambda rings: F.regexp_replace(geo.rings_to_wkt(rings), "^POLYGON", "")
+    many = F.concat(F.lit("MULTIPOLYGON("), ring(F.col("rings")), F.lit(","), ring(second), F.lit(")"))
+    texts = t.buildings.select("id", F.when(F.col("id") % 3 == 0, geo.point_to_wkt("minx", "miny")).otherwise(many).alias("wkt"))
+    parts = geo.polygon_rows(texts, "wkt")
+    return parts.select("id", *[geo.bounds("rings")[n].alias(n) for n in ("minx", "maxy")])
 
 
 @query("geo_10_wkt", """SELECT id, 'POLYGON((' || CAST(minx AS BIGINT) || ' ' || CAST(miny AS BIGINT) || ',' || CAST(maxx AS BIGINT) || ' ' ||
@@ -709,17 +724,35 @@ def _(t: Tables) -> DataFrame:
     return tables["report"]
 
 
+SECOND_SUPPLIER = ("content_types", "container_types", "site_content_types", "sites", "container_slots", "containers")
+
+
+def _second_supplier(t: Tables) -> dict[str, DataFrame]:
+    return feeds.second_supplier({n: landed.collection_pages(t, n) for n in SECOND_SUPPLIER}, t.site_boxes, t.containers)
+
+
 @query("pl_05_second_supplier", f"""WITH s AS ({SUPPLIER}) SELECT id, site_id FROM s""")
 def _(t: Tables) -> DataFrame:
-    names = ("content_types", "container_types", "site_content_types", "sites", "container_slots", "containers")
-    tables = feeds.second_supplier({n: landed.collection_pages(t, n) for n in names}, t.site_boxes, t.containers)
-    return tables["sites"].select("id", "site_id")
+    return _second_supplier(t)["sites"].select("id", "site_id")
 
 
 @query("pl_05_second_supplier_containers", """SELECT w.id, CASE WHEN w.active = 2 THEN NULL
-    ELSE 'RE' || w.id * 5 IN (SELECT id_number FROM {containers} WHERE id_number IS NOT NULL) END AS valid FROM {wells} w""")
+    ELSE 'RE' || w.id * 5 IN (SELECT id_number FROM {containers}) END AS valid FROM {wells} w""")
+def _(t: Tables) -> DataFrame:
+    return _second_supplier(t)["containers"].select("id", "valid")
+
+
+@query("pl_05_second_supplier_tables", """SELECT 'content_types' AS name, p_partkey AS id, concat_ws('/', p_size, p_name) AS fields FROM {part}
+    UNION ALL SELECT 'container_types', p_partkey, concat_ws('/', p_size, p_type) FROM {part}
+    UNION ALL SELECT 'site_content_types', o_orderkey, concat_ws('/', o_custkey, o_orderpriority) FROM {orders}
+    UNION ALL SELECT 'container_slots', o_orderkey, concat_ws('/',
+        CASE WHEN o_custkey * 2 IN (SELECT id FROM {supplier_points}) THEN o_custkey * 2 END,
+        CASE WHEN o_orderkey * 2 IN (SELECT o_orderkey FROM {orders}) THEN o_orderkey * 2 END) FROM {orders}""")
 def _(t: Tables) -> DataFrame:
-    names = ("content_types", "container_types", "site_content_types", "sites", "container_slots", "containers")
-    tables = feeds.second_supplier({n: landed.collection_pages(t, n) for n in names}, t.site_boxes,
-                                   t.containers.filter("id_number is not null"))
-    return tables["containers"].select("id", "valid")
+    """The other four tables of one load."""
+    tables = _second_supplier(t)
+    fields = {"content_types": ("category", "name"), "container_types": ("volume", "shape"),
+              "site_content_types": ("content_type_id", "content_type_name"), "container_slots": ("site_id", "site_content_type_id")}
+    rows = [tables[name].select(F.lit(name).alias("name"), "id", F.concat_ws("/", *[F.col(c).cast("string") for c in columns]).alias("fields"))
+            for name, columns in fields.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])

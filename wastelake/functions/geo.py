@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .clean import col, safe_float
@@ -234,6 +234,13 @@ def parts_from_wkt(wkt: Column | str) -> Column:
     return F.transform(texts, rings_from_wkt)
 
 
+def polygon_rows(df: DataFrame, wkt: str) -> DataFrame:
+    """A row per polygon of a WKT column, with its `rings`; geometries of other types have none."""
+    kind = geometry_type(wkt)
+    polygons = F.when(kind == "POLYGON", F.array(rings_from_wkt(wkt))).when(kind == "MULTIPOLYGON", parts_from_wkt(wkt))
+    return df.withColumn("rings", parts(polygons))
+
+
 def point_to_wkt(x: Column | str, y: Column | str) -> Column:
     return F.concat(F.lit("POINT("), _text(col(x)), F.lit(" "), _text(col(y)), F.lit(")"))
 
