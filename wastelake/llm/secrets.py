@@ -17,6 +17,7 @@ those named are only carried.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import product
 
@@ -27,6 +28,12 @@ from . import common
 
 MOST_STRINGS = 64
 MARK = "[SECRET]"
+BLOCK = 256  # code points; a text is cut into these to find a place in it
+
+
+def any_case(pattern: str) -> str:
+    """The pattern with a-z read in either case, and no other letters folded onto them."""
+    return re.sub("[a-z]", lambda m: f"[{m[0].upper()}{m[0]}]", pattern)
 
 
 @dataclass(frozen=True)
@@ -39,7 +46,7 @@ class Rule:
 
 
 RULES = (
-    Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, True),
+    Rule("assign", f"({any_case('password|passwd|secret|token|api_?key')})" + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6, True),
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20, True),
     Rule("hex", r"[0-9a-f]{24,}", 0, 24, True),  # a longest run of hex digits, if it is long enough
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
@@ -123,10 +130,18 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...], doc_id: str, text: str)
     return whole.groupBy("doc_id").agg(F.collect_set("kind").alias("kinds"))
 
 
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Every element combined with all before it, by looking back 1, 2, 4, ... places; with null where there is none."""
+    back = F.array(*[F.lit(1 << i) for i in range(31)])
+    return F.aggregate(back, values, lambda done, d: F.when(
+        d < F.size(done), F.transform(done, lambda x, i: combine(x, F.get(done, i - d)))).otherwise(done))
+
+
 def spans_of(text: Column, rule: Rule, order: int) -> Column:
     """The spans of a kind as structs `(start, order, end, kind)`.
 
     The text between matches and the matches alternate, so their lengths add up to positions.
+    The work is linear in the text, and n log n in its matches.
     """
     pattern = F.lit(rule.pattern)
     lengths = lambda strings: F.transform(strings, F.length)
@@ -134,16 +149,13 @@ def spans_of(text: Column, rule: Rule, order: int) -> Column:
     tested = matches if not rule.group else F.regexp_extract_all(text, pattern, F.lit(rule.group))
     rows = F.arrays_zip(lengths(F.slice(F.split(text, rule.pattern, -1), 1, F.size(matches))).alias("gap"),
                         lengths(matches).alias("size"), lengths(tested).alias("tested"))
-    empty = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
-
-    def step(done: Column, row: Column) -> Column:
-        start = done["at"] + row["gap"]
-        end = start + row["size"]
-        span = F.array(F.struct(start.alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind")))
-        return F.struct(end.alias("at"), F.when(row["tested"] >= rule.least, F.concat(done["spans"], span)).otherwise(done["spans"]).alias("spans"))
-
-    found = F.aggregate(rows, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda done: done["spans"])
-    return F.when(F.rlike(text, pattern), found).otherwise(empty)
+    ending = F.transform(rows, lambda m: F.struct((m["gap"] + m["size"]).alias("end"), m["size"].alias("size"), m["tested"].alias("tested")))
+    placed = running(ending, lambda m, earlier: F.struct(
+        (m["end"] + F.coalesce(earlier["end"], F.lit(0))).alias("end"), m["size"].alias("size"), m["tested"].alias("tested")))
+    rows = F.filter(placed, lambda m: m["tested"] >= rule.least)
+    found = F.transform(rows, lambda m: F.struct(
+        (m["end"] - m["size"]).alias("start"), F.lit(order).alias("order"), m["end"].alias("end"), F.lit(rule.kind).alias("kind")))
+    return F.when(F.rlike(text, pattern), found).otherwise(F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>"))
 
 
 def found(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
@@ -182,14 +194,23 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, doc_id: str = "do
     """
     rows, name = found(docs, rules, doc_id, text)
     body = F.col(text)
-
-    def step(done: Column, s: Column) -> Column:
-        gap = F.substring(body, done["at"] + 1, F.greatest(s["start"] - done["at"], F.lit(0)))
-        return F.struct(F.greatest(done["at"], s["end"]).alias("at"),
-                        F.when(s["start"] >= done["at"], F.concat(done["out"], gap, F.lit(mark))).otherwise(done["out"]).alias("out"))
-
-    cleaned = F.aggregate(name, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda done: F.concat(
-        done["out"], F.substring(body, done["at"] + 1, F.length(body))))
+    spans, blocks, before = (common.fresh(rows, x) for x in ("s_spans", "s_blocks", "s_before"))
+    has = F.size(name) > 0
+    # Where a span begins before an earlier one ends, the text between them is part of a mark.
+    reach = running(F.transform(name, lambda s: s["end"]), F.greatest)  # that passes over null
+    rows = rows.withColumn(before, F.when(has, F.concat(F.array(F.lit(0)), reach)))
+    apart = F.filter(F.transform(name, lambda s, i: F.struct(s["start"].alias("start"), F.get(before, i).alias("before"))),
+                     lambda s: s["start"] >= s["before"])
+    rows = rows.withColumns({spans: F.when(has, apart), blocks: F.when(has, F.regexp_extract_all(body, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)))})
+
+    def between(a: Column, b: Column) -> Column:
+        first = F.floor(a / BLOCK).cast("int")
+        near = F.array_join(F.slice(blocks, first + 1, F.floor(b / BLOCK).cast("int") - first + 1), "")
+        return F.substring(near, a - first * BLOCK + 1, b - a)
+
+    pieces = F.transform(spans, lambda s: F.concat(between(s["before"], s["start"]), F.lit(mark)))
+    last = F.element_at(before, -1)
+    cleaned = F.concat(F.array_join(pieces, ""), between(last, F.length(body)))
     new = rows.withColumn(text, F.when(F.size(name) > 0, cleaned).otherwise(body))
     if length:
         new = new.withColumn(length, F.when(F.size(name) > 0, F.length(text)).otherwise(F.col(length)).cast(docs.schema[length].dataType))
