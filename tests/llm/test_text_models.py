@@ -33,11 +33,11 @@ def test_scores_of_awkward_rows(docs, rows, nothing):
 
 def test_tail_words_and_several_groups_of_segments(docs, monkeypatch):
     whole = {str((r.doc_id, r.n_tokens)): r for r in lm_scoring.scores(docs).collect()}
-    monkeypatch.setattr(lm_scoring, "FREQUENT", 50)
+    monkeypatch.setattr(lm_scoring, "FREQUENT_BYTES", 2000)
     monkeypatch.setattr(lm_scoring, "SEGMENT_TOKENS", 1000)
     groups, real = [], lm_scoring.groups_of
     monkeypatch.setattr(lm_scoring, "groups_of", lambda table, most: groups.append(real(table, most)) or groups[-1])
-    found = lm_scoring.scores(docs, most_bytes=14_000).collect()
+    found = lm_scoring.scores(docs, most_bytes=24_000).collect()
     assert len(groups[0]) == 1 and len(groups[1]) > 1 and len(found) == docs.count()
     for r in found:
         same = whole[str((r.doc_id, r.n_tokens))]
@@ -78,8 +78,59 @@ def test_filter_gives_counts_back():
     assert (levels >= exact).all() and (levels == exact).mean() > 0.98  # never too low, seldom too high
     others = filter_.levels(rng.integers(0, 2 ** 63, 5000, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
     assert (others == 0).mean() > 0.98
-    values = lm_scoring.values_of_levels()
-    assert np.abs(values[exact] / counts - 1).max() < 0.5
+    low, high = lm_scoring.ends_of_levels()
+    assert (low[exact] <= counts).all() and (counts <= high[exact]).all() and (high / np.maximum(low, 1)).max() < lm_scoring.BASE + 1e-9
+    assert np.abs(levels - exact).max() > 0  # the chances below are those of errors that do occur
+    first, further = np.mean([lm_scoring.errors_of(p) for p in parts.values()], axis=0)
+    assert first < 1e-3 and abs((levels > exact).mean() - further) < 0.01
+
+
+def test_scores_equal_a_model_of_exact_counts(docs, rows, monkeypatch):
+    """With every word in the list, only bigrams are quantised; with so many hashes, a filter does not err."""
+    monkeypatch.setattr(lm_scoring, "FIRST_HASHES", 40)
+    monkeypatch.setattr(lm_scoring, "HASHES", 40)
+    masses, real = [], lm_scoring.scored
+    monkeypatch.setattr(lm_scoring, "scored", lambda *given: masses.append(given[4]) or real(*given))
+    got = lm_scoring.scores(docs).collect()
+    m = masses[0]
+    train = [tokens(t) for i, t, _, _ in rows if zlib.crc32(str("" if i is None else i).encode()) % 10]
+    words, pairs = Counter(w for t in train for w in t), Counter(p for t in train for p in zip(["", *t], t))
+    low, _ = lm_scoring.ends_of_levels()
+
+    def score(text):
+        listed = tokens(text)
+        out = 0.0
+        for before, w in zip(["", *listed], listed):
+            both = low[lm_scoring.level_of(np.array([pairs[before, w]]))[0]] if (before, w) in pairs else 0.0
+            word = (words[w] + 0.1) / (sum(words.values()) + 0.1 * (len(words) + 1)) / (1 + m.words_raised)
+            out += math.log10((both + lm_scoring.MASS * word) / (words[before] * (1 + m.bigrams_raised) + lm_scoring.MASS + m.ghosts))
+        return out
+    expected = Counter((str(i), len(tokens(t)), round(score(t), 3)) for i, t, _, _ in rows)
+    found = Counter((str(r.doc_id), r.n_tokens, round(r.score, 3)) for r in got)
+    assert expected == found
+
+
+@pytest.mark.parametrize("distinct", [20_000, 200_000])
+def test_probabilities_of_a_context_sum_to_at_most_one(distinct):
+    rng = np.random.default_rng(3)
+    zipf = 1 / np.arange(1, distinct + 1)
+    sample = rng.choice(distinct, 10 * distinct, p=zipf / zipf.sum())
+    hashes = common.mixed(np.arange(1, distinct + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    keys = hashes[sample]
+    pairs = lm_scoring.segment(*np.unique(lm_scoring.bigram_keys(keys[1:], keys[:-1]), return_counts=True))
+    counts = np.bincount(sample, minlength=distinct)
+    seen = np.flatnonzero(counts)
+    listed = lm_scoring.segment(hashes[seen], counts[seen])
+    masses = lm_scoring.Masses.of(len(sample), len(seen), lm_scoring.errors_of(pairs), lm_scoring.errors_of(listed))
+    low, high = lm_scoring.ends_of_levels()
+    bigrams, words = lm_scoring.Filter({0: pairs}, 0), lm_scoring.Filter({0: listed}, 0).levels(hashes[seen])
+    ranked = seen[np.argsort(-counts[seen], kind="stable")]
+    for rank in (0, 100, 1000, 10_000, len(seen) - 1):
+        v = ranked[rank]
+        before = high[words[np.flatnonzero(seen == v)[0]]]
+        both = np.minimum(low[bigrams.levels(lm_scoring.bigram_keys(hashes[seen], np.full(len(seen), hashes[v])))], np.minimum(before, high[words]))
+        total = masses.probability(both, np.full(len(seen), before), low[words]).sum()
+        assert 0.6 < total <= 1.01, (rank, total)
 
 
 def test_bigrams_beat_word_frequencies_on_held_out_repeats(spark):
