@@ -72,7 +72,7 @@ def test_filter_gives_counts_back():
     keys = np.unique(rng.integers(0, 2 ** 63, 5000, dtype=np.uint64) * np.uint64(2))
     counts = rng.integers(1, 2000, len(keys))
     parts = {s: lm_scoring.segment(keys[keys >> np.uint64(61) == s], counts[keys >> np.uint64(61) == s]) for s in range(8)}
-    filter_ = lm_scoring.Filter(parts, 3)
+    filter_ = lm_scoring.Filter({s: len(p) for s, p in parts.items()}, parts.items(), 3)
     levels = filter_.levels(keys)
     exact = lm_scoring.level_of(counts)
     assert (levels >= exact).all() and (levels == exact).mean() > 0.98  # never too low, seldom too high
@@ -125,7 +125,8 @@ def test_probabilities_of_a_context_sum_to_at_most_one(distinct):
     listed = lm_scoring.segment(hashes[seen], counts[seen])
     masses = lm_scoring.Masses.of(len(sample), len(seen), lm_scoring.errors_of(pairs), lm_scoring.errors_of(listed))
     low, high = lm_scoring.ends_of_levels()
-    bigrams, words = lm_scoring.Filter({0: pairs}, 0), lm_scoring.Filter({0: listed}, 0).levels(hashes[seen])
+    bigrams = lm_scoring.Filter({0: len(pairs)}, [(0, pairs)], 0)
+    words = lm_scoring.Filter({0: len(listed)}, [(0, listed)], 0).levels(hashes[seen])
     ranked = seen[np.argsort(-counts[seen], kind="stable")]
     for rank in (0, 100, 1000, 10_000, len(seen) - 1):
         v = ranked[rank]
