@@ -244,3 +244,13 @@ def test_shapes_of_several_parts(spark):
     points = spark.createDataFrame([(1, 7.0, 5.0), (2, 99.0, 2.0)], "id int, x double, y double")
     found = nn.of_shapes(nn.nearest(nn.shape_items(sites, "id"), nn.point_items(points, "id"), nn.polygon_to_point))
     assert {r["key"]: (r["target"], r["distance"]) for r in found.collect()} == {7: (1, 0.0), 8: (2, 1.0)}
+
+
+def test_pieces_are_not_broadcast_by_estimate(spark):
+    """20,000 polygons are some 30 MB as pieces, however small the estimate of their table."""
+    squares = spark.range(20_000).selectExpr("id AS o", "id * 3.0D AS sx", "id * 7.0D % 1000 AS sy").select(
+        "o", geo.square("sx", "sy", F.lit(25.0)).alias("rings"))
+    points = spark.range(30_000).selectExpr("id", "id * 2.0D AS x", "id * 5.0D % 1000 AS y")
+    for joined in (spatial.points_in_polygons(points, squares), spatial.has_polygon(points, squares)):
+        plan = joined._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
