@@ -144,3 +144,25 @@ def test_pieces_and_sides():
     assert plane.left_over(np.array([[0, 10], [7, 3], [12, 10]])).tolist() == [[0, 3], [7, 10], [12, 10]]
     rings, rest = plane.stitched([np.array([[0, 0], [4, 0], [4, 4]]), np.array([[4, 4], [0, 4], [0, 0]]), np.array([[9, 9], [8, 8]])])
     assert len(rings) == 1 and len(rings[0]) == 4 and len(rest) == 1
+
+
+def test_groups_of_a_task_are_walked_over_in_one_pass(spark):
+    """Groups within, across and over whole Arrow batches, NULL keys among them."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+    from wastelake.operators import dissolve as d
+
+    rows = spark.range(3000).select(
+        F.expr("CASE WHEN id % 7 = 0 THEN NULL ELSE concat('k', id % 7 * (id % 3)) END").alias("k"), (F.col("id") % 2).alias("n"), "id")
+
+    def total(table):
+        first = table.slice(0, 1)
+        return pa.table([first["k"], first["n"], pa.array([sum(table["id"].to_pylist())], pa.int64())], names=["k", "n", "s"])
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        got = sorted(map(tuple, d._by_group(rows, ["k", "n"], total, "k string, n bigint, s bigint").collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == sorted(map(tuple, rows.groupBy("k", "n").agg(F.sum("id")).collect()), key=str)
