@@ -172,3 +172,16 @@ def test_deep_pages_read_the_parts_that_hold_them(spark):
     empty = work_path(spark, "pages")
     paging.store_pages(rows.filter("id < 0"), order, empty)
     assert paging.stored_page(spark, empty, schema, order).count() == 0
+
+
+def test_many_list_parts_need_few_ranges(spark):
+    """What the driver samples grows with the ranges of a shuffle, so those must not grow with the parts."""
+    path, rows = work_path(spark, "pages"), spark.range(10_000).select("id", (F.col("id") % 7).alias("k"))
+    paging.store_pages(rows, "k,-id", path, 50)
+    parts = spark.read.parquet(f"{path}/parts").orderBy("part").collect()
+    ranges = {p["part"] >> paging.RANGE_BITS for p in parts}
+    assert len(ranges) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert all(p["n"] == 50 for p, q in zip(parts, parts[1:]) if p["part"] >> paging.RANGE_BITS == q["part"] >> paging.RANGE_BITS)
+    assert parts[-1]["first"] + parts[-1]["n"] == 10_000
+    expected = [r[0] for r in paging.ordered(rows, "k,-id").select("id").collect()]
+    assert [r["id"] for r in paging.stored_page(spark, path, "id bigint, k bigint", "k,-id", 333, 30).collect()] == expected[9960:9990]

@@ -15,6 +15,7 @@ from .shape import sparse
 PAGE_SIZE, SITE_PAGE_SIZE, MAX_PAGE = 20, 10, 9000
 PAGE_SIZES = {"sites": SITE_PAGE_SIZE}
 PART, PART_ROWS = "_part", 1_000_000
+RANGE_BITS = 33  # of a part's number; as many bits as a row's number within its partition has
 CURSOR_SIZES = {"measurements": (100, 9000), "sensor_states": (100, 5000), "fill_levels": (100, 9000)}
 DEFAULT_ORDER = {
     "containers": "id", "wells": "id", "container_types": "id", "sites": "id", "supplier_sites": "id",
@@ -57,22 +58,33 @@ def page(df: DataFrame, order: str, number: int = 1, size: int = PAGE_SIZE, larg
     return numbered_rows(df, order, number, size, largest).crossJoin(F.broadcast(total))  # one row
 
 
+def _schema_text(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def store_pages(df: DataFrame, order: str, path: str, part_rows: int = PART_ROWS) -> None:
     """Write a list in parts of about `part_rows` rows, in the order of its pages; `order` should be unique.
 
-    A small table beside the parts has the number of rows in and before each.
+    The rows are sorted in ranges of up to PART_ROWS rows, or as many as a shuffle has partitions, and each
+    range is cut into parts by row number: what the driver samples to find the ranges does not grow
+    with the parts. A small table beside the parts has the number of rows in and before each.
     """
     spark, columns = df.sparkSession, order_columns(order)
     rows = cut(df)
-    parts = max(1, -(-rows.count() // part_rows))
+    total = rows.count()
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_ROWS))
+    ranges = max(1, min(ranges, -(-total // part_rows)))
+    within = F.floor(F.expr(f"monotonically_increasing_id() & {2 ** RANGE_BITS - 1}") / part_rows).cast("bigint")
     (
-        rows.repartitionByRange(parts, *columns).withColumn(PART, F.spark_partition_id())
+        rows.repartitionByRange(ranges, *columns).sortWithinPartitions(*columns)
+        .withColumn(PART, F.shiftleft(F.spark_partition_id().cast("bigint"), RANGE_BITS) + within)
         .write.mode("overwrite").partitionBy(PART).parquet(f"{path}/rows")
     )
-    if not rows.isEmpty():
-        counts = spark.read.parquet(f"{path}/rows").groupBy(F.col(PART).alias("part")).agg(F.count("*").alias("n"))
+    if total:
+        stored = spark.read.schema(f"{_schema_text(df)}, {PART} bigint").parquet(f"{path}/rows")
+        counts = stored.groupBy(F.col(PART).alias("part")).agg(F.count("*").alias("n"))
     else:
-        counts = spark.createDataFrame([], "part int, n bigint")
+        counts = spark.createDataFrame([], "part bigint, n bigint")
     everything = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     before = F.sum("n").over(Window.orderBy("part")) - F.col("n")  # one row per part
     counts.select("part", "n", before.alias("first"), F.sum("n").over(everything).alias("total")).coalesce(1).write.mode(
@@ -88,10 +100,10 @@ def stored_page(
     a page at any depth costs the same. Their numbers are few: each has a row of the page.
     """
     start = (number - 1) * _allowed(size, largest)
-    parts = spark.read.schema("part int, n bigint, first bigint, total bigint").parquet(f"{path}/parts")
+    parts = spark.read.schema("part bigint, n bigint, first bigint, total bigint").parquet(f"{path}/parts")
     total = parts.agg(F.max("total").alias("total")).first()["total"] or 0
     held = parts.filter((F.col("first") < start + size) & (F.col("first") + F.col("n") > start)).orderBy("part").collect()
-    rows = spark.read.schema(f"{schema}, {PART} int").parquet(f"{path}/rows")
+    rows = spark.read.schema(f"{schema}, {PART} bigint").parquet(f"{path}/rows")
     rows = rows.filter(F.col(PART).isin([p["part"] for p in held])).drop(PART)
     skipped = start - held[0]["first"] if held else 0
     return ordered(rows, order).offset(skipped).limit(size).withColumn("total", F.lit(total).cast("bigint"))
