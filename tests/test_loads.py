@@ -185,3 +185,26 @@ def test_many_list_parts_need_few_ranges(spark):
     assert parts[-1]["first"] + parts[-1]["n"] == 10_000
     expected = [r[0] for r in paging.ordered(rows, "k,-id").select("id").collect()]
     assert [r["id"] for r in paging.stored_page(spark, path, "id bigint, k bigint", "k,-id", 333, 30).collect()] == expected[9960:9990]
+
+
+def test_headers_of_weigh_pages_are_looked_up_in_compiled_code(spark):
+    short = list(pg.REQUIRED_WEIGH_FIELDS)
+    value = {"SystemId": "7", "Date": "2024-01-20", "Time": "10:00:00"}
+    record = lambda names, **other: [(value | other).get(n, n.lower()) for n in names]
+    text = lambda names, records: json.dumps({"Fields": names, "Records": records})
+    swapped = [*reversed(short), "Location"]
+    found = {
+        1: text(short, [record(short, Time="09:00:00"), record(short)]),
+        2: text(swapped, [record(swapped, Time="09:00:00"), record(swapped, Date="")]),  # the last record has no time
+        3: text(short, [record(short, SystemId="x"), record(short)[:3]]),  # and this page neither system nor time
+        4: text(short[1:], [record(short[1:])]), 5: "not json", 6: json.dumps({"Fields": short}), 7: None,
+        8: text([None, *short], [["-", *record(short)]]),
+    }
+    pages = spark.createDataFrame([(i, None, t) for i, t in found.items()], "id bigint, scraped_at timestamp, data string")
+    keyed = {r["id"]: (r["system_id"], str(r["weigh_at"])) for r in pg.weigh_raw(pages).collect()}
+    assert keyed == {1: (7, "2024-01-20 10:00:00"), 2: (7, "2024-01-20 09:00:00"), 8: (7, "2024-01-20 10:00:00")}
+    assert sorted(r["id"] for r in pg.unkeyed_weigh_pages(pages).collect()) == [3, 4, 5, 6, 7]
+    records = pg.weigh_records(pages)
+    assert sorted(r["page_id"] for r in records.collect()) == [1, 1, 2, 2, 3, 3, 8]
+    assert {r["Location"] for r in records.filter("page_id = 2").collect()} == {"location"}
+    assert "lambda" not in records._jdf.queryExecution().optimizedPlan().toString()

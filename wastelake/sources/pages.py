@@ -101,12 +101,6 @@ def list_ids(pages: DataFrame) -> DataFrame:
     return listed(pages, "ids").select(F.explode("items").alias("item")).select("item.id")
 
 
-def field_of(fields: Column, record: Column, name: str) -> Column:
-    """Value of a named field in a positional record; NULL when the header lacks it."""
-    position = F.nullif(F.array_position(fields, name), F.lit(0)).cast("int")
-    return F.try_element_at(record, position)
-
-
 def parsed_weigh_pages(pages: DataFrame) -> DataFrame:
     """Pages with their parsed content; as a generator, so that a filter on the content
     does not parse the text a second time."""
@@ -122,15 +116,25 @@ def weigh_raw(pages: DataFrame) -> DataFrame:
 
 
 def _keyed(pages: DataFrame) -> DataFrame:
-    fields = F.col("page.Fields")
+    place = lambda name: F.nullif(F.array_position("page.Fields", F.lit(name)), F.lit(0)).cast("int").alias(name)
 
     def key(record: Column) -> Column:
+        field = lambda name: F.try_element_at(record, F.col(f"at.{name}"))
         return F.struct(
-            field_of(fields, record, "SystemId").try_cast("bigint").alias("system_id"),
-            combine_date_time(field_of(fields, record, "Date"), field_of(fields, record, "Time")).alias("weigh_at"))
+            field("SystemId").try_cast("bigint").alias("system_id"),
+            combine_date_time(field("Date"), field("Time")).alias("weigh_at"))
+
+    def whole(k: Column) -> Column:
+        return k["system_id"].isNotNull() & k["weigh_at"].isNotNull()
 
-    keys = F.filter(F.transform("page.Records", key), lambda k: k["system_id"].isNotNull() & k["weigh_at"].isNotNull())
-    return parsed_weigh_pages(pages).select("id", "scraped_at", "data", F.try_element_at(keys, F.lit(-1)).alias("key"))
+    # The last record mostly has both; only where it has not are the others looked at.
+    at = F.explode(F.array(F.struct(place("SystemId"), place("Date"), place("Time")))).alias("at")
+    last = F.explode(F.array(key(F.try_element_at("page.Records", F.lit(-1))))).alias("last")
+    any_ = F.try_element_at(F.filter(F.transform("page.Records", key), whole), F.lit(-1))
+    return (
+        parsed_weigh_pages(pages).select("id", "scraped_at", "data", "page", at).select("id", "scraped_at", "data", "page", "at", last)
+        .select("id", "scraped_at", "data", F.when(whole(F.col("last")), F.col("last")).otherwise(any_).alias("key"))
+    )
 
 
 def unkeyed_weigh_pages(pages: DataFrame) -> DataFrame:
@@ -157,12 +161,13 @@ def weigh_records(pages: DataFrame) -> DataFrame:
     The header is looked up once per page; its records only carry the positions.
     """
     names = REQUIRED_WEIGH_FIELDS + OPTIONAL_WEIGH_FIELDS
-    listed = F.array(*[F.lit(n) for n in names])
-    places = F.transform(listed, lambda n: F.nullif(F.array_position("page.Fields", n), F.lit(0)).cast("int"))
-    located = parsed_weigh_pages(pages).filter(_has_required_header()).select(
-        F.col("id").alias("page_id"), F.col("page.Records").alias("records"), places.alias("at"))
+    places = F.array(*[F.nullif(F.array_position("page.Fields", F.lit(n)), F.lit(0)).cast("int") for n in names])
+    # As a generator, so that the filter does not look the header up a second time.
+    located = parsed_weigh_pages(pages).select(
+        F.col("id").alias("page_id"), F.col("page.Records").alias("records"), F.explode(F.array(places)).alias("at"))
+    whole = located.filter(" and ".join(f"at[{i}] is not null" for i in range(len(REQUIRED_WEIGH_FIELDS))))
     return (
-        located.select("page_id", "at", F.explode("records").alias("record"))
+        whole.select("page_id", "at", F.explode("records").alias("record"))
         .select("page_id",
                 *[F.try_element_at("record", F.col("at")[i]).alias(n) for i, n in enumerate(names)],
                 F.col("at")[names.index("FractionId")].isNotNull().alias("has_fraction"))
