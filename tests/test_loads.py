@@ -1,5 +1,6 @@
 """Publication of tables, checks of the writing job, errors of list pages and stream state."""
 
+import datetime
 import json
 import re
 
@@ -208,3 +209,16 @@ def test_headers_of_weigh_pages_are_looked_up_in_compiled_code(spark):
     assert sorted(r["page_id"] for r in records.collect()) == [1, 1, 2, 2, 3, 3, 8]
     assert {r["Location"] for r in records.filter("page_id = 2").collect()} == {"location"}
     assert "lambda" not in records._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_least_pages_are_gathered(spark):
+    """One page per system and time, the least id with all it has; no sort of all texts."""
+    schema = "id bigint, scraped_at timestamp, system_id bigint, weigh_at timestamp, data string"
+    at = lambda day: datetime.datetime(2024, 1, day)
+    rows = [(3, None, 1, at(1), "c"), (2, None, 1, at(1), "b"), (9, None, 1, at(2), "i"), (1, None, None, at(1), "a"),
+            (4, None, None, at(1), "d"), (5, None, 2, None, "e"), (None, None, 2, None, "n"), (6, None, 3, at(1), "f"), (6, None, 3, at(1), "f")]
+    raw = spark.createDataFrame(rows, schema)
+    fresh = incremental.new_weigh_pages(raw, spark.createDataFrame([], "system_id bigint, weigh_at timestamp"))
+    assert sorted((r["id"], r["data"]) for r in fresh.collect()) == [(1, "a"), (2, "b"), (5, "e"), (6, "f"), (9, "i")]
+    plan = fresh._jdf.queryExecution().optimizedPlan().toString()
+    assert "min(id" in plan and "LeftSemi" in plan

@@ -14,14 +14,19 @@ FIRST_HISTORY_DAY = "2018-10-01 00:00:00"
 def new_weigh_pages(raw: DataFrame, measurements: DataFrame, inclusive: bool = False) -> DataFrame:
     """Pages later than the latest measurement of their system, one per (system, time).
 
-    `inclusive` also keeps pages that end at the mark.
+    `inclusive` also keeps pages that end at the mark. The least ids are found first, by hashing, and only
+    their pages are gathered: the texts of all others are neither sorted nor shuffled.
     """
     marks = measurements.groupBy("system_id").agg(F.max("weigh_at").alias("mark"))
     later = F.col("weigh_at") >= F.col("mark") if inclusive else F.col("weigh_at") > F.col("mark")
     fresh = raw.join(marks, "system_id", "left").filter(F.col("mark").isNull() | later).drop("mark")
     others = [c for c in raw.columns if c not in ("system_id", "weigh_at")]
+    least = fresh.groupBy("system_id", "weigh_at").agg(F.min("id").alias("_id")).withColumnsRenamed(
+        {"system_id": "_system", "weigh_at": "_at"})
+    is_least = (F.col("system_id").eqNullSafe(F.col("_system")) & F.col("weigh_at").eqNullSafe(F.col("_at"))
+                & F.col("id").eqNullSafe(F.col("_id")))
     return (
-        fresh.groupBy("system_id", "weigh_at")
+        fresh.join(least, is_least, "left_semi").groupBy("system_id", "weigh_at")
         .agg(F.min_by(F.struct(*others), "id").alias("row"))
         .select("system_id", "weigh_at", "row.*")
         .select(*raw.columns)
