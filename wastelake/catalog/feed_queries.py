@@ -694,13 +694,13 @@ def _(t: Tables) -> DataFrame:
     """First load of all pages; undated records are left out of the measurements."""
     none = t.spark.createDataFrame([], "system_id bigint, weigh_at timestamp")
     records = t.lineitem.count()
-    return feeds.weighings(landed.weigh_pages(t), none, t.districts, t.areas, most_errors=records).select("seq_id", "system_id", "site_id")
+    return feeds.weighings(cut(landed.weigh_pages(t)), none, t.districts, t.areas, most_errors=records).select("seq_id", "system_id", "site_id")
 
 
 @query("pl_04_weigh_feed", f"SELECT * FROM ({FIRST_LOAD}) WHERE system_id > 3")
 def _(t: Tables) -> DataFrame:
     """A second load, when three of the systems are stored already, finds the others only."""
-    pages = landed.weigh_pages(t)
+    pages = cut(landed.weigh_pages(t))  # landed once, read by both loads
     stored = pg.weigh_raw(pages).filter("system_id <= 3")
     return feeds.weighings(pages, stored, t.districts, t.areas).select("seq_id", "system_id", "site_id")
 

@@ -19,7 +19,8 @@ def new_weigh_pages(raw: DataFrame, measurements: DataFrame, inclusive: bool = F
     """
     marks = measurements.groupBy("system_id").agg(F.max("weigh_at").alias("mark"))
     later = F.col("weigh_at") >= F.col("mark") if inclusive else F.col("weigh_at") > F.col("mark")
-    fresh = raw.join(marks, "system_id", "left").filter(F.col("mark").isNull() | later).drop("mark")
+    fresh = raw.join(F.broadcast(marks), "system_id", "left").filter(  # a row per system
+        F.col("mark").isNull() | later).drop("mark")
     others = [c for c in raw.columns if c not in ("system_id", "weigh_at")]
     least = fresh.groupBy("system_id", "weigh_at").agg(F.min("id").alias("_id")).withColumnsRenamed(
         {"system_id": "_system", "weigh_at": "_at"})
