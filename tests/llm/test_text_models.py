@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from wastelake.llm import common, lm_scoring, quality, toxicity
+from wastelake.llm import common, lm_scoring, ngrams, quality, toxicity
 
 from .conftest import frame, prose
 
@@ -164,6 +164,92 @@ def test_quality_features_of_awkward_rows(docs, rows, nothing):
     assert kept.columns == docs.columns and kept.count() == sum(r.kept for r in got)
 
 
+def foretold(texts, model):
+    """Per text, the mean negative logarithm of its words' probabilities, by counting all other texts anew."""
+    texts = [re.findall(common.WORD, t or "") for t in texts]
+    pairs_of = lambda some: Counter(p for words in some for p in zip([""] + words, words))
+    every = pairs_of(texts)
+
+    def discounts(counts):
+        n = [sum(c == i for c in counts) for i in range(1, 5)]
+        y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0
+        d = [0] + [max(0, i - (i + 1) * y * n[i] / n[i - 1]) if n[i - 1] else 0 for i in (1, 2, 3)]
+        return lambda c: d[min(c, 3)]
+
+    d, e = discounts(every.values()), discounts(Counter(w for _, w in every).values())
+    found = []
+    for i, words in enumerate(texts):
+        pairs = pairs_of(texts[:i] + texts[i + 1:])
+        before, begun, left = Counter(w for _, w in pairs), Counter(), Counter()
+        for (v, _), c in pairs.items():
+            begun[v] += c
+            left[v] += d(c)
+        mass, total = sum(map(e, before.values())), sum(before.values())
+        h, score = max(mass, ngrams.LEAST_MASS), 0.0
+        for v, w in zip([""] + words, words):
+            spelt = math.exp(model.log_probabilities(quality.trigram_codes([w])[0]).sum())
+            p = (before[w] - e(before[w]) + h * spelt) / (total + h - mass)
+            if begun[v]:
+                g = max(left[v], ngrams.LEAST_MASS)
+                p = (pairs[v, w] - d(pairs[v, w]) + g * p) / (begun[v] + g - left[v])
+            score -= math.log(p)
+        found.append(score / len(words) if words else None)
+    return found
+
+
+def test_perplexity_is_that_of_word_bigrams_of_the_other_documents(spark, monkeypatch):
+    """Also with a block per document, and when its words lie in many ranges."""
+    rnd = random.Random(12)
+    words = prose(rnd, 40).split(" ")
+    texts = [" ".join(rnd.choices(words, k=rnd.randint(1, 60))) for _ in range(25)]
+    texts += [texts[0], texts[1] + " é日 日", None, "", "x", " \t\x0b", "a\nb\x00 c  a b", texts[2] + "\r\n" + texts[2]]
+    rows = [(i, t, "en", "a") for i, t in enumerate(texts)]
+    codes, counts = np.unique(np.concatenate([quality.trigram_codes(re.findall(common.WORD, t))[0] for t in texts if re.search(common.WORD, t or "")]), return_counts=True)
+    expected = foretold(texts, quality.Model(codes, counts))
+    for block, batch in ((1 << 20, 500), (200, 1)):
+        table = frame(spark, rows).repartition(3)
+        monkeypatch.setattr(ngrams, "BLOCK_BYTES", block)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+        got = {r.doc_id: r.perplexity for r in quality.verdicts(table).collect()}
+        for i, x in enumerate(expected):
+            assert got[i] is None if x is None else abs(math.log(got[i]) - x) < 1e-9, (block, i)
+    common.prepare(spark)
+
+
+def test_bands_reject_prose_whose_words_are_out_of_order(spark):
+    """Its words are as common and as well spelt as before."""
+    rnd = random.Random(13)
+    words = [w.lower().strip(".") for w in prose(rnd, 150).split(" ")]
+    follows = {w: rnd.sample(words, 3) for w in words}
+
+    def text():
+        out = [rnd.choice(words)]
+        while len(out) < 150:
+            out.append(rnd.choice(follows[out[-1]]))
+        return out
+
+    ordered = [text() for _ in range(120)]
+    rows = [(i, " ".join(t), "en", "a") for i, t in enumerate(ordered)]
+    rows += [(1000 + i, " ".join(rnd.sample(t, len(t))), "en", "a") for i, t in enumerate(ordered[:4])]
+    found = {r.doc_id: r for r in quality.verdicts(frame(spark, rows)).collect()}
+    assert all(found[i].kept for i in range(120)) and not any(found[1000 + i].kept for i in range(4))
+    assert all(abs(found[1000 + i].spelling / found[i].spelling - 1) < 1e-9 and found[1000 + i].perplexity > 2 * found[i].perplexity for i in range(4))
+
+
+def test_hashes_that_agree_in_their_upper_bits_are_sorted_whole():
+    h = np.array([7, 3, 7, 1 << 60, 5, 3, (1 << 60) + 1], np.uint64)
+    assert ngrams.order_of(h).tolist() == np.argsort(h, kind="stable").tolist()
+    found, first, place = ngrams.distinct(h)
+    assert (found == np.unique(h)).all() and (found[place] == h).all() and first.tolist() == [1, 4, 0, 3, 6]
+    assert (ngrams.unpacked(ngrams.packed(h.view(np.int64)), len(h)).view(np.uint64) == h).all()
+
+
+def test_trigrams_of_texts_are_those_of_their_words():
+    texts = ["ab  c\n", "", " \x00 é\x1f\x85x", "日本 語"]
+    words = [w for t in texts for w in re.findall(common.WORD, t)]
+    assert quality.text_codes(texts).tolist() == quality.trigram_codes(words)[0].tolist()
+
+
 def test_bands_reject_another_spelling_and_keep_the_rest(spark):
     rnd = random.Random(9)
     rows = [(i, prose(rnd, rnd.randint(30, 300)), "en", "a") for i in range(150)]
