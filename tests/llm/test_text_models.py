@@ -1,10 +1,13 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from wastelake.llm import common, lm_scoring, ngrams, quality, toxicity
@@ -334,3 +337,43 @@ def test_toxicity_learns_from_labels_that_are_not_held_out(spark, docs, nothing)
     assert len(mixed) == docs.count() and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in mixed)
     assert toxicity.scores(nothing, marks).count() == 0
     assert {r.score for r in toxicity.scores(docs, marks.filter("false")).collect()} == {0.0}
+
+
+def test_scoring_a_block_holds_few_documents_at_a_time(monkeypatch):
+    """With the same scores, whatever documents are in work together."""
+    rnd = random.Random(14)
+    vocabulary = prose(rnd, 400).split(" ")
+    texts = ["", *(" ".join(rnd.choices(vocabulary, k=rnd.randint(0, 120))) for _ in range(1500)), "", " "]
+    block = ngrams.Block(texts)
+    found = pa.concat_tables([
+        ngrams._pair_answers(ngrams._asked(1, 2, block.pairs, block.pair_counts[block.order, None]).filter(pc.field("range") == r)) for r in range(2)] + [
+        ngrams._word_answers(ngrams._asked(1, 2, block.words, block.sums(block.pair_counts, np.ones(len(block.pairs), bool))).filter(pc.field("range") == r)) for r in range(2)])
+    letters = np.full(len(block.words), -9.0)
+
+    def scored(at_a_time):
+        monkeypatch.setattr(ngrams, "AT_A_TIME", at_a_time, raising=False)
+        tracemalloc.start()
+        try:
+            return ngrams.log_probabilities(block, found, letters).tolist(), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    (whole, _), (parts, peak), (single, _) = scored(1 << 40), scored(4000), scored(1)
+    assert whole == parts == single and len(whole) == len(texts)
+    assert peak < 80 * len(block.hashes), peak / len(block.hashes)
+
+
+def test_texts_are_not_shuffled_to_meet_the_medians_of_their_language(spark, capsys):
+    rnd = random.Random(15)
+    rows = [(i, prose(rnd, 100), rnd.choice(["en", "de", None]), "a") for i in range(300)]
+    table = frame(spark, rows)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "40KB")  # more than the medians, less than the texts
+    try:
+        kept = quality.kept(table)
+        capsys.readouterr()
+        kept.explain()
+        plan = capsys.readouterr().out
+        assert kept.count() > 200
+    finally:
+        common.prepare(spark)
+    assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan, plan

@@ -37,6 +37,8 @@ from . import common
 BLOCK_BYTES, BLOCK_ROWS, CHUNK = 10 << 20, 50_000, 1 << 20
 #: Blocks whose words one range holds together, and the bits of hashes that are sent.
 RANGE_BLOCKS, KEY_BITS = 3, 44
+#: Words of a block that are scored at a time, but for a document that has more.
+AT_A_TIME = 200_000
 START = np.uint64(0)
 #: What is left to the lower level at least, as a count, where discounts are zero.
 LEAST_MASS = 0.01
@@ -125,18 +127,23 @@ class Block:
         parts = [tuple(x + (a if i < 2 else 0) for i, x in enumerate(hashed_words(data[a:b])))
                  for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
         none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        self.starts, self.ends, self.hashes = (np.concatenate(x) for x in zip(none, *parts))
-        self.owner = np.searchsorted(self.first, self.starts, "right") - 1
+        small = np.int32 if len(self.joined) < 1 << 31 else np.int64  # for places, of which a worker holds many
+        self.starts, self.ends, self.hashes = (np.concatenate(x, dtype=kind) for x, kind in zip(zip(none, *parts), (small, small, np.uint64)))
+        del parts
+        self.owner = (np.searchsorted(self.first, self.starts, "right") - 1).astype(small)
         self.count = np.bincount(self.owner, minlength=len(texts))
         # The start is a word, too, the least; it never ends a bigram.
         self.words, at, place = distinct(np.concatenate([[START], self.hashes]))
-        self.word_at = at - 1
-        before = np.where(np.diff(self.owner, prepend=-1) > 0, 0, place[:-1])
-        self.place = place[1:]
+        self.word_at = (at - 1).astype(small)
+        self.place = place[1:].astype(small)
+        before = place[:-1]
+        before[np.diff(self.owner, prepend=-1) > 0] = 0
         # Bigrams are numbered by their words, and asked for in the order of their hashes.
-        _, at, self.pair = distinct(before * len(self.words) + self.place)
+        _, at, pair = distinct(before * len(self.words) + self.place)
+        self.pair = pair.astype(small)
         self.pair_counts = np.bincount(self.pair, minlength=len(at)).astype(np.int64)
-        self.previous, self.next = before[at], self.place[at]
+        self.previous, self.next = before[at].astype(small), self.place[at]
+        del before, place, pair
         keys = common.mixed(self.words[self.previous] * np.uint64(_BASE) + self.words[self.next])
         self.order = order_of(keys)
         self.pairs = keys[self.order]
@@ -262,14 +269,22 @@ def log_probabilities(block: Block, found: pa.Table, letters: np.ndarray) -> np.
 
     `letters` are the logarithms of the probabilities of the distinct words by their letters.
     """
-    docs, n_words = len(block.count), len(block.words)
     counts, _, of_counts = _owned(found, block)
     sums, of_words = _in_order(found, 2, 5)
-    if not len(block.hashes):
-        return np.zeros(docs)
+    ends = np.concatenate([[0], np.cumsum(block.count)])
+    # Documents are independent of each other from here on, so only some are in work at a time.
+    edges = np.unique([*np.searchsorted(ends, np.arange(0, ends[-1], AT_A_TIME)), len(block.count)]).tolist()
+    return np.concatenate([np.zeros(0), *(
+        _of_documents(block, slice(ends[a], ends[b]), a, b - a, counts, of_counts, sums, of_words, letters) for a, b in zip([0, *edges], edges) if b > a)])
+
+
+def _of_documents(block: Block, words: slice, first: int, docs: int, counts: np.ndarray, of_counts: np.ndarray,
+                  sums: np.ndarray, of_words: np.ndarray, letters: np.ndarray) -> np.ndarray:
+    """`log_probabilities` of the `docs` texts from `first` on, whose words are those of `words`."""
+    n_words = len(block.words)
     d, e = discount_values(of_counts), discount_values(of_words)
     # Distinct bigrams of each document, and what the others have of them.
-    both, own = np.unique(block.owner * len(block.pairs) + block.pair, return_counts=True)
+    both, own = np.unique((block.owner[words] - first).astype(np.int64) * len(block.pairs) + block.pair[words], return_counts=True)
     doc, pair = both // len(block.pairs), both % len(block.pairs)
     left = counts[pair] - own
     lost, kept = np.minimum(counts[pair], 3), np.minimum(left, 3)

@@ -215,8 +215,9 @@ def judged(docs: DataFrame, text: str, lang: str, carry: list[str]) -> tuple[Dat
     def with_medians(table: DataFrame, values: dict[str, Column]) -> tuple[DataFrame, dict[str, Column]]:
         """The rows with the median of each value in their language."""
         found = {f: common.fresh(table, f"q_of_{f}") for f in values}
-        medians = table.groupBy(F.col(lang).alias(language)).agg(
-            *[F.percentile_approx(v, 0.5, ACCURACY).alias(found[f]) for f, v in values.items()])
+        # Written, for its size to be known: else the rows with their texts are shuffled to meet a row per language.
+        medians = cut(table.groupBy(F.col(lang).alias(language)).agg(
+            *[F.percentile_approx(v, 0.5, ACCURACY).alias(found[f]) for f, v in values.items()]))
         return table.join(medians, of_lang, "left").drop(language), {f: F.col(c) for f, c in found.items()}
 
     centred, centre = with_medians(rows, {f: F.col(names[f]) for f in SCORES})
