@@ -377,3 +377,14 @@ def test_texts_are_not_shuffled_to_meet_the_medians_of_their_language(spark, cap
     finally:
         common.prepare(spark)
     assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan, plan
+
+
+def test_blocks_are_read_without_the_memos_of_earlier_operators():
+    memo = common.Memo(len, 2)
+    assert [memo[w] for w in ("a", "bb", "ccc")] == [1, 2, 3] and memo and memo.older
+    rows = pa.table({"t": ["x y"]})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as out:
+        out.write_table(rows)
+    assert ngrams._opened(pa.table({"rows": pa.array([sink.getvalue().to_pybytes()], pa.binary())}), "t")[1] == ["x y"]
+    assert not memo and not memo.older and memo["dddd"] == 4

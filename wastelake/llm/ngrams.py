@@ -344,6 +344,7 @@ def dealt(docs: DataFrame, text: str) -> DataFrame:
 
 def _opened(rows: pa.Table, text: str) -> tuple[pa.Table, list[str]]:
     """The rows of a block and their texts."""
+    common.forget()
     table = pa.concat_tables([pa.ipc.open_stream(data).read_all() for data in rows.column("rows").to_pylist()])
     return table, common.texts_of(table.column(text))
 
