@@ -102,7 +102,7 @@ def box(minx: Column | str, miny: Column | str, maxx: Column | str, maxy: Column
 
 def bounds(rings: str) -> dict[str, Column]:
     ends = {"minx": ("min", "x"), "miny": ("min", "y"), "maxx": ("max", "x"), "maxy": ("max", "y")}
-    return {name: F.expr(f"array_{end}(transform(flatten({rings}), _p -> _p.{axis}))") for name, (end, axis) in ends.items()}
+    return {name: F.expr(f"array_{end}(flatten({rings}).{axis})") for name, (end, axis) in ends.items()}
 
 
 def edges_sql(rings: str) -> str:

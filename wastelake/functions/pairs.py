@@ -80,14 +80,16 @@ def _sides(p: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def to_edges(x: np.ndarray, y: np.ndarray, e: np.ndarray) -> np.ndarray:
-    """Least distance of points (n, k) to edges (n, m, 4), over both."""
+    """Least distance of points (n, k) to edges (n, m, 4), over both; exactly 0 on an edge."""
     ax, ay, bx, by = (e[:, None, :, i] for i in range(4))
     dx, dy = bx - ax, by - ay
     length2 = dx * dx + dy * dy
     px, py = x[:, :, None] - ax, y[:, :, None] - ay
-    t = np.clip((px * dx + py * dy) / np.where(length2 > 0, length2, 1.0), 0.0, 1.0)
+    along = px * dx + py * dy
+    t = np.clip(along / np.where(length2 > 0, length2, 1.0), 0.0, 1.0)
     ex, ey = px - t * dx, py - t * dy
-    return np.sqrt((ex * ex + ey * ey).min((1, 2)))
+    on = (px * dy == py * dx) & (along >= 0) & (along <= length2) & (length2 > 0)
+    return np.sqrt(np.where(on, 0.0, ex * ex + ey * ey).min((1, 2)))
 
 
 def inside(x: np.ndarray, y: np.ndarray, e: np.ndarray) -> np.ndarray:

@@ -141,6 +141,29 @@ def _distance_batch(p: pairs.Polygons, q: pairs.Polygons) -> list:
     return [v if k else None for v, k in zip(found.tolist(), known.tolist())]
 
 
+def distances_of(p: pairs.Polygons, rows: np.ndarray, q: pairs.Polygons, others: np.ndarray) -> np.ndarray:
+    """Distances of polygons `rows` of `p` to polygons `others` of `q`; NaN without edges."""
+    found = np.full(len(rows), np.nan)
+    m, n = p.count[rows], q.count[others]
+    some = (m > 0) & (n > 0)
+    small = np.flatnonzero(some & (m + n <= pairs.MOST_EDGES))
+    for (i, j), at in pairs.groups(m[small], n[small], size=lambda i, j: i * j):
+        found[small[at]] = pairs.distances(p.edges(rows[small[at]], i), q.edges(others[small[at]], j))
+    for k in np.flatnonzero(some & (m + n > pairs.MOST_EDGES)).tolist():
+        found[k] = _distance(*p.edges(rows[k:k + 1], int(m[k]))[0].T, *q.edges(others[k:k + 1], int(n[k]))[0].T)
+    return found
+
+
+def point_distances_of(x: np.ndarray, y: np.ndarray, p: pairs.Polygons, rows: np.ndarray) -> np.ndarray:
+    """Distances of points to polygons `rows` of `p`; NaN without edges."""
+    found = np.full(len(rows), np.nan)
+    some = np.flatnonzero(p.count[rows] > 0)
+    for (m,), at in pairs.groups(p.count[rows[some]], size=lambda m: m):
+        k = some[at]
+        found[k] = pairs.point_distances(x[k], y[k], p.edges(rows[k], m))
+    return found
+
+
 @F.arrow_udf(DoubleType())
 def _distance_udf(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(_distance_batch(pairs.Polygons(a), pairs.Polygons(b)), pa.float64())
