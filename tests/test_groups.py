@@ -1,10 +1,12 @@
-"""Queries asked in groups."""
+"""Queries asked in groups, and unions of many keys at once."""
+
+import random
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from wastelake.functions import geo, pairs
-from wastelake.operators import nearest as nn
+from wastelake.functions import arrangement as plane, geo, pairs
+from wastelake.operators import dissolve as ds, nearest as nn
 
 
 def test_targets_that_cover_a_query_are_not_all_met(spark, monkeypatch):
@@ -29,3 +31,36 @@ def test_points_on_an_edge_have_distance_0():
     x, y = np.full(45, 46.0), np.arange(1.0, 46.0)
     edges = np.array([[[0, 0, 46, 0], [46, 0, 46, 46], [46, 46, 0, 46], [0, 46, 0, 0]]] * 45, np.float64)
     assert (pairs.point_distances(x, y, edges) == 0).all()
+
+
+def test_few_polygons_of_a_key_are_not_cut_into_cells(spark, monkeypatch):
+    """Boxes, rings with holes, rings that are not closed, NULLs and flat ones; places far from the origin."""
+    monkeypatch.setattr(ds, "_in_cells", None)
+    at = lambda *points: [(480_000.0 + x, 115_000.0 + y) for x, y in points]
+    frame = [at((0, 0), (9, 0), (9, 9), (0, 9), (0, 0)), at((3, 3), (6, 3), (6, 6), (3, 6), (3, 3))]
+    rows = [(1, frame), (1, [at((4, 4), (5, 4), (5, 5), (4, 5))]), (2, [at((0, 0), (2, 0), (2, 2), (0, 2), (0, 0))]),
+            (2, [at((1, 1), (1, 3), (3, 3), (3, 1), (1, 1))]), (2, None), (3, [at((0, 0), (5, 5), (0, 0))]), (None, [at((0, 0), (4, 0), (0, 4), (0, 0))])]
+    shapes = spark.createDataFrame(rows, f"k int, rings {geo.RINGS}")
+    got = {r["k"]: [[(p["x"] - 480_000, p["y"] - 115_000) for p in ring] for ring in r["rings"]] for r in ds.dissolve(shapes, ["k"]).collect()}
+    assert got[2] == [[(0, 0), (2, 0), (2, 1), (3, 1), (3, 3), (1, 3), (1, 2), (0, 2), (0, 0)]]
+    assert got[None] == [[(0, 0), (4, 0), (0, 4), (0, 0)]] and 3 not in got
+    assert [len(r) for r in got[1]] == [5, 5, 5] and got[1][0][0] == (0, 0) and got[1][1] == [(3, 3), (3, 6), (6, 6), (6, 3), (3, 3)]
+
+
+def test_unions_in_rounds_equal_the_union_at_once():
+    rnd = random.Random(6)
+    shapes = []
+    for g in range(12):
+        for _ in range(rnd.randint(1, 40)):
+            cx, cy, n = rnd.uniform(0, 300), rnd.uniform(0, 300), rnd.randint(5, 9)
+            turns = [2 * np.pi * (i + rnd.uniform(0, 0.9)) / n for i in range(n)]
+            ring = np.array([(cx + r * np.cos(t), cy + r * np.sin(t)) for t in turns for r in [rnd.uniform(10, 60)]])
+            shapes.append((g, np.rint(ring * 2 ** 17).astype(np.int64)))
+    edges = [plane.edges([r]) for _, r in shapes]
+    part = np.repeat(np.arange(len(edges)), [len(e) for e in edges])
+    e, group = plane.unions(np.vstack(edges), part, np.array([g for g, _ in shapes]))
+    area = lambda rings: sum(plane.signed_area(r) / 2 ** 35 for r in rings)
+    for g in range(12):
+        want = plane.chains(plane.boundary(plane.edges([r for k, r in shapes if k == g])))[0]
+        got, rest = plane.chains(e[group == g])
+        assert not rest and len(got) == len(want) and abs(area(got) - area(want)) < 1e-3
