@@ -3,10 +3,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from wastelake.functions import arrangement as plane, geo, pairs
-from wastelake.operators import dissolve as ds, nearest as nn
+from wastelake.operators import dissolve as ds, nearest as nn, overlap
 
 
 def test_targets_that_cover_a_query_are_not_all_met(spark, monkeypatch):
@@ -64,3 +65,39 @@ def test_unions_in_rounds_equal_the_union_at_once():
         want = plane.chains(plane.boundary(plane.edges([r for k, r in shapes if k == g])))[0]
         got, rest = plane.chains(e[group == g])
         assert not rest and len(got) == len(want) and abs(area(got) - area(want)) < 1e-3
+
+
+def test_edges_almost_alike_are_split_in_few_rounds():
+    """Two edges from one place and a third beside them once went on crossing a step further each round."""
+    e = np.array([[0, 0, 131072, 1179648], [115567, 984342, 105790, 952111], [105790, 952111, 131072, 1179648]], np.int64)
+    met, rounds = plane._meetings, []
+
+    def counted(*args):
+        rounds.append(len(args[0]))
+        assert len(rounds) < 20
+        return met(*args)
+
+    plane._meetings = counted
+    try:
+        pieces, owner = plane.split(e, np.arange(3))
+    finally:
+        plane._meetings = met
+    assert len(pieces) < 12 and set(owner.tolist()) == {0, 1, 2}
+
+
+def test_many_overlaps_at_once_equal_those_one_by_one():
+    rnd = random.Random(8)
+
+    def ring(x, y, r):
+        turns = [2 * np.pi * (i + rnd.uniform(0, 0.9)) / 50 for i in range(50)]
+        points = [{"x": x + float(np.cos(t)) * d, "y": y + float(np.sin(t)) * d} for t in turns for d in [rnd.uniform(r / 2, r)]]
+        return points + points[:1]
+
+    kind = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
+    one = [[ring(rnd.uniform(0, 30), rnd.uniform(0, 30), 12.0)] for _ in range(60)] + [None, [], [ring(0, 0, 9.0), ring(40, 0, 9.0)]]
+    two = [[ring(rnd.uniform(0, 30), rnd.uniform(0, 30), 12.0)] for _ in range(60)] + [one[0], one[1], [ring(20, 0, 30.0)]]
+    p, q = (pairs.Polygons(pa.array(rows, kind)) for rows in (one, two))
+    got = overlap._overlap_batch(p, q)
+    flat = lambda s, k: [np.concatenate([r[i] for r in s.one(k)]) for i in (0, 1)] + [[len(r[0]) for r in s.one(k)]]
+    assert got[:60] == [overlap._overlaps(*flat(p, k), *flat(q, k)) for k in range(60)] and 5 < sum(got[:60]) < 55
+    assert got[60:] == [None, False, True]
