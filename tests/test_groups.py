@@ -101,3 +101,9 @@ def test_many_overlaps_at_once_equal_those_one_by_one():
     flat = lambda s, k: [np.concatenate([r[i] for r in s.one(k)]) for i in (0, 1)] + [[len(r[0]) for r in s.one(k)]]
     assert got[:60] == [overlap._overlaps(*flat(p, k), *flat(q, k)) for k in range(60)] and 5 < sum(got[:60]) < 55
     assert got[60:] == [None, False, True]
+
+
+def test_polygons_of_one_file_are_cut_by_many_tasks(spark):
+    shapes = spark.range(400).coalesce(1).select(F.lit(1).alias("k"), geo.square(F.col("id") * 3.0, F.col("id") * 5.0, F.lit(90.0)).alias("rings"))
+    cells = ds._in_cells(shapes, ["k"], int(ds.CELL * plane.STEPS))
+    assert cells.select(F.spark_partition_id().alias("p")).distinct().count() > 1
